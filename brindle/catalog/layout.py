@@ -11,7 +11,7 @@ from brindle import datasets
 from brindle.catalog.joins import BUCKET_JOIN_SQL
 from brindle.catalog.registry import query, sql_bucket, with_ctes
 from brindle.operators import sales
-from brindle.operators.rows import route_rows
+from brindle.operators.rows import fan_out_of, route_rows
 from brindle.plans import broadcast_if_small, shared_dir, table_name
 from brindle.sinks import (
     append_table,
@@ -26,6 +26,7 @@ from brindle.sinks import (
 from brindle.sources import people, read_json, split_corrupt
 
 PARTITIONS = ("dt", "dn")
+ROWS_PER_FILE = 4_000_000
 PAY_SCHEMA = "orderid bigint, pay_discount string, paymoney decimal(18,2), pay_createtime string, dt string, dn string"
 
 _PAY = "orderid, pay_discount, paymoney, pay_createtime, dt, dn"
@@ -67,7 +68,7 @@ def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- buckets ---------------------------------------------------------------
 
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 20_000_000
 MIN_BUCKETS = 5
 
 
@@ -132,18 +133,17 @@ def partition_pruned_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dyn_partition_write", with_ctes("cart", f"SELECT {_CART} FROM cart"))
 def dyn_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overwrite partitions in one write with the hot one scattered over files."""
+    """Overwrite partitions in one write, large ones scattered over several files."""
     path = shared_dir(spark, "dynamic")
     cart = datasets.cart(spark, sf_dir, row_id=True)
-    hot = (F.col("dt") == "d0") & (F.col("dn") == "webB")
     # The row's place in its file, so that copies of one row scatter as well.
-    overwrite_partitions(cart, path, PARTITIONS, hot, F.col(datasets.ROW_ID))
+    overwrite_partitions(cart, path, PARTITIONS, F.col(datasets.ROW_ID), ROWS_PER_FILE)
     return spark.read.schema(cart.schema).parquet(path).drop(datasets.ROW_ID)
 
 
 @query("dyn_partition_rebalance", with_ctes("cart", f"SELECT {_CART} FROM cart"))
 def dyn_partition_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same without naming the hot partition: large ones are split at run time."""
+    """The same without counting first: large partitions are split at run time."""
     path = shared_dir(spark, "rebalanced")
     cart = datasets.cart(spark, sf_dir)
     overwrite_partitions(cart, path, PARTITIONS)
@@ -194,9 +194,6 @@ def table_insert_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- routing and generated rows --------------------------------------------
 
-FAN_OUT = 4
-
-
 @query(
     "custom_partition",
     """
@@ -209,8 +206,8 @@ def custom_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views, clicks and the rest on partitions of their own; shows who landed where."""
     events = datasets.with_row_id(datasets.table(spark, sf_dir, "events")).select("event_type", datasets.ROW_ID)
     route = F.when(F.col("event_type") == "view", 0).when(F.col("event_type") == "click", 1).otherwise(2)
-    routed = route_rows(events, route, 3, F.col(datasets.ROW_ID), FAN_OUT)
-    landed = F.floor(F.spark_partition_id() / FAN_OUT).cast("int").alias("route")
+    routed = route_rows(events, route, 3, F.col(datasets.ROW_ID))
+    landed = F.floor(F.spark_partition_id() / fan_out_of(events, 3)).cast("int").alias("route")
     return routed.select("event_type", landed).groupBy("event_type", "route").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -218,26 +215,26 @@ def custom_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     "synth_students",
     f"""
     SELECT c_custkey AS id, 'name' || CAST(c_custkey AS VARCHAR) AS name,
-           CAST({sql_bucket('c_custkey', 100, 'student-age')} AS INTEGER) AS age,
-           CAST({sql_bucket('c_custkey', 100, 'student-partition')} AS INTEGER) AS partition
+           CAST({sql_bucket('c_custkey', 100, 1)} AS INTEGER) AS age,
+           CAST({sql_bucket('c_custkey', 100, 2)} AS INTEGER) AS partition
     FROM customer
     """,
 )
 def synth_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generated student per customer."""
     ids = datasets.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return people(ids, "name", "student")
+    return people(ids, "name", 1)
 
 
 @query(
     "synth_schools",
     f"""
     SELECT s_suppkey AS id, 'school' || CAST(s_suppkey AS VARCHAR) AS name,
-           CAST({sql_bucket('s_suppkey', 100, 'school-partition')} AS INTEGER) AS partition
+           CAST({sql_bucket('s_suppkey', 100, 4)} AS INTEGER) AS partition
     FROM supplier
     """,
 )
 def synth_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generated school per supplier."""
     ids = datasets.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
-    return people(ids, "school", "school", with_age=False)
+    return people(ids, "school", 3, with_age=False)

@@ -18,7 +18,7 @@ _BEST = "ORDER BY clicks DESC, orders DESC, pays DESC, category_id LIMIT 10"
 DAY = "17/01/2024"
 SEARCHED = "the"
 # Files of the whole-file query hold at most this many lines, so a file is a small row.
-LINES_PER_FILE = 5_000
+LINES_PER_FILE = 500
 
 
 @query("hot_category_top10", with_ctes("category", f"SELECT category_id, clicks, orders, pays FROM category {_BEST}"))

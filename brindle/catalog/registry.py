@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brindle.functions.hashing import MODULUS, MULTIPLIER
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -120,7 +122,7 @@ def with_ctes(names: str, body: str) -> str:
     return "WITH " + ",".join(_CTES[name] for name in wanted) + "\n" + body
 
 
-def sql_bucket(value: str, buckets: int | str, seed: str = "") -> str:
-    """``functions.portable_bucket`` in the SQL of the checking engine."""
-    text = f"CAST({value} AS VARCHAR)" + (f" || '{seed}'" if seed else "")
-    return f"COALESCE(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % CAST({buckets} AS BIGINT), 0)"
+def sql_bucket(value: str, buckets: int | str, seed: int = 0) -> str:
+    """``functions.integer_bucket`` in the SQL of the checking engine."""
+    start = f"(({value} % {MODULUS} + {MODULUS}) % {MODULUS} + {seed})"
+    return f"COALESCE(CAST({start} AS BIGINT) * {MULTIPLIER} % {MODULUS} % CAST({buckets} AS BIGINT), 0)"

@@ -1,12 +1,14 @@
-from brindle.functions.hashing import portable_bucket, portable_hash
-from brindle.functions.text import lines, tokens
+from brindle.functions.hashing import integer_bucket, integer_hash, text_bucket, text_hash
 from brindle.functions.salting import register_salt_functions, row_salt
+from brindle.functions.text import lines, tokens
 
 __all__ = [
+    "integer_bucket",
+    "integer_hash",
     "lines",
-    "portable_bucket",
-    "portable_hash",
     "register_salt_functions",
     "row_salt",
+    "text_bucket",
+    "text_hash",
     "tokens",
 ]

@@ -1,8 +1,7 @@
 """Hashes that another SQL engine can reproduce.
 
-``xxhash64`` is the cheaper choice wherever the hash value never shows in a
-result; these are for buckets and samples whose membership is checked outside
-Spark.
+``xxhash64`` is the better choice wherever the hash value never shows in a result;
+these are for buckets and samples whose membership is checked outside Spark.
 """
 
 from __future__ import annotations
@@ -10,14 +9,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Modulus and multiplier of the Lehmer generator.
+MODULUS = 2_147_483_647
+MULTIPLIER = 48_271
 
-def portable_hash(value: Column, seed: str = "") -> Column:
+
+def integer_hash(value: Column, seed: int = 0) -> Column:
+    """Hash of an integer in ``0 .. MODULUS-1``: one step of a Lehmer generator."""
+    start = F.pmod(value.cast("bigint"), F.lit(MODULUS).cast("bigint")) + seed
+    return start * MULTIPLIER % MODULUS
+
+
+def text_hash(value: Column) -> Column:
     """32-bit hash (as BIGINT) of the text form of a value: the head of its MD5."""
-    text = F.concat(value.cast("string"), F.lit(seed)) if seed else value.cast("string")
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
+def integer_bucket(value: Column, buckets: int | Column, seed: int = 0) -> Column:
+    """Bucket in ``0 .. buckets-1``; NULL goes to bucket 0."""
+    return _bucket(integer_hash(value, seed), buckets)
+
+
+def text_bucket(value: Column, buckets: int | Column) -> Column:
+    return _bucket(text_hash(value), buckets)
 
 
-def portable_bucket(value: Column, buckets: int | Column, seed: str = "") -> Column:
-    """Bucket in ``0 .. buckets-1``; a NULL value goes to bucket 0."""
+def _bucket(hashed: Column, buckets: int | Column) -> Column:
     width = F.lit(buckets) if isinstance(buckets, int) else buckets
-    return F.coalesce(F.pmod(portable_hash(value, seed), width.cast("bigint")), F.lit(0).cast("bigint"))
+    return F.coalesce(hashed % width.cast("bigint"), F.lit(0).cast("bigint"))

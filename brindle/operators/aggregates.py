@@ -9,30 +9,32 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from brindle.functions import portable_bucket
+from brindle.functions import integer_bucket, text_bucket
 
 
 def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def group_values(df: DataFrame, key: str, value: str, chunk_values: int = 100_000) -> DataFrame:
+def group_values(df: DataFrame, key: str, value: str, chunk_rows: int = 100_000) -> DataFrame:
     """All values of each key as sorted arrays of (value, copies).
 
-    Copies are counted before the shuffle.  A key with more than ``chunk_values``
-    different values comes out as several rows (``chunk`` 0, 1, ...), so that no
+    Copies are counted before the shuffle.  A key of more than ``chunk_rows`` rows
+    comes out as several rows (``chunk`` 0, 1, ...) by a hash of the value, so no
     array and no task has to hold an unbounded group; most keys have one row.
     """
     counted = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("copies"))
-    chunks = F.ceil(F.col("_values") / chunk_values).cast("int")
+    # Keys of more than chunk_rows rows; reads the same shuffle as ``counted``.
     oversized = (
         counted.groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_values"))
-        .filter(F.col("_values") > chunk_values)
-        .select("_key", chunks.alias("_chunks"))
+        .agg(F.sum("copies").alias("_rows"))
+        .filter(F.col("_rows") > chunk_rows)
+        .select("_key", F.ceil(F.col("_rows") / chunk_rows).alias("_chunks"))
     )
-    chunk = F.when(F.col("_chunks").isNull(), 0).otherwise(portable_bucket(F.col(value), F.col("_chunks")))
+    bucket = integer_bucket if isinstance(df.schema[value].dataType, T.IntegralType) else text_bucket
+    chunk = F.when(F.col("_chunks").isNull(), 0).otherwise(bucket(F.col(value), F.col("_chunks")))
     return (
         counted.join(oversized, F.col(key).eqNullSafe(F.col("_key")), "left")
         .select(key, chunk.cast("int").alias("chunk"), value, "copies")

@@ -21,16 +21,14 @@ def smallest(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def with_position(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
-    """Number the rows 1, 2, 3 ... in a total order, without a single-task window.
+def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows range-partitioned, sorted and marked with partition and place, written once.
 
-    Rows are range-partitioned and sorted; a row's position is its place inside its
-    partition plus the sizes of the partitions before it.  Equal rows are told apart
-    by their place in the input, so copies of one row spread over several ranges.
-    The placed rows are written once, because the sizes and the rows must come from
-    the same placement.
+    Sizes and rows must come from the same placement, hence the write.  Equal rows
+    are told apart by their place in the input, so that copies of one row spread
+    over several ranges.
     """
-    placed = materialize(
+    return materialize(
         df.withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(*order, _TIE)
         .sortWithinPartitions(*order, _TIE)
@@ -39,25 +37,35 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "position") -
         .withColumn(_PART, F.shiftright(_AT, _PLACE_BITS)),
         "placed",
     )
+
+
+def _numbered(placed: DataFrame, name: str) -> DataFrame:
+    """Position = place inside the partition + sizes of the partitions before it."""
     sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per range partition: its number is the session's shuffle partitions,
+    # so this window and the broadcast stay small however many rows there are.
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition, so this window and the broadcast stay small
-    # however many rows there are.
     starts = sizes.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     inside = F.col(_AT).bitwiseAND((1 << _PLACE_BITS) - 1)
+    kept = [c for c in placed.columns if c not in (_AT, _PART)]
     return placed.join(F.broadcast(starts), _PART).select(
-        *df.columns, (F.col("_start") + inside + 1).cast("bigint").alias(name)
+        *kept, (F.col("_start") + inside + 1).cast("bigint").alias(name)
     )
 
 
+def with_position(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
+    """Number the rows 1, 2, 3 ... in a total order, without a single-task window."""
+    return _numbered(_placed(df, *order), name)
+
+
 def zip_rows(left: DataFrame, right: DataFrame, left_order: list, right_order: list) -> DataFrame:
     """Pair the i-th row of one input with the i-th of the other.
 
     Both must have the same number of rows, as positional pairing has no meaning
     otherwise.
     """
-    numbered_left, numbered_right = with_position(left, *left_order), with_position(right, *right_order)
-    rows_left, rows_right = numbered_left.count(), numbered_right.count()
+    placed_left, placed_right = _placed(left, *left_order), _placed(right, *right_order)
+    rows_left, rows_right = placed_left.count(), placed_right.count()
     if rows_left != rows_right:
         raise ValueError(f"inputs differ in length: {rows_left} and {rows_right} rows")
-    return numbered_left.join(numbered_right, "position")
+    return _numbered(placed_left, "position").join(_numbered(placed_right, "position"), "position")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.functions import portable_bucket, tokens
+from brindle.functions import integer_bucket, row_salt, tokens
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -40,38 +40,42 @@ def map_partitions(
 
 
 def tag_bucket(df: DataFrame, key: str, buckets: int, name: str = "bucket") -> DataFrame:
-    """Add an explicit bucket number.
+    """Add an explicit bucket number, from an integer key.
 
     Physical partition numbers change with every plan; results that depend on "the
     partition" use this column instead.
     """
-    return df.withColumn(name, portable_bucket(F.col(key), buckets))
+    return df.withColumn(name, integer_bucket(F.col(key), buckets))
 
 
 def only_bucket(df: DataFrame, key: str, buckets: int, wanted: int) -> DataFrame:
-    return df.filter(portable_bucket(F.col(key), buckets) == wanted)
+    return df.filter(integer_bucket(F.col(key), buckets) == wanted)
 
 
-def sample_rows(df: DataFrame, key: str, fraction: float, seed: str = "1") -> DataFrame:
-    """Reproducible sample without replacement: rows whose key hash is low.
+def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 1) -> DataFrame:
+    """Reproducible sample without replacement: rows whose (integer) key hash is low.
 
     Independent of partitioning and of task retries.  ``DataFrame.sample`` is the
     cheaper choice when that does not matter.
     """
     if not 0 <= fraction <= 1:
         raise ValueError("the fraction must be between 0 and 1")
-    return df.filter(portable_bucket(F.col(key), 1000, seed) < round(fraction * 1000))
+    return df.filter(integer_bucket(F.col(key), 1000, seed) < round(fraction * 1000))
 
 
-def route_rows(df: DataFrame, route: Column, routes: int, spread: Column | None = None, fan_out: int = 1) -> DataFrame:
-    """Send each row to the partition its ``route`` names (0 .. routes-1).
+def route_rows(df: DataFrame, route: Column, routes: int, spread: Column, fan_out: int | None = None) -> DataFrame:
+    """Send each row to a partition its ``route`` (0 .. routes-1) owns.
 
-    A hot route can be given ``fan_out`` partitions: route r then owns the
-    partitions r*fan_out .. r*fan_out + fan_out - 1, filled by ``spread``.
+    Route r owns the partitions r*fan_out .. r*fan_out + fan_out - 1, filled by
+    ``spread``, so a route that takes most rows is not one task.  By default the
+    routes share the session's shuffle partitions; with ``fan_out=1`` the partition
+    number is the route.  ``fan_out_of`` tells the number in use.
     """
-    target = route.cast("int") * fan_out
-    if fan_out > 1:
-        if spread is None:
-            raise ValueError("a fan-out needs a column to spread by")
-        target = target + F.pmod(F.xxhash64(spread), F.lit(fan_out)).cast("int")
-    return df.repartitionById(routes * fan_out, target)
+    width = fan_out_of(df, routes, fan_out)
+    return df.repartitionById(routes * width, route.cast("int") * width + row_salt(spread, width))
+
+
+def fan_out_of(df: DataFrame, routes: int, fan_out: int | None = None) -> int:
+    if fan_out is not None:
+        return fan_out
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // routes)

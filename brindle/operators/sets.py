@@ -42,6 +42,10 @@ def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def distinct_rows(df: DataFrame, *columns: str, files: int | None = None) -> DataFrame:
-    """Distinct rows; ``files`` narrows the result after the duplicates are gone."""
+    """Distinct rows, in ``files`` partitions if given.
+
+    The narrowing is a shuffle of the distinct rows: ``coalesce`` would run the
+    duplicate removal itself in that few tasks.
+    """
     out = (df.select(*columns) if columns else df).distinct()
-    return out.coalesce(files) if files else out
+    return out.repartition(files) if files else out

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.operators.sets import distinct_rows
+
 CLICK, ORDER, PAY = "click", "order", "pay"
 
 
@@ -14,19 +16,18 @@ def category_actions(visits: DataFrame, exclusive: bool = False) -> DataFrame:
     By default clicks, orders and payments of a visit all count.  ``exclusive``
     takes a visit's first kind only: click, else order, else pay.
     """
-    tag = lambda ids, action: F.transform(
-        ids, lambda c: F.struct(c.alias("category_id"), F.lit(action).alias("action"))
-    )
-    none = F.array().cast("array<struct<category_id: string, action: string>>")
-    clicks = tag(F.array("click_category_id"), CLICK)
-    orders = tag(F.col("order_category_ids"), ORDER)
-    pays = tag(F.col("pay_category_ids"), PAY)
-    clicked = F.col("click_category_id").isNotNull()
+    kind = lambda action, ids: F.struct(F.lit(action).alias("action"), ids.alias("ids"))
+    clicked = F.array(F.col("click_category_id"))
+    click = kind(CLICK, F.when(F.col("click_category_id").isNotNull(), clicked))
+    order, pay = kind(ORDER, F.col("order_category_ids")), kind(PAY, F.col("pay_category_ids"))
     if exclusive:
-        actions = F.when(clicked, clicks).otherwise(F.coalesce(orders, pays, none))
+        kinds = F.array(
+            F.when(click["ids"].isNotNull(), click).when(order["ids"].isNotNull(), order).otherwise(pay)
+        )
     else:
-        actions = F.concat(F.when(clicked, clicks).otherwise(none), F.coalesce(orders, none), F.coalesce(pays, none))
-    return visits.select("session_id", F.explode(actions).alias("a")).select("a.category_id", "session_id", "a.action")
+        kinds = F.array(click, order, pay)
+    by_kind = visits.select("session_id", F.explode(kinds).alias("k"))
+    return by_kind.select(F.explode("k.ids").alias("category_id"), "session_id", F.col("k.action").alias("action"))
 
 
 def category_counts(actions: DataFrame) -> DataFrame:
@@ -68,8 +69,7 @@ def top_sessions(visits: DataFrame, categories: int = 10, sessions: int = 10, ex
 
 def distinct_addresses(log: DataFrame, files: int | None = None) -> DataFrame:
     """Client addresses, once each; narrowed to few files only after that."""
-    out = log.select("ip").distinct()
-    return out.coalesce(files) if files else out
+    return distinct_rows(log, "ip", files=files)
 
 
 def visits_per_hour(log: DataFrame) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import row_salt
+from brindle.plans import broadcast_if_small
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -48,27 +51,24 @@ def overwrite_partitions(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str],
-    hot: Column | None = None,
     spread: Column | None = None,
-    scatter: int = 5,
+    rows_per_file: int | None = None,
 ) -> None:
     """Replace just the partitions that occur in ``df``; the others stay.
 
     Rows are clustered by partition, so a task writes few files.  By default the
     clustering is a rebalance, which adaptive execution splits where a partition is
-    large.  With ``hot`` (a predicate) and ``spread`` (a column that differs
-    between rows), the hot partitions are scattered into ``scatter`` slices and the
-    others are kept together.  Either way it is one write, so no row can fall
-    between two complementary predicates.
+    large.  With ``rows_per_file`` every partition is cut into slices of about that
+    many rows by ``spread`` (a column that differs between rows), so a hot partition
+    is scattered over as many files as it needs and a small one stays one file.
+    Either way it is one write: no row can fall between two predicates.
     """
-    keys = [F.col(name) for name in partition_by]
-    if hot is None:
+    if rows_per_file is None:
         clustered = df.hint("rebalance", *partition_by)
     else:
         if spread is None:
-            raise ValueError("scattering a hot partition needs a column to spread by")
-        slot = F.when(F.coalesce(hot, F.lit(False)), row_salt(spread, scatter)).otherwise(0)
-        clustered = df.repartition(*keys, slot)
+            raise ValueError("scattering a partition needs a column to spread by")
+        clustered = _sliced(df, partition_by, spread, rows_per_file)
     (
         clustered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -77,6 +77,21 @@ def overwrite_partitions(
     )
 
 
+def _sliced(df: DataFrame, partition_by: Sequence[str], spread: Column, rows_per_file: int) -> DataFrame:
+    """``df`` repartitioned by partition and slice."""
+    keys = [F.col(name).alias(f"_p_{name}") for name in partition_by]
+    slices = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_slices"))
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_p_{name}")) for name in partition_by])
+    sized = df.join(broadcast_if_small(slices), same, "left")
+    return sized.repartition(*partition_by, row_salt(spread, F.col("_slices"))).select(*df.columns)
+
+
+def data_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the Parquet files below a folder, from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return files.load(path).agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+
+
 def compact_files(
     spark: SparkSession,
     source: str,
@@ -93,7 +108,5 @@ def compact_files(
     if partition_by:
         overwrite_partitions(df, target, partition_by)
     else:
-        files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
-        total = files.groupBy("path").agg(F.max("size").alias("size")).agg(F.sum("size").alias("bytes")).first()
-        df.coalesce(max(1, ceil((total["bytes"] or 0) / target_bytes))).write.parquet(target)
+        df.coalesce(max(1, ceil(data_bytes(spark, source) / target_bytes))).write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.functions import portable_bucket
+from brindle.functions import integer_bucket
 
 
 def from_rows(
@@ -37,17 +37,17 @@ def read_table(spark: SparkSession, name: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def people(ids: DataFrame, prefix: str, seed: str, with_age: bool = True) -> DataFrame:
+def people(ids: DataFrame, prefix: str, seed: int, with_age: bool = True) -> DataFrame:
     """Generated rows for each ``id``: a name, an age and a partition number.
 
     The "random" columns are hashes of the id, so that a task that runs again
     makes the same rows and no Python function takes part.  For a plain range pass
     ``spark.range(n)``.
     """
-    age = [portable_bucket(F.col("id"), 100, f"{seed}-age").cast("int").alias("age")] if with_age else []
+    age = [integer_bucket(F.col("id"), 100, seed).cast("int").alias("age")] if with_age else []
     return ids.select(
         "id",
         F.concat(F.lit(prefix), F.col("id").cast("string")).alias("name"),
         *age,
-        portable_bucket(F.col("id"), 100, f"{seed}-partition").cast("int").alias("partition"),
+        integer_bucket(F.col("id"), 100, seed + 1).cast("int").alias("partition"),
     )
