@@ -83,7 +83,8 @@ def cogroup_counts(key: str, **sides: DataFrame) -> DataFrame:
 def observed(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, Observation]:
     """Metrics collected on the side while the frame is used by its first action.
 
-    Unlike an accumulator they do not grow when the plan runs again.
+    Unlike an accumulator they do not grow when the plan runs again.  Read them
+    (``observation.get`` waits for them) before a further action on the frame.
     """
     observation = Observation(name)
     return df.observe(observation, *metrics), observation

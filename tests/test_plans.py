@@ -1,0 +1,194 @@
+"""What the optimizer and adaptive execution make of the queries."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from brindle import datasets
+from brindle.catalog import all_queries, joins, layout
+from brindle.operators import aggregates, sets
+from brindle.plans import broadcast_if_small, executed_plan, measured_bytes, plan_text, scoped_conf
+
+QUERIES = all_queries()
+STATIC = {"spark__sql__adaptive__enabled": "false"}
+NO_BROADCAST = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+}
+
+
+def static_plan(spark, df_of, mode="simple", **conf):
+    with scoped_conf(spark, **STATIC, **conf):
+        return plan_text(df_of(), mode)
+
+
+def exchanges(plan):
+    return len(re.findall(r"\bExchange (?:hash|range|round|single)", plan, re.I))
+
+
+@pytest.mark.parametrize("mode", ["simple", "extended", "codegen", "cost", "formatted"])
+def test_plan_text(spark, sf_dir, mode):
+    assert "Plan" in plan_text(QUERIES["filter_odd"](spark, sf_dir), mode) or mode == "codegen"
+
+
+def test_plan_text_rejects_other_modes(spark):
+    with pytest.raises(ValueError):
+        plan_text(spark.range(1), "pretty")
+
+
+def test_settings_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError), scoped_conf(spark, spark__sql__shuffle__partitions="3", spark__brindle__probe="x"):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.brindle.probe", None) is None
+
+
+def test_top_k_needs_no_sort_shuffle(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["hot_category_top10"](spark, sf_dir))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert exchanges(plan) == 1 and "partial_count" in plan
+
+
+def test_cogroup_is_one_shuffle(spark, sf_dir):
+    assert exchanges(static_plan(spark, lambda: QUERIES["cogroup_counts"](spark, sf_dir))) == 1
+
+
+def test_group_limit_before_the_ranking_shuffle(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["top_sessions"](spark, sf_dir))
+    assert plan.count("WindowGroupLimit") == 2
+    final, partial = plan.index("Final"), plan.index("10, Partial")
+    assert final < plan.index("Exchange hashpartitioning(category_id") < partial
+
+
+def test_word_count_combines_before_the_shuffle(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["word_count"](spark, sf_dir))
+    assert exchanges(plan) == 1 and "partial_count" in plan
+
+
+def test_intersection_is_one_shuffle(spark):
+    left, right = spark.range(10), spark.range(5, 15)
+    plan = static_plan(spark, lambda: sets.intersection(left, right), **NO_BROADCAST)
+    assert exchanges(plan) == 1 and "Join" not in plan
+
+
+def test_chunks_of_a_group_are_shuffled_apart(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["group_by_expression"](spark, sf_dir))
+    assert re.search(r"Exchange hashpartitioning\(key#\d+, chunk#\d+, \d+\), REPARTITION_BY_COL", plan)
+    done = executed_plan(QUERIES["group_by_expression"](spark, sf_dir)).split("Initial Plan")[0]
+    assert "ReusedExchange" in done, "the oversized keys must come from the shuffle the values use"
+
+
+def test_column_pruning(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["course_revenue"](spark, sf_dir), "formatted")
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan)
+    assert {frozenset(re.findall(r"(\w+):", s)) for s in schemas} == {
+        frozenset({"p_partkey", "p_name"}),
+        frozenset({"l_orderkey", "l_partkey", "l_extendedprice"}),
+    }
+
+
+def test_filters_reach_the_scan(spark, sf_dir):
+    plan = static_plan(spark, lambda: datasets.pay(spark, sf_dir), "formatted")
+    assert "EqualTo(o_orderstatus,F)" in plan
+    plan = static_plan(spark, lambda: QUERIES["search_contains"](spark, sf_dir), "formatted")
+    assert "StringContains(text,the)" in plan
+
+
+def test_outer_join_predicate_in_on_or_where(spark, sf_dir):
+    course, cart = joins._sides(spark, sf_dir)
+    run = lambda **kw: spark.sql(joins.predicate_sql("LEFT", **kw), course=course, cart=cart)
+    on = static_plan(spark, lambda: run(extra_on=joins.LEFT_PREDICATE), "formatted")
+    where = static_plan(spark, lambda: run(where=joins.LEFT_PREDICATE), "formatted")
+    assert "EqualTo(p_type,ECONOMY)" not in on, "in ON it must not filter the left side"
+    assert "EqualTo(p_type,ECONOMY)" in where
+
+
+def test_rejected_nulls_make_the_join_inner_and_constants_fold(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["left_where_right_pred"](spark, sf_dir), "extended")
+    optimized = plan.split("Optimized Logical Plan")[1]
+    assert "Join Inner" in optimized and "LeftOuter" not in optimized
+    assert "0.05" in optimized and "2 + 3" not in optimized
+
+
+def test_without_auto_broadcast_the_join_is_a_merge(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["inner_join_sql"](spark, sf_dir), **NO_BROADCAST)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("hint", ["BROADCAST", "BROADCASTJOIN", "MAPJOIN"])
+def test_hints_broadcast_a_side_of_checked_size_only(spark, sf_dir, monkeypatch, hint):
+    course, cart = joins._ids(spark, sf_dir)
+    make = lambda: joins.hinted_pairs(spark, course, cart, hint)
+    assert "BroadcastHashJoin" in static_plan(spark, make, **NO_BROADCAST)
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT", 100)
+    assert "SortMergeJoin" in static_plan(spark, make, **NO_BROADCAST)
+
+
+def test_broadcast_by_api_checks_the_size(spark):
+    small, big = spark.range(100), spark.range(10_000)
+    join = lambda limit: broadcast_if_small(small, limit).join(big, "id")
+    assert "BroadcastHashJoin" in static_plan(spark, lambda: join(10_000), **NO_BROADCAST)
+    assert "BroadcastHashJoin" not in static_plan(spark, lambda: join(100), **NO_BROADCAST)
+
+
+def test_measured_bytes_follow_the_text(rows):
+    short, long = rows([("a",)] * 10, "s string"), rows([("a" * 1000,)] * 10, "s string")
+    assert measured_bytes(long) > 10_000 > measured_bytes(short) > 0
+    assert measured_bytes(rows([([1, 2],), (None,)], "xs array<int>")) > 0
+    assert measured_bytes(short.limit(0)) == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
+    cart, pay = layout.bucket_tables(spark, sf_dir)
+    plan = static_plan(spark, lambda: spark.table(cart).join(spark.table(pay), "orderid", "left"), **NO_BROADCAST)
+    assert "SortMergeJoin" in plan and exchanges(plan) == 0
+    buckets = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESC FORMATTED {cart}").collect()}
+    assert buckets["Num Buckets"] == "5" and "orderid" in buckets["Bucket Columns"]
+
+
+def test_dynamic_partition_pruning(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["partition_pruned_join"](spark, sf_dir))
+    assert "dynamicpruning" in plan
+
+
+def test_adaptive_coalescing(spark, sf_dir):
+    assert "AQEShuffleRead coalesced" in executed_plan(QUERIES["count_by_key"](spark, sf_dir))
+
+
+def test_adaptive_switch_to_broadcast(spark, sf_dir):
+    with scoped_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="1MB"):
+        plan = executed_plan(QUERIES["range_right_join"](spark, sf_dir))
+    final, initial = plan.split("Initial Plan")
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" in initial and "AQEShuffleRead local" in final
+
+
+def test_salted_sum_shuffles_by_key_and_salt_then_by_key(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["salted_agg"](spark, sf_dir))
+    assert exchanges(plan) == 2 and re.search(r"hashpartitioning\(courseid#\d+L, _groupingexpression#\d+|hashpartitioning\(courseid#\d+L, _salt#\d+", plan)
+
+
+def test_sql_salt_functions_are_inlined(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["salted_agg_sql"](spark, sf_dir))
+    assert "salt_key" not in plan and "Python" not in plan
+
+
+def test_python_takes_part_only_where_it_must(spark, sf_dir):
+    for name, query in QUERIES.items():
+        if name in ("partition_map", "sequence_file_round_trip"):
+            continue
+        assert "Python" not in plan_text(query(spark, sf_dir), "simple"), name
+
+
+def test_no_cross_joins(spark, sf_dir):
+    for name, query in QUERIES.items():
+        plan = plan_text(query(spark, sf_dir), "simple")
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_cogroup_needs_no_cache(spark, sf_dir):
+    with aggregates.reused(datasets.visits(spark, sf_dir)) as kept:
+        assert "InMemory" in plan_text(kept.select(F.count("user_id")), "simple")
+    assert "InMemory" not in plan_text(QUERIES["cogroup_counts"](spark, sf_dir), "simple")

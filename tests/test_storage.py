@@ -1,0 +1,255 @@
+"""Files and tables: writers, partition overwrites, compaction, statistics."""
+
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from brindle.operators import profile
+from brindle.plans import materialize, shared_dir, table_name
+from brindle.plans import workspace
+from brindle.sinks import (
+    append_table,
+    compact_files,
+    for_each_partition,
+    insert_by_name,
+    overwrite_partitions,
+    read_sequence_file,
+    replace_table,
+    save_bucketed,
+    save_partitioned,
+    write_json,
+    write_sequence_file,
+    write_text,
+)
+from brindle.sinks.files import data_bytes
+from brindle.sources import read_json, read_table, read_text, read_whole_files, split_corrupt, use_database
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+def data_files(path):
+    return sorted(
+        os.path.join(folder, f) for folder, _, files in os.walk(local(path)) for f in files if f.startswith("part-")
+    )
+
+
+@pytest.fixture
+def path(spark):
+    return shared_dir(spark, "test")
+
+
+def test_text_round_trip_keeps_blank_lines(spark, rows, path):
+    df = rows([("a",), ("",), ("b  ",), ("c\nd",), ("é\r",)], "value string", 2)
+    write_text(df, path)
+    assert sorted(r[0] for r in read_text(spark, path).collect()) == ["", "a", "b  ", "c", "d", "é\r"]
+    assert read_text(spark, path, min_partitions=7).rdd.getNumPartitions() == 7
+    with pytest.raises(AnalysisException):
+        write_text(df, path)
+
+
+def test_gzip(spark, rows, path):
+    write_text(rows([("a",), ("b",)], "value string"), path, compression="gzip")
+    assert all(f.endswith(".txt.gz") for f in data_files(path))
+    assert sorted(r[0] for r in read_text(spark, path).collect()) == ["a", "b"]
+
+
+def test_text_takes_one_column(rows, path):
+    with pytest.raises(AnalysisException):
+        write_text(rows([("a", "b")], "x string, y string"), path)
+
+
+def test_whole_files(spark, path):
+    write_text(spark.range(25).select(F.col("id").cast("string")).coalesce(1), path, rows_per_file=10)
+    files = read_whole_files(spark, path).collect()
+    assert sorted(len(r["value"].split()) for r in files) == [5, 10, 10]
+    assert len({r["path"] for r in files}) == 3
+
+
+def test_globs_and_lists(spark, rows, path):
+    for name in ("x1", "x2", "y1"):
+        write_text(rows([(name,)], "value string"), f"{path}/{name}")
+    assert read_text(spark, f"{path}/x*").count() == 2
+    assert read_text(spark, [f"{path}/x1", f"{path}/y1"]).count() == 2
+
+
+def test_json_with_corrupt_lines(spark, rows, path):
+    write_text(rows([('{"a": 1, "b": "x"}',), ('{"a": ',), ("nonsense",), ('{"a": "text"}',)], "value string"), path)
+    good, bad = split_corrupt(read_json(spark, path, "a int, b string"))
+    assert [tuple(r) for r in good.collect()] == [(1, "x")] and good.columns == ["a", "b"]
+    assert {r["_corrupt_record"] for r in bad.collect()} == {'{"a": ', "nonsense", '{"a": "text"}'}
+
+
+def test_json_inference(spark, rows, path):
+    write_json(rows([(1, "x"), (2, None)], "a bigint, b string"), path)
+    good, bad = split_corrupt(read_json(spark, path))
+    assert good.count() == 2 and bad.count() == 0
+
+
+def test_sequence_file(spark, rows, path):
+    pairs = rows([(1, "a"), (1, "b"), (2, "c")], "k bigint, v string")
+    write_sequence_file(pairs, path)
+    assert sorted(map(tuple, read_sequence_file(spark, path, "k bigint, v string").collect())) == [(1, "a"), (1, "b"), (2, "c")]
+    with pytest.raises(ValueError):
+        write_sequence_file(pairs.select("k"), path + "x")
+
+
+@pytest.fixture
+def days(rows):
+    return rows(
+        [(1, "20190721", "webB"), (2, "20190722", "webA"), (3, "20190722", "webB"), (4, "20190721", "webA")],
+        "id int, dt string, dn string",
+    )
+
+
+@pytest.mark.parametrize("rows_per_file", [None, 1])
+def test_partition_write_keeps_every_row(spark, days, path, rows_per_file):
+    overwrite_partitions(days, path, ["dt", "dn"], F.col("id"), rows_per_file)
+    back = spark.read.schema(days.schema).parquet(path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, days.collect()))
+
+
+def test_only_named_partitions_are_replaced(spark, days, rows, path):
+    overwrite_partitions(days, path, ["dt", "dn"])
+    overwrite_partitions(rows([(9, "20190722", "webA"), (10, "20190723", "webA")], days.schema), path, ["dt", "dn"])
+    back = spark.read.schema(days.schema).parquet(path)
+    assert sorted(r["id"] for r in back.collect()) == [1, 3, 4, 9, 10]
+
+
+def test_hot_partition_is_scattered_and_others_are_not(spark, path):
+    df = spark.range(1100).select(F.col("id"), F.when(F.col("id") < 1000, "hot").otherwise((F.col("id") % 4).cast("string")).alias("dt"))
+    overwrite_partitions(df, path, ["dt"], F.col("id"), rows_per_file=200)
+    assert len(data_files(f"{path}/dt=hot")) == 5
+    assert all(len(data_files(f"{path}/dt={d}")) == 1 for d in range(4))
+    assert spark.read.parquet(path).count() == 1100
+
+
+def test_null_partition_value(spark, rows, path):
+    df = rows([(1, None), (2, "a")], "id int, dt string")
+    overwrite_partitions(df, path, ["dt"], F.col("id"), rows_per_file=10)
+    assert sorted(map(str, spark.read.schema(df.schema).parquet(path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_scatter_needs_a_spread(days, path):
+    with pytest.raises(ValueError):
+        overwrite_partitions(days, path, ["dt"], rows_per_file=1)
+
+
+@pytest.mark.parametrize("partition_by", [(), ("dt",)])
+def test_compaction(spark, path, partition_by):
+    df = spark.range(600).select("id", F.concat(F.lit("d"), (F.col("id") % 3).cast("string")).alias("dt"))
+    writer = df.repartition(12).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    compacted = compact_files(spark, path, path + "-compact", partition_by)
+    before, after = len(data_files(path)), len(data_files(path + "-compact"))
+    assert after < before and after <= 3
+    assert sorted(map(tuple, compacted.select("id", "dt").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_compaction_follows_the_size(spark, path):
+    spark.range(4000).repartition(12).write.parquet(path)
+    size = data_bytes(spark, path)
+    assert size == sum(os.path.getsize(f) for f in data_files(path))
+    compact_files(spark, path, path + "-half", target_bytes=size // 2)
+    assert 2 <= len(data_files(path + "-half")) <= 3
+
+
+def test_tables(spark, rows, path):
+    name = table_name("probe")
+    first = rows([(1, "a")], "id int, v string")
+    assert append_table(first, name, path=path).count() == 1
+    assert append_table(rows([(2, "b")], "id int, v string"), name).count() == 2
+    swapped = rows([("z", 7)], "v string, id int")
+    assert [tuple(r) for r in insert_by_name(swapped, name).collect()] == [(7, "z")]
+    assert insert_by_name(swapped, name, overwrite=False).count() == 2
+    assert [tuple(r) for r in replace_table(first, name, path).collect()] == [(1, "a")]
+    use_database(spark, "default")
+    assert [tuple(r) for r in read_table(spark, name, "v").collect()] == [("a",)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_partitioned_table_keeps_text_partitions(spark, days, path):
+    name = table_name("days")
+    saved = save_partitioned(days, name, ["dt", "dn"], path)
+    assert dict(saved.dtypes)["dt"] == "string"
+    again = append_table(days, name, ["dt", "dn"], path)
+    assert again.count() == 8
+
+
+def test_bucketed_table(spark, path):
+    df = spark.range(1000).select("id", F.lit("x").alias("v"))
+    saved = save_bucketed(df, table_name("buckets"), 5, "id", path)
+    assert saved.count() == 1000 and len(data_files(path)) >= 5
+
+
+def test_partition_sink_opens_and_closes_once_per_partition(spark, tmp_path):
+    target = str(tmp_path)
+
+    def opened():
+        import uuid
+
+        return open(f"{target}/{uuid.uuid4().hex}", "w")
+
+    for_each_partition(
+        spark.range(0, 10, 1, 4), opened, lambda out, row: out.write(f"{row.id}\n"), lambda out: out.close()
+    )
+    files = os.listdir(target)
+    assert len(files) == 4
+    assert sorted(int(line) for f in files for line in open(f"{target}/{f}")) == list(range(10))
+
+
+def test_materialized_rows_have_no_lineage(spark):
+    from brindle.plans import plan_text
+
+    out = materialize(spark.range(10).filter("id > 3"))
+    assert out.count() == 6 and "Range" not in plan_text(out, "simple")
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark, "a").startswith(root.rstrip("/")) and shared_dir(spark, "a") != shared_dir(spark, "a")
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(Session())
+
+
+def test_profile(rows):
+    df = rows([(1, "a"), (2, "bbb"), (2, None), (None, "a")], "id int, v string")
+    found = {r["column_name"]: r for r in profile.column_profile(df, ["id", "v"]).collect()}
+    one, two = found["id"], found["v"]
+    assert (one["row_count"], one["null_count"], one["distinct_count"], one["min_value"], one["max_value"]) == (4, 1, 2, "1", "2")
+    assert (two["distinct_count"], two["max_length"]) == (2, 3) and two["avg_length"] == pytest.approx(5 / 3)
+
+
+def test_profile_of_an_empty_column(rows):
+    found = profile.column_profile(rows([], "id int"), ["id"]).first()
+    assert (found["row_count"], found["distinct_count"], found["min_value"]) == (0, 0, None)
+
+
+def test_catalog_statistics(spark, path):
+    name = table_name("stats")
+    replace_table(spark.range(50), name, path)
+    before = profile.catalog_statistics(spark, name, ["id"])[0]
+    profile.analyze(spark, name, ["id"])
+    after = profile.catalog_statistics(spark, name, ["id"])[0]
+    assert before["max"] is None and (after["min"], after["max"], after["num_nulls"]) == ("0", "49", "0")
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESC FORMATTED {name}").collect()}
+    assert "50 rows" in described["Statistics"]
