@@ -7,11 +7,11 @@ from functools import reduce
 from math import ceil
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import row_salt
-from brindle.plans import broadcast_if_small
+from brindle.plans import broadcast_if_small, materialize
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -78,12 +78,20 @@ def overwrite_partitions(
 
 
 def _sliced(df: DataFrame, partition_by: Sequence[str], spread: Column, rows_per_file: int) -> DataFrame:
-    """``df`` repartitioned by partition and slice."""
+    """``df`` with one shuffle partition per slice of a table partition."""
     keys = [F.col(name).alias(f"_p_{name}") for name in partition_by]
-    slices = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_slices"))
+    counts = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_slices"))
+    # One row per table partition: small enough for one window, and written so that
+    # numbering and rows see the same counts.
+    before = Window.orderBy(*[f"_p_{name}" for name in partition_by]).rowsBetween(Window.unboundedPreceding, -1)
+    slices = materialize(
+        counts.withColumn("_first", F.coalesce(F.sum("_slices").over(before), F.lit(0).cast("bigint"))), "slices"
+    )
+    total = slices.agg(F.sum("_slices").alias("total")).first()["total"] or 1
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_p_{name}")) for name in partition_by])
     sized = df.join(broadcast_if_small(slices), same, "left")
-    return sized.repartition(*partition_by, row_salt(spread, F.col("_slices"))).select(*df.columns)
+    slot = F.col("_first") + row_salt(spread, F.col("_slices"))
+    return sized.repartitionById(total, slot.cast("int")).select(*df.columns)
 
 
 def data_bytes(spark: SparkSession, path: str) -> int:

@@ -77,8 +77,7 @@ def test_intersection_is_one_shuffle(spark):
 def test_chunks_of_a_group_are_shuffled_apart(spark, sf_dir):
     plan = static_plan(spark, lambda: QUERIES["group_by_expression"](spark, sf_dir))
     assert re.search(r"Exchange hashpartitioning\(key#\d+, chunk#\d+, \d+\), REPARTITION_BY_COL", plan)
-    done = executed_plan(QUERIES["group_by_expression"](spark, sf_dir)).split("Initial Plan")[0]
-    assert "ReusedExchange" in done, "the oversized keys must come from the shuffle the values use"
+    assert "ReusedExchange" in plan, "the oversized keys must come from the shuffle the values use"
 
 
 def test_column_pruning(spark, sf_dir):
@@ -172,7 +171,7 @@ def test_salted_sum_shuffles_by_key_and_salt_then_by_key(spark, sf_dir):
 
 def test_sql_salt_functions_are_inlined(spark, sf_dir):
     plan = static_plan(spark, lambda: QUERIES["salted_agg_sql"](spark, sf_dir))
-    assert "salt_key" not in plan and "Python" not in plan
+    assert "salt_key(" not in plan and "Python" not in plan
 
 
 def test_python_takes_part_only_where_it_must(spark, sf_dir):
@@ -190,5 +189,5 @@ def test_no_cross_joins(spark, sf_dir):
 
 def test_cogroup_needs_no_cache(spark, sf_dir):
     with aggregates.reused(datasets.visits(spark, sf_dir)) as kept:
-        assert "InMemory" in plan_text(kept.select(F.count("user_id")), "simple")
-    assert "InMemory" not in plan_text(QUERIES["cogroup_counts"](spark, sf_dir), "simple")
+        assert "InMemoryTableScan" in plan_text(kept.select(F.count("user_id")), "simple")
+    assert "InMemoryTableScan" not in plan_text(QUERIES["cogroup_counts"](spark, sf_dir), "simple")

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.catalog import joins as join_queries
 from brindle.functions import register_salt_functions
 from brindle.operators import sales, skew
 from brindle.operators.joins import bucketed_left_join, left_join_hot_right
@@ -181,7 +180,6 @@ def test_adaptive_execution_splits_the_hot_course(spark):
         assert "skew=true" in executed_plan(left_join_hot_right(course, right, ["courseid"]))
         # The plain outer join cannot be split on its right side.
         assert "skew=true" not in executed_plan(course.join(right, "courseid", "left"))
-        assert "skew=true" in executed_plan(join_queries.hinted_pairs(spark, course, right, ""))
 
 
 def test_course_sales_equals_the_plain_joins(spark):
