@@ -176,7 +176,7 @@ def rejected_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         datasets.table(spark, sf_dir, "events")
         .filter(F.col("event_type") == "error")
         .select(
-            F.concat(F.col("user_id").cast("string"), F.lit(" - - "), F.date_format("ts", datasets.LOG_TIME)).alias("value")
+            F.concat(F.col("user_id").cast("string"), F.lit(" - - "), datasets.log_time_text("ts")).alias("value")
         )
     )
     return visit_rejects(datasets.visit_lines(spark, sf_dir).unionByName(other))

@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-DAY = "yyyy-MM-dd"
-SECOND = "yyyy-MM-dd HH:mm:ss"
-LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
 
 ROW_ID = "_row_id"
 
@@ -30,6 +27,23 @@ def with_row_id(scan: DataFrame) -> DataFrame:
     return scan.withColumn(ROW_ID, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
 
 
+# The times carry no zone, so they are shown by their text form; ``date_format``
+# would take them through the session's zone.
+def day_text(time: str) -> Column:
+    return F.substring(F.col(time).cast("string"), 1, 10)
+
+
+def second_text(time: str) -> Column:
+    return F.substring(F.col(time).cast("string"), 1, 19)
+
+
+def log_time_text(time: str) -> Column:
+    """dd/MM/yyyy:HH:mm:ss"""
+    text = F.col(time).cast("string")
+    part = lambda start, length: F.substring(text, start, length)
+    return F.concat(part(9, 2), F.lit("/"), part(6, 2), F.lit("/"), part(1, 4), F.lit(":"), part(12, 8))
+
+
 # ---- visit and access logs -------------------------------------------------
 
 
@@ -45,11 +59,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .withColumn("k", _category(F.col("props")))
         .select(
-            F.date_format("ts", DAY).alias("date"),
+            day_text("ts").alias("date"),
             "user_id",
-            F.concat_ws("-", text(F.col("user_id")), F.date_format("ts", DAY)).alias("session_id"),
+            F.concat_ws("-", text(F.col("user_id")), day_text("ts")).alias("session_id"),
             F.lit(0).cast("bigint").alias("page_id"),
-            F.date_format("ts", SECOND).alias("action_time"),
+            second_text("ts").alias("action_time"),
             F.lit(None).cast("string").alias("search_keyword"),
             F.when(kind == "view", text(k)).alias("click_category_id"),
             F.lit(None).cast("bigint").alias("click_product_id"),
@@ -99,7 +113,7 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"GET /'), "event_type", F.lit("/"), _category(F.col("props")).cast("string"), F.lit(' HTTP/1.1"')
     )
     return table(spark, sf_dir, "events").select(
-        F.concat_ws(" ", address, F.lit("-"), F.lit("-"), F.date_format("ts", LOG_TIME), F.lit("+0000"), request).alias(
+        F.concat_ws(" ", address, F.lit("-"), F.lit("-"), log_time_text("ts"), F.lit("+0000"), request).alias(
             "value"
         )
     )
@@ -169,7 +183,7 @@ def cart(spark: SparkSession, sf_dir: str, row_id: bool = False) -> DataFrame:
         F.concat(F.lit("course "), F.col("l_partkey").cast("string")).alias("coursename"),
         F.col("l_discount").alias("cart_discount"),
         F.col("l_extendedprice").cast(MONEY).alias("sellmoney"),
-        F.date_format("l_shipdate", DAY).alias("cart_createtime"),
+        day_text("l_shipdate").alias("cart_createtime"),
         *_day_and_site("l_orderkey"),
         *([ROW_ID] if row_id else []),
     )
@@ -184,7 +198,7 @@ def pay(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderkey").alias("orderid"),
             F.col("o_orderpriority").alias("pay_discount"),
             F.col("o_totalprice").cast(MONEY).alias("paymoney"),
-            F.date_format("o_orderdate", DAY).alias("pay_createtime"),
+            day_text("o_orderdate").alias("pay_createtime"),
             *_day_and_site("o_orderkey"),
         )
     )

@@ -54,7 +54,11 @@ def _numbered(placed: DataFrame, name: str) -> DataFrame:
 
 
 def with_position(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
-    """Number the rows 1, 2, 3 ... in a total order, without a single-task window."""
+    """Number the rows 1, 2, 3 ... in a total order, without a single-task window.
+
+    ``df`` should be a scan, or ``materialize``d: rows that are equal in the order are
+    told apart by their place in it, which must not change when a task runs again.
+    """
     return _numbered(_placed(df, *order), name)
 
 

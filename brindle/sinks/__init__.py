@@ -8,6 +8,7 @@ from brindle.sinks.files import (
 )
 from brindle.sinks.tables import (
     append_table,
+    drop_table,
     insert_by_name,
     replace_table,
     save_bucketed,
@@ -18,6 +19,7 @@ from brindle.sinks.tables import (
 __all__ = [
     "append_table",
     "compact_files",
+    "drop_table",
     "for_each_partition",
     "insert_by_name",
     "overwrite_partitions",

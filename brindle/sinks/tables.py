@@ -93,4 +93,5 @@ def for_each_partition(
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Forget a table; the files of one saved under a path stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -22,7 +22,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 6))
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, Decimal):
         return str(value.normalize())
     return str(value)

@@ -260,13 +260,15 @@ def test_access_log_parsing(rows):
             ('1.2.3.4 - - 17/05/2015:10:05:03 +0000 "GET /a HTTP/1.1"',),
             ('1.2.3.4 - - 17/05/2015:09:05:03 +0000 "GET /b HTTP/1.1"',),
             ('5.6.7.8 - - 99/99/2015:10 +0000 "GET /c HTTP/1.1"',),
+            ('5.6.7.8 - - 31/02/2015:10:00:00 +0000 "GET /c HTTP/1.1"',),
+            ('5.6.7.8 - - 2015-05-17 +0000 "GET /c HTTP/1.1"',),
             ("short",),
             ("",),
         ],
         "value string",
     )
     parsed = parse_access_log(lines)
-    assert parsed.count() == 5 and parsed.filter("ts is not null").count() == 2
+    assert parsed.count() == 7 and parsed.filter("ts is not null").count() == 2
     assert values(visits.visits_per_hour(parsed)) == [("10", 1), ("9", 1)]
     assert values(visits.urls_on_day(lines, "17/05/2015")) == ["/a", "/b"]
 
@@ -316,3 +318,17 @@ def test_reused_frame_is_released(spark):
     with aggregates.reused(spark.range(10)) as kept:
         assert kept.is_cached and kept.count() == 10
     assert not kept.is_cached
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_times_do_not_depend_on_the_session_zone(spark, rows, zone):
+    from brindle import datasets
+    from brindle.plans import scoped_conf
+
+    with scoped_conf(spark, spark__sql__session__timeZone=zone):
+        # 02:30 on this day does not exist in the second zone.
+        df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:05.25' AS ts")
+        texts = df.select(datasets.day_text("ts"), datasets.second_text("ts"), datasets.log_time_text("ts")).first()
+        assert tuple(texts) == ("2024-03-10", "2024-03-10 02:30:05", "10/03/2024:02:30:05")
+        line = rows([(f"1.1.1.1 - - {texts[2]} +0000 x",)], "value string")
+        assert values(visits.visits_per_hour(parse_access_log(line))) == [("2", 1)]

@@ -12,6 +12,7 @@ from brindle.plans import workspace
 from brindle.sinks import (
     append_table,
     compact_files,
+    drop_table,
     for_each_partition,
     insert_by_name,
     overwrite_partitions,
@@ -168,7 +169,8 @@ def test_tables(spark, rows, path):
     assert [tuple(r) for r in replace_table(first, name, path).collect()] == [(1, "a")]
     use_database(spark, "default")
     assert [tuple(r) for r in read_table(spark, name, "v").collect()] == [("a",)]
-    spark.sql(f"DROP TABLE {name}")
+    drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)
 
 
 def test_partitioned_table_keeps_text_partitions(spark, days, path):
