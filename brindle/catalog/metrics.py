@@ -11,7 +11,7 @@ from brindle import datasets
 from brindle.catalog.registry import query, with_ctes
 from brindle.operators import aggregates, profile
 from brindle.operators.visits import category_actions
-from brindle.plans import shared_dir, table_name
+from brindle.plans import checkpointed, shared_dir, table_name
 from brindle.sinks import replace_table
 
 PROFILED = {
@@ -103,8 +103,7 @@ def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def checkpointed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two counts over category actions whose lineage ends at a checkpoint."""
-    shared_dir(spark)  # makes sure a checkpoint folder is set
-    actions = category_actions(datasets.visits(spark, sf_dir)).select("category_id", "action").checkpoint()
+    actions = checkpointed(category_actions(datasets.visits(spark, sf_dir)).select("category_id", "action"))
     by_category = actions.groupBy(F.col("category_id").alias("key")).agg(F.count(F.lit(1)).alias("cnt"))
     by_action = actions.groupBy(F.col("action").alias("key")).agg(F.count(F.lit(1)).alias("cnt"))
     return by_category.select(F.lit("category").alias("kind"), "*").unionByName(

@@ -1,9 +1,10 @@
 from brindle.plans.inspect import executed_plan, plan_text, scoped_conf
 from brindle.plans.sizing import broadcast_if_small, measured_bytes
-from brindle.plans.workspace import materialize, shared_dir, table_name
+from brindle.plans.workspace import checkpointed, materialize, shared_dir, table_name
 
 __all__ = [
     "broadcast_if_small",
+    "checkpointed",
     "executed_plan",
     "materialize",
     "measured_bytes",

@@ -32,6 +32,12 @@ def shared_dir(spark: SparkSession, purpose: str = "work") -> str:
     return f"{_root(spark)}/brindle/{purpose}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut at a checkpoint in the shared folder."""
+    _root(df.sparkSession)
+    return df.checkpoint()
+
+
 def table_name(purpose: str) -> str:
     """A catalog name no other call uses."""
     return f"brindle_{purpose}_{uuid.uuid4().hex}"

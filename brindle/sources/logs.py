@@ -27,7 +27,7 @@ ID_FIELDS = ("click_category_id", "click_product_id")
 
 # Places of the fields in an access log line, and its time format.
 LOG_ADDRESS, LOG_TIME, LOG_URL = 0, 3, 6
-LOG_TIME_PATTERN = r"^(\d\d)/(\d\d)/(\d{4}):(\d\d:\d\d:\d\d)$"
+LOG_TIME_PATTERN = r"^\?(\d\d)/(\d\d)/(\d{4}):(\d\d:\d\d:\d\d)$"
 
 
 def _visit_field(fields: Column, place: int, name: str, kind: str) -> Column:
@@ -61,12 +61,13 @@ def visit_rejects(lines: DataFrame) -> DataFrame:
 def parse_access_log(lines: DataFrame) -> DataFrame:
     """``ip``, ``ts`` and ``url`` of each line; what is missing or malformed is NULL."""
     fields = F.split("value", " ")
-    time = F.get(fields, F.lit(LOG_TIME))
-    # Rearranged and cast, so that no session time zone takes part; text of another
-    # shape stays as it is and becomes NULL.
-    iso = F.nullif(F.regexp_replace(time, LOG_TIME_PATTERN, "$3-$2-$1 $4"), time)
-    return lines.select(
+    parts = lines.select(
         F.get(fields, F.lit(LOG_ADDRESS)).alias("ip"),
-        iso.try_cast("timestamp_ntz").alias("ts"),
+        F.get(fields, F.lit(LOG_TIME)).alias("time"),
         F.get(fields, F.lit(LOG_URL)).alias("url"),
     )
+    # Rearranged and cast, so that no session time zone takes part.  Text of another
+    # shape is left as it is by the pattern, and the cast does not take it for a time
+    # because of the mark in front.
+    iso = F.regexp_replace(F.concat(F.lit("?"), "time"), LOG_TIME_PATTERN, "$3-$2-$1 $4")
+    return parts.select("ip", iso.try_cast("timestamp_ntz").alias("ts"), "url")
