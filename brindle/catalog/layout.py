@@ -137,8 +137,8 @@ def dyn_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "dynamic")
     cart = datasets.cart(spark, sf_dir, row_id=True)
     # The row's place in its file, so that copies of one row scatter as well.
-    overwrite_partitions(cart, path, PARTITIONS, F.col(datasets.ROW_ID), ROWS_PER_FILE)
-    return spark.read.schema(cart.schema).parquet(path).drop(datasets.ROW_ID)
+    overwrite_partitions(cart, path, PARTITIONS, datasets.ROW_ID, ROWS_PER_FILE)
+    return spark.read.schema(cart.drop(datasets.ROW_ID).schema).parquet(path)
 
 
 @query("dyn_partition_rebalance", with_ctes("cart", f"SELECT {_CART} FROM cart"))

@@ -51,7 +51,7 @@ def overwrite_partitions(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str],
-    spread: Column | None = None,
+    spread: Column | str | None = None,
     rows_per_file: int | None = None,
 ) -> None:
     """Replace just the partitions that occur in ``df``; the others stay.
@@ -60,7 +60,8 @@ def overwrite_partitions(
     clustering is a rebalance, which adaptive execution splits where a partition is
     large.  With ``rows_per_file`` every partition is cut into slices of about that
     many rows by ``spread`` (a column that differs between rows), so a hot partition
-    is scattered over as many files as it needs and a small one stays one file.
+    is scattered over as many files as it needs and a small one stays one file.  A
+    spread given by name is a helper column and is not written.
     Either way it is one write: no row can fall between two predicates.
     """
     if rows_per_file is None:
@@ -68,7 +69,10 @@ def overwrite_partitions(
     else:
         if spread is None:
             raise ValueError("scattering a partition needs a column to spread by")
-        clustered = _sliced(df, partition_by, spread, rows_per_file)
+        if isinstance(spread, str):
+            clustered = _sliced(df, partition_by, F.col(spread), rows_per_file).drop(spread)
+        else:
+            clustered = _sliced(df, partition_by, spread, rows_per_file)
     (
         clustered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

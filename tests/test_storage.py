@@ -128,6 +128,13 @@ def test_hot_partition_is_scattered_and_others_are_not(spark, path):
     assert spark.read.parquet(path).count() == 1100
 
 
+def test_a_named_spread_is_not_written(spark, path):
+    df = spark.range(100).select((F.col("id") % 2).alias("dt"), F.lit("x").alias("v"), F.col("id").alias("place"))
+    overwrite_partitions(df, path, ["dt"], "place", rows_per_file=20)
+    back = spark.read.parquet(path)
+    assert sorted(back.columns) == ["dt", "v"] and back.count() == 100
+
+
 def test_null_partition_value(spark, rows, path):
     df = rows([(1, None), (2, "a")], "id int, dt string")
     overwrite_partitions(df, path, ["dt"], F.col("id"), rows_per_file=10)
