@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,14 +37,18 @@ def text_key(text: Column, salt: int = 0) -> Column:
     return F.xxhash64(F.lit(salt), text)
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
-    """``function`` on each Arrow batch; Spark bounds batches by rows and bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield function(batch)
-
-    return df.mapInArrow(run, schema)
+def slices(batches: Iterator[pa.RecordBatch], place: int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batches cut where column ``place`` passes about ``limit`` bytes, so that Python holds few texts at a time."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        low = 0
+        while low < batch.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(low, high - low)
+            low = high
 
 
 def keep_rows(df: DataFrame, text: str, wanted: Callable[[list], list[bool]]) -> DataFrame:
@@ -51,8 +56,7 @@ def keep_rows(df: DataFrame, text: str, wanted: Callable[[list], list[bool]]) ->
     place = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(wanted(batch.column(place).to_pylist()), pa.bool_()))
+        for batch in slices(batches, place):
+            yield batch.filter(pa.array(wanted(batch.column(place).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

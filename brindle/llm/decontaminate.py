@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column, keep_rows, table
+from brindle.llm.common import column, keep_rows, slices, table
 
 CHARS_PER_EDIT = 16
 MIN_WORDS = 5
@@ -178,7 +178,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(sent.value)
-            for batch in batches:
+            for batch in slices(batches, 1):
                 rows = []
                 for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     for item, (distance, start, end) in matcher.matches(normal(value)):

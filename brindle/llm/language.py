@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column, keep_rows, table
+from brindle.llm.common import column, keep_rows, slices, table
 
 ORDERS = 3
 PER_LANGUAGE = 3_000
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((count, 1 << bits), dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches, 1):
             for place, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for part in blocks(letters(value)):
                     totals[place] += np.bincount(buckets(part, bits), minlength=1 << bits)
@@ -149,7 +149,7 @@ def predict(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = scorer(*sent.value)
-        for batch in batches:
+        for batch in slices(batches, 2):
             made = [judge(value) for value in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],

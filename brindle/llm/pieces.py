@@ -21,7 +21,6 @@ encoded alike; other columns are ignored by the query and pass through the stage
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -33,13 +32,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column, table
+from brindle.llm.common import column, slices, table
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 RANK_SHIFT = 2.7
 FALLBACK_PENALTY = 10.0
-_REMEMBERED = 500_000  # words a Python worker keeps; beyond it the memory starts anew
+_REMEMBERED = 200_000  # words a Python worker keeps; beyond it the memory starts anew
 _WORD = re.compile(r" *[^ ]+| +$")
 
 
@@ -206,7 +205,7 @@ class Coder:
             if word not in self.known:
                 by_size.setdefault(len(word).bit_length(), []).append(word)
         for bits, own in by_size.items():
-            step = max(1, (1 << 19) >> bits)
+            step = max(1, (1 << 17) >> bits)
             for start in range(0, len(own), step):
                 part = own[start : start + step]
                 for word, ids in zip(part, segment(self.vocabulary, [word.encode() for word in part])):
@@ -246,19 +245,6 @@ def vocabulary_for(spark: SparkSession, path: str | None = None) -> Broadcast:
     return spark.sparkContext.broadcast(load(path or public_tokenizers.path(MODEL)))
 
 
-def _groups(texts: list[str | None], limit: int = 1 << 22) -> Iterator[list[int]]:
-    """Places of the texts in runs of about ``limit`` characters."""
-    own, size = [], 0
-    for place, text in enumerate(texts):
-        own.append(place)
-        size += len(text or "")
-        if size >= limit:
-            yield own
-            own, size = [], 0
-    if own:
-        yield own
-
-
 def with_pieces(docs: DataFrame, vocabulary: Broadcast, text: str = "text", names: tuple[str, str] = ("piece_ids", "decoded")) -> DataFrame:
     """``docs`` with the piece ids of the text, and the text decoded from them."""
     place = docs.columns.index(text)
@@ -266,27 +252,17 @@ def with_pieces(docs: DataFrame, vocabulary: Broadcast, text: str = "text", name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(vocabulary.value)
-        for batch in batches:
+        for batch in slices(batches, place):
             texts = batch.column(place).to_pylist()
-            done = 0
-            for own in _groups(texts):
-                given = [texts[i] for i in own]
-                coded = iter(coder.encode_all([t for t in given if t is not None]))
-                ids = [None if t is None else next(coded) for t in given]
-                back = [None if i is None else coder.decode(i) for i in ids]
-                part = batch.slice(done, len(own))
-                done += len(own)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())], [*batch.schema.names, *names]
-                )
+            coded = iter(coder.encode_all([text for text in texts if text is not None]))
+            ids = [None if text is None else next(coded) for text in texts]
+            back = [None if own is None else coder.decode(own) for own in ids]
+            made = [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
 
-def crc(ids: list[int] | None) -> int | None:
-    return None if ids is None else zlib.crc32(np.asarray(ids, dtype="<u4").tobytes())
-
-
 def encoded_documents(docs: DataFrame, vocabulary: Broadcast, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, piece_ids, n_pieces, round_trip``: the ids of every text and whether they decode to it."""
     source = docs.select(column(id).alias("doc_id"), column(text).alias("text"))

@@ -9,16 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from brindle.llm.decontaminate import op5_decontaminate
 from brindle.llm.language import op6_language
 from brindle.llm.line_dedup import OP3_SQL, op3_line_dedup
+from brindle.llm.main_text import op1_main_text
+from brindle.llm.personal_data import op7_personal_data
 from brindle.llm.pieces import op4_pieces
 from brindle.llm.simhash import op8_simhash
+from brindle.llm.token_files import op2_token_files
+from brindle.llm.url_rules import op9_url_rules
+from brindle.llm.vantage import op10_vantage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
+    "op2_token_files": op2_token_files,
     "op3_line_dedup": op3_line_dedup,
     "op4_pieces": op4_pieces,
     "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
+    "op7_personal_data": op7_personal_data,
     "op8_simhash": op8_simhash,
+    "op9_url_rules": op9_url_rules,
+    "op10_vantage": op10_vantage,
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL}
