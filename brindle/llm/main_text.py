@@ -53,6 +53,8 @@ BLOCKS = frozenset(
     "head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 
+TEXT_TAGS = frozenset("p br b i u em strong span a h1 h2 h3 h4 h5 h6 blockquote code pre ul ol li sup sub small mark q cite".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -147,7 +149,10 @@ class Weights:
         return words * self.word.get(sign, 0.5)
 
     def of_tag(self, sign: str, name: str) -> float:
-        return -TAG_COST if name in LABELS else self.tag.get(sign, -TAG_COST - TAG_RANGE / 2 if " " in sign else -1.0)
+        if name in LABELS:
+            return -TAG_COST
+        unseen = -TAG_COST if name in TEXT_TAGS else -TAG_COST - TAG_RANGE / 2 if " " in sign else -1.0
+        return self.tag.get(sign, self.tag.get(name, unseen) if name in TEXT_TAGS else unseen)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:

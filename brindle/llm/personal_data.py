@@ -86,7 +86,7 @@ def token_class(token: str, glued: bool) -> str:
     """The shape of a token, whether it touches the one before, and the word itself if it is a cue."""
     joint = "+" if glued else "-"
     if token.isdecimal():
-        size = min(len(token), 8)
+        size = min(len(token), 20)
         return f"digits{size}:{joint}:{'byte' if size <= 3 and int(token) <= 255 else ''}"
     if token.isalpha():
         lower = token.lower()

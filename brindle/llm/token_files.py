@@ -38,7 +38,7 @@ from brindle.plans.workspace import shared_dir
 
 MODEL = "word_bpe_49k.json"
 END = 1
-_REMEMBERED = 300_000  # words a Python worker keeps; beyond it the memory starts anew
+_REMEMBERED = 200_000  # words in use that a Python worker keeps, and as many older ones
 FILE_SCHEMA = "doc_id bigint, shard int, shard_start bigint, n_tokens bigint, ids array<int>"
 ORC_OPTIONS = {
     "orc.create.index": "true",
@@ -49,48 +49,63 @@ ORC_OPTIONS = {
 }
 
 # A Latin word and one closing mark are two words to the tokenizer, in upper or lower case.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)")
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 _ODD_BLANK = re.compile("[\x1c-\x1f]")  # blanks to str.split, not to the tokenizer
 
 
 class Encoder:
-    """Ids of texts, by way of remembered words; ``known`` outlives the task if the caller keeps it."""
+    """Ids of texts, by way of remembered words; ``memory`` outlives the task if the caller keeps it."""
 
-    def __init__(self, tokenizer: str, by_word: bool = True, known: dict[str, tuple[int, ...]] | None = None):
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.by_word = by_word
-        self.known = {} if known is None else known
+    def __init__(self, tokenizer: str, by_word: bool = True, memory: dict | None = None):
+        memory = {} if memory is None else memory
+        if "tokenizer" not in memory:
+            memory["tokenizer"] = made = Tokenizer.from_str(tokenizer)
+            suffix = getattr(made.model, "end_of_word_suffix", None)
+            ends = [suffix is not None and word.endswith(suffix) for word, _ in sorted(made.get_vocab().items(), key=lambda pair: pair[1])]
+            memory.update(ends=np.array(ends), known={}, older={})
+        self.tokenizer, self.ends, self.memory, self.by_word = memory["tokenizer"], memory["ends"], memory, by_word
 
     def whole(self, texts: list[str]) -> list[tuple[int, ...]]:
         return [tuple(made.ids) for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def stems(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of words that are one token-to-be each: encoded as one text and parted at the word ends."""
+        ids = self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids if words else []
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(ends) != len(words):
+            return self.whole(words)
+        return [tuple(ids[low:high]) for low, high in zip([0, *ends], ends)]
+
     def learn(self, words: set[str]) -> None:
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        known, parts = self.known, {}
-        for word in words:
-            if word not in known:
-                simple = _SIMPLE.fullmatch(word)
-                if simple:
-                    stem, mark = simple.groups()
-                    parts[word] = (stem.lower() if stem.isascii() else stem, mark)
-                else:
-                    parts[word] = (word, "")
-        fresh = [part for part in {part for pair in parts.values() for part in pair if part} if part not in known]
-        known.update(zip(fresh, self.whole(fresh)))
+        """Remember the words; those not used for long are forgotten."""
+        if len(self.memory["known"]) > _REMEMBERED:
+            self.memory.update(known={}, older=self.memory["known"])
+        known, older = self.memory["known"], self.memory["older"]
+        parts: dict[str, tuple[str, str]] = {}
+        odd = []
+        for word in words.difference(known):
+            if word in older:
+                known[word] = older[word]
+            elif simple := _SIMPLE.fullmatch(word):
+                stem, mark = simple.groups()
+                parts[word] = stem.lower() if stem.isascii() else stem, mark
+            else:
+                odd.append(word)
+        known.update(zip(odd, self.whole(odd)))
+        marks = [mark for mark in {mark for _, mark in parts.values()} if mark and mark not in known]
+        known.update(zip(marks, self.whole(marks)))
+        stems = list({stem for stem, _ in parts.values()}.difference(known))
+        known.update(zip(stems, self.stems(stems)))
         for word, (stem, mark) in parts.items():
-            if mark:
-                known[word] = known[stem] + known[mark]
-            elif word != stem:
-                known[word] = known[stem]
+            known[word] = known[stem] + known[mark] if mark else known[stem]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if not self.by_word:
             return [np.array(ids, np.int32) for ids in self.whole(texts)]
         words = [text.split() for text in texts]
-        self.learn(set(chain.from_iterable(words)))
-        get = self.known.__getitem__
+        self.learn(set().union(*words))
+        get = self.memory["known"].__getitem__
         made = [np.fromiter(chain.from_iterable(map(get, own)), np.int32) for own in words]
         for place, text in enumerate(texts):
             if _ODD_BLANK.search(text):
@@ -104,14 +119,14 @@ def write_token_files(
 ) -> None:
     """Encode every text and write the ids below ``path``; ``shards`` defaults to the session's shuffle partitions."""
     with open(tokenizer or public_tokenizers.path(MODEL), encoding="utf-8") as file:
-        sent = docs.sparkSession.sparkContext.broadcast({"tokenizer": file.read(), "known": {}})
+        sent = docs.sparkSession.sparkContext.broadcast({"json": file.read(), "memory": {}})
     rows = docs.select(column(id).cast("bigint").alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text"))
     # The text's hash and the row's place split a range that one id fills.
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
     dealt = rows.repartitionByRange(shards, *order) if shards else rows.repartitionByRange(*order)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value["tokenizer"], by_word, sent.value["known"])
+        encoder = Encoder(sent.value["json"], by_word, sent.value["memory"])
         shard, before = TaskContext.get().partitionId(), 0
         for batch in slices(batches, 1):
             made = encoder.encode_all(batch.column(1).to_pylist())
