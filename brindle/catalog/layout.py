@@ -12,6 +12,7 @@ from brindle.catalog.joins import BUCKET_JOIN_SQL
 from brindle.catalog.registry import query, sql_bucket, with_ctes
 from brindle.operators import sales
 from brindle.operators.rows import fan_out_of, route_rows
+from brindle.operators.skew import HotKeys, find_hot_keys
 from brindle.plans import broadcast_if_small, shared_dir, table_name
 from brindle.sinks import (
     append_table,
@@ -20,6 +21,7 @@ from brindle.sinks import (
     overwrite_partitions,
     replace_table,
     save_bucketed,
+    save_bucketed_apart,
     save_partitioned,
     write_text,
 )
@@ -72,26 +74,31 @@ ROWS_PER_BUCKET = 20_000_000
 MIN_BUCKETS = 5
 
 
-def bucket_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Cart and payments bucketed and sorted on the order; the names of the tables.
+def bucket_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str, HotKeys]:
+    """Cart and payments partitioned by day and site, bucketed and sorted on the order.
 
-    The number of buckets follows the size of the cart.
+    The names of the tables, and the orders too frequent for a bucket, whose cart rows
+    stand apart.  The number of buckets follows the size of the cart.
     """
     cart, pay = datasets.cart(spark, sf_dir), datasets.pay(spark, sf_dir)
-    buckets = max(MIN_BUCKETS, ceil(cart.count() / ROWS_PER_BUCKET))
+    rows = cart.count()
+    buckets = max(MIN_BUCKETS, ceil(rows / ROWS_PER_BUCKET))
+    hot = find_hot_keys(cart, ["orderid"], rows_per_task=max(1, ceil(rows / buckets)))
     names = table_name("cart"), table_name("pay")
-    save_bucketed(cart, names[0], buckets, "orderid", shared_dir(spark, "cart"))
-    save_bucketed(pay, names[1], buckets, "orderid", shared_dir(spark, "pay"))
-    return names
+    save_bucketed_apart(cart, names[0], buckets, hot, shared_dir(spark, "cart"), PARTITIONS)
+    save_bucketed(pay, names[1], buckets, "orderid", shared_dir(spark, "pay"), PARTITIONS)
+    return *names, hot
 
 
 @query("bucket_join", BUCKET_JOIN_SQL)
 def bucket_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cart, pay = bucket_tables(spark, sf_dir)
+    cart, pay, hot = bucket_tables(spark, sf_dir)
     return sales.bucketed_course_sales(
         datasets.sale_course(spark, sf_dir),
         datasets.with_row_id(spark.table(cart)),
+        datasets.with_row_id(spark.table(f"{cart}_hot")),
         spark.table(pay),
+        hot,
         datasets.ROW_ID,
     )
 
@@ -130,31 +137,51 @@ def partition_pruned_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- partitioned writes ----------------------------------------------------
 
+RENEWED = ("d0", "d2")
 
-@query("dyn_partition_write", with_ctes("cart", f"SELECT {_CART} FROM cart"))
-def dyn_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overwrite partitions in one write, large ones scattered over several files."""
+
+def _renewed_cart(spark: SparkSession, sf_dir: str, rows_per_file: int | None) -> DataFrame:
+    """A folder of stale cart rows in all partitions, in which two days are overwritten."""
     path = shared_dir(spark, "dynamic")
-    cart = datasets.cart(spark, sf_dir, row_id=True)
-    # The row's place in its file, so that copies of one row scatter as well.
-    overwrite_partitions(cart, path, PARTITIONS, datasets.ROW_ID, ROWS_PER_FILE)
-    return spark.read.schema(cart.drop(datasets.ROW_ID).schema).parquet(path)
+    cart = datasets.cart(spark, sf_dir)
+    overwrite_partitions(cart.withColumn("coursename", F.lit("stale")), path, PARTITIONS, rows_per_file)
+    overwrite_partitions(cart.filter(F.col("dt").isin(*RENEWED)), path, PARTITIONS, rows_per_file)
+    return spark.read.schema(cart.schema).parquet(path)
+
+
+_RENEWED_SQL = with_ctes(
+    "cart",
+    f"""
+    SELECT courseid, orderid, CASE WHEN dt IN {RENEWED} THEN coursename ELSE 'stale' END AS coursename,
+           cart_discount, sellmoney, cart_createtime, dt, dn FROM cart
+    """,
+)
+
+
+@query("dyn_partition_write", _RENEWED_SQL)
+def dyn_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite some partitions in one write, with files of bounded size."""
+    return _renewed_cart(spark, sf_dir, ROWS_PER_FILE)
 
 
-@query("dyn_partition_rebalance", with_ctes("cart", f"SELECT {_CART} FROM cart"))
+@query("dyn_partition_rebalance", _RENEWED_SQL)
 def dyn_partition_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same without counting first: large partitions are split at run time."""
-    path = shared_dir(spark, "rebalanced")
-    cart = datasets.cart(spark, sf_dir)
-    overwrite_partitions(cart, path, PARTITIONS)
-    return spark.read.schema(cart.schema).parquet(path)
+    """The same with files as large as the tasks that write them."""
+    return _renewed_cart(spark, sf_dir, None)
 
 
-@query("compact_files", with_ctes("cart", f"SELECT {_CART} FROM cart"))
+@query(
+    "compact_files",
+    with_ctes("cart", f"SELECT {_CART.replace('dt, dn', '')} lpad(CAST(courseid % 9 AS VARCHAR), 3, '0') AS dt, dn FROM cart"),
+)
 def compacted_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A partitioned write without clustering leaves small files; compact them."""
+    """A partitioned write without clustering leaves small files; compact them.
+
+    The days are texts of digits and must stay so.
+    """
     scattered, compacted = shared_dir(spark, "scattered"), shared_dir(spark, "compacted")
     cart = datasets.cart(spark, sf_dir)
+    cart = cart.withColumn("dt", F.lpad((F.col("courseid") % 9).cast("string"), 3, "0"))
     cart.write.partitionBy(*PARTITIONS).parquet(scattered)
     return compact_files(spark, scattered, compacted, PARTITIONS).select(*cart.columns)
 
@@ -164,32 +191,38 @@ def compacted_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ORDER = "o_orderkey, o_custkey, o_orderstatus"
 
 
-def _orders(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    orders = datasets.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return orders.filter(F.col("o_orderstatus") == status)
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datasets.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+def _old_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tables hold before: every order with another status."""
+    return _orders(spark, sf_dir).withColumn("o_orderstatus", F.lit("old"))
 
 
 @query("table_append", f"SELECT {_ORDER} FROM orders")
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open orders, then all others."""
     name, path = table_name("appended"), shared_dir(spark, "appended")
-    for status in ("O", "F", "P"):
-        out = append_table(_orders(spark, sf_dir, status), name, ["o_orderstatus"], path)
+    is_open = F.col("o_orderstatus").eqNullSafe("O")
+    for wanted in (is_open, ~is_open):
+        out = append_table(_orders(spark, sf_dir).filter(wanted), name, ["o_orderstatus"], path)
     return out.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@query("table_replace", f"SELECT {_ORDER} FROM orders WHERE o_orderstatus = 'F'")
+@query("table_replace", f"SELECT {_ORDER} FROM orders")
 def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = table_name("replaced"), shared_dir(spark, "replaced")
-    replace_table(_orders(spark, sf_dir, "O"), name, path)
-    return replace_table(_orders(spark, sf_dir, "F"), name, path)
+    replace_table(_old_orders(spark, sf_dir), name, path)
+    return replace_table(_orders(spark, sf_dir), name, path)
 
 
-@query("table_insert_by_name", f"SELECT {_ORDER} FROM orders WHERE o_orderstatus = 'F'")
+@query("table_insert_by_name", f"SELECT {_ORDER} FROM orders")
 def table_insert_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite a table from a frame whose columns stand in another order."""
     name = table_name("inserted")
-    replace_table(_orders(spark, sf_dir, "O"), name, shared_dir(spark, "inserted"))
-    return insert_by_name(_orders(spark, sf_dir, "F").select("o_custkey", "o_orderstatus", "o_orderkey"), name)
+    replace_table(_old_orders(spark, sf_dir), name, shared_dir(spark, "inserted"))
+    return insert_by_name(_orders(spark, sf_dir).select("o_custkey", "o_orderstatus", "o_orderkey"), name)
 
 
 # ---- routing and generated rows --------------------------------------------

@@ -17,8 +17,8 @@ from brindle.sources import parse_access_log, parse_visits, read_text, read_whol
 _BEST = "ORDER BY clicks DESC, orders DESC, pays DESC, category_id LIMIT 10"
 DAY = "17/01/2024"
 SEARCHED = "the"
-# Files of the whole-file query hold at most this many lines, so a file is a small row.
-LINES_PER_FILE = 500
+# Files of the whole-file query have about this many bytes, so a file is a row of bounded size.
+FILE_BYTES = 4 * 1024 * 1024
 
 
 @query("hot_category_top10", with_ctes("category", f"SELECT category_id, clicks, orders, pays FROM category {_BEST}"))
@@ -109,11 +109,8 @@ def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write documents as JSON lines, read each file as one row, take it apart again."""
     path = shared_dir(spark, "whole")
     documents = datasets.table(spark, sf_dir, "documents")
-    write_text(
-        documents.select(F.to_json(F.struct("doc_id", "n_chars", "text")).alias("value")),
-        path,
-        rows_per_file=LINES_PER_FILE,
-    )
+    lines = documents.select(F.to_json(F.struct("doc_id", "n_chars", "text")).alias("value"))
+    write_text(lines, path, file_bytes=FILE_BYTES)
     lines = read_whole_files(spark, path).select(F.explode(F.split("value", "\n")).alias("line")).filter("line <> ''")
     parsed = lines.select(F.from_json("line", "doc_id bigint, n_chars bigint, text string").alias("d")).select("d.*")
     return parsed.select(
@@ -142,13 +139,11 @@ def search_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_ctes(
         "visit",
         """
-        SELECT date, user_id, session_id, CAST(0 AS BIGINT) AS page_id, action_time,
-               CAST(NULL AS VARCHAR) AS search_keyword, click_category_id,
-               CAST(NULL AS BIGINT) AS click_product_id,
+        SELECT date, user_id, session_id, page_id, action_time, search_keyword, click_category_id, click_product_id,
                array_to_string(order_category_ids, ',') AS order_category_ids,
-               CAST(NULL AS VARCHAR) AS order_product_ids,
+               array_to_string(order_product_ids, ',') AS order_product_ids,
                array_to_string(pay_category_ids, ',') AS pay_category_ids,
-               CAST(NULL AS VARCHAR) AS pay_product_ids, '1' AS city_id
+               array_to_string(pay_product_ids, ',') AS pay_product_ids, city_id
         FROM visit
         """,
     ),

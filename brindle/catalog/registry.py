@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.functions.hashing import MODULUS, MULTIPLIER
+from brindle.functions.hashing import HASH_BITS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +38,13 @@ _CTES = {
         visit AS (
             SELECT strftime(ts, '%Y-%m-%d') AS date, user_id,
                    CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS session_id,
-                   strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time,
+                   event_id % 50 AS page_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time,
+                   CASE WHEN event_type = 'error' THEN 'word ' || CAST(k AS VARCHAR) END AS search_keyword,
+                   CASE WHEN event_type = 'view' THEN event_id % 1000 END AS click_product_id,
+                   CASE WHEN event_type = 'click'
+                        THEN [CAST(event_id % 1000 AS VARCHAR), CAST(k AS VARCHAR)] END AS order_product_ids,
+                   CASE WHEN event_type = 'purchase' THEN [CAST(event_id % 1000 AS VARCHAR)] END AS pay_product_ids,
+                   CAST(user_id % 27 AS VARCHAR) AS city_id,
                    CASE WHEN event_type = 'view' THEN CAST(k AS VARCHAR) END AS click_category_id,
                    CASE WHEN event_type = 'click'
                         THEN [CAST(k AS VARCHAR), CAST((k + 1) % 100 AS VARCHAR)] END AS order_category_ids,
@@ -96,12 +102,13 @@ _CTES = {
         )""",
     "pay": """
         pay AS (
-            SELECT o_orderkey AS orderid, o_orderpriority AS pay_discount,
+            SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderkey ELSE -1 - o_orderkey END AS orderid,
+                   o_orderpriority AS pay_discount,
                    CAST(o_totalprice AS DECIMAL(18,2)) AS paymoney,
                    strftime(o_orderdate, '%Y-%m-%d') AS pay_createtime,
                    'd' || CAST(o_orderkey % 4 AS VARCHAR) AS dt,
                    CASE WHEN o_orderkey % 3 = 0 THEN 'webA' ELSE 'webB' END AS dn
-            FROM orders WHERE o_orderstatus = 'F'
+            FROM orders
         )""",
 }
 _NEEDS = {"visit": ("k_events",), "action": ("visit",), "category": ("action",), "doc_word": ("doc_line",)}
@@ -122,7 +129,12 @@ def with_ctes(names: str, body: str) -> str:
     return "WITH " + ",".join(_CTES[name] for name in wanted) + "\n" + body
 
 
+def sql_hash(value: str, seed: int = 0) -> str:
+    """``functions.seeded_hash`` in the SQL of the checking engine."""
+    text = f"'{seed}:' || COALESCE(CAST({value} AS VARCHAR), '')"
+    return f"CAST('0x' || substr(md5({text}), 1, {HASH_BITS // 4}) AS BIGINT)"
+
+
 def sql_bucket(value: str, buckets: int | str, seed: int = 0) -> str:
-    """``functions.integer_bucket`` in the SQL of the checking engine."""
-    start = f"(({value} % {MODULUS} + {MODULUS}) % {MODULUS} + {seed})"
-    return f"COALESCE(CAST({start} AS BIGINT) * {MULTIPLIER} % {MODULUS} % CAST({buckets} AS BIGINT), 0)"
+    """``functions.bucket_of`` in the SQL of the checking engine."""
+    return f"CASE WHEN {value} IS NULL THEN 0 ELSE {sql_hash(value, seed)} % CAST({buckets} AS BIGINT) END"

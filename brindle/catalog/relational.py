@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle import datasets
-from brindle.catalog.registry import query, sql_bucket
+from brindle.catalog.registry import query, sql_bucket, sql_hash
+from brindle.functions import HASH_BITS
 from brindle.operators import aggregates, ordering, rows, sets
 from brindle.plans import shared_dir
 
 BUCKETS = 16
-# Small, so that chunked groups occur at test scale; use the default otherwise.
-CHUNK = 5_000
+PAGE = 500  # distinct values in a row of a grouped array
 ZERO = 10
 
 
@@ -97,25 +97,21 @@ def bucket_max_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _group_oracle(source: str) -> str:
-    """Chunked groups of ``source`` (columns key, value)."""
+    """Pages of the groups of ``source`` (columns key, value)."""
     return f"""
     WITH counted AS (SELECT key, value, count(*) AS copies FROM ({source}) GROUP BY key, value),
-    sizes AS (SELECT key, CAST(ceil(sum(copies) / {CHUNK}) AS BIGINT) AS chunks FROM counted GROUP BY key
-              HAVING sum(copies) > {CHUNK}),
     placed AS (
-        SELECT c.key, c.value, c.copies,
-               CASE WHEN s.chunks IS NULL THEN 0 ELSE {sql_bucket('c.value', 's.chunks')} END AS chunk
-        FROM counted c LEFT JOIN sizes s ON c.key = s.key
+        SELECT *, (row_number() OVER (PARTITION BY key ORDER BY value NULLS FIRST) - 1) // {PAGE} AS page FROM counted
     )
-    SELECT key, CAST(chunk AS INTEGER) AS chunk,
+    SELECT key, CAST(page AS INTEGER) AS page,
            string_agg(CAST(value AS VARCHAR) || 'x' || CAST(copies AS VARCHAR), ',' ORDER BY value) AS entries,
            CAST(sum(copies) AS BIGINT) AS cnt
-    FROM placed GROUP BY key, chunk
+    FROM placed GROUP BY key, page
     """
 
 
 def _grouped(pairs: DataFrame) -> DataFrame:
-    out = aggregates.group_values(pairs, "key", "value", CHUNK)
+    out = aggregates.group_values(pairs, "key", "value", PAGE)
     return out.withColumn("entries", aggregates.entries_text(F.col("entries")))
 
 
@@ -145,7 +141,7 @@ def group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("group_by_expression", _group_oracle("SELECT l_linenumber % 2 AS key, l_partkey AS value FROM lineitem"))
 def group_by_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two groups that each hold half of all rows, hence in chunks."""
+    """Two groups that each hold half of all rows."""
     lineitem = datasets.table(spark, sf_dir, "lineitem")
     return _grouped(lineitem.select((F.col("l_linenumber") % 2).alias("key"), F.col("l_partkey").alias("value")))
 
@@ -286,7 +282,7 @@ FRACTION, SEED = 0.4, 1
 
 @query(
     "sample_rows",
-    f"SELECT o_orderkey, o_custkey FROM orders WHERE {sql_bucket('o_orderkey', 1000, SEED)} < {round(FRACTION * 1000)}",
+    f"SELECT o_orderkey, o_custkey FROM orders WHERE {sql_hash('o_orderkey', SEED)} < {FRACTION} * 2.0::DOUBLE ** {HASH_BITS}",
 )
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = datasets.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

@@ -64,16 +64,16 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
             day_text("ts").alias("date"),
             "user_id",
             F.concat_ws("-", text(F.col("user_id")), day_text("ts")).alias("session_id"),
-            F.lit(0).cast("bigint").alias("page_id"),
+            (F.col("event_id") % 50).alias("page_id"),
             second_text("ts").alias("action_time"),
-            F.lit(None).cast("string").alias("search_keyword"),
+            F.when(kind == "error", F.concat(F.lit("word "), text(k))).alias("search_keyword"),
             F.when(kind == "view", text(k)).alias("click_category_id"),
-            F.lit(None).cast("bigint").alias("click_product_id"),
+            F.when(kind == "view", F.col("event_id") % 1000).alias("click_product_id"),
             F.when(kind == "click", F.array(text(k), text((k + 1) % 100))).alias("order_category_ids"),
-            F.lit(None).cast("array<string>").alias("order_product_ids"),
+            F.when(kind == "click", F.array(text(F.col("event_id") % 1000), text(k))).alias("order_product_ids"),
             F.when(kind == "purchase", F.array(text(k))).alias("pay_category_ids"),
-            F.lit(None).cast("array<string>").alias("pay_product_ids"),
-            F.lit("1").alias("city_id"),
+            F.when(kind == "purchase", F.array(text(F.col("event_id") % 1000))).alias("pay_product_ids"),
+            text(F.col("user_id") % 27).alias("city_id"),
         )
     )
 
@@ -190,15 +190,16 @@ def cart(spark: SparkSession, sf_dir: str, row_id: bool = False) -> DataFrame:
 
 
 def pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payments: the orders whose status says they are settled."""
-    return (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
-        .select(
-            F.col("o_orderkey").alias("orderid"),
-            F.col("o_orderpriority").alias("pay_discount"),
-            F.col("o_totalprice").cast(MONEY).alias("paymoney"),
-            day_text("o_orderdate").alias("pay_createtime"),
-            *_day_and_site("o_orderkey"),
-        )
+    """Payments, one for each order.
+
+    An order that is not settled goes by an id no cart row has, so outer joins meet
+    cart rows without a payment and payments without a cart row.
+    """
+    settled = F.col("o_orderstatus") == "F"
+    return table(spark, sf_dir, "orders").select(
+        F.when(settled, F.col("o_orderkey")).otherwise(-1 - F.col("o_orderkey")).alias("orderid"),
+        F.col("o_orderpriority").alias("pay_discount"),
+        F.col("o_totalprice").cast(MONEY).alias("paymoney"),
+        day_text("o_orderdate").alias("pay_createtime"),
+        *_day_and_site("o_orderkey"),
     )

@@ -1,14 +1,13 @@
-from brindle.functions.hashing import integer_bucket, integer_hash, text_bucket, text_hash
+from brindle.functions.hashing import HASH_BITS, bucket_of, seeded_hash
 from brindle.functions.salting import register_salt_functions, row_salt
 from brindle.functions.text import lines, tokens
 
 __all__ = [
-    "integer_bucket",
-    "integer_hash",
+    "HASH_BITS",
+    "bucket_of",
     "lines",
     "register_salt_functions",
     "row_salt",
-    "text_bucket",
-    "text_hash",
+    "seeded_hash",
     "tokens",
 ]

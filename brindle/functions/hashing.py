@@ -9,31 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Modulus and multiplier of the Lehmer generator.
-MODULUS = 2_147_483_647
-MULTIPLIER = 48_271
+HASH_BITS = 52  # exact in a double
 
 
-def integer_hash(value: Column, seed: int = 0) -> Column:
-    """Hash of an integer in ``0 .. MODULUS-1``: one step of a Lehmer generator."""
-    start = F.pmod(value.cast("bigint"), F.lit(MODULUS).cast("bigint")) + seed
-    return start * MULTIPLIER % MODULUS
+def seeded_hash(value: Column, seed: int = 0) -> Column:
+    """Hash in ``0 .. 2^52-1`` of the text form of a value (NULL as empty text): the head of an MD5.
 
+    The seed goes into the digest, so hashes of two seeds are independent.
+    """
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(value.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
-def text_hash(value: Column) -> Column:
-    """32-bit hash (as BIGINT) of the text form of a value: the head of its MD5."""
-    return F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("bigint")
 
-
-def integer_bucket(value: Column, buckets: int | Column, seed: int = 0) -> Column:
+def bucket_of(value: Column, buckets: int | Column, seed: int = 0) -> Column:
     """Bucket in ``0 .. buckets-1``; NULL goes to bucket 0."""
-    return _bucket(integer_hash(value, seed), buckets)
-
-
-def text_bucket(value: Column, buckets: int | Column) -> Column:
-    return _bucket(text_hash(value), buckets)
-
-
-def _bucket(hashed: Column, buckets: int | Column) -> Column:
     width = F.lit(buckets) if isinstance(buckets, int) else buckets
-    return F.coalesce(hashed % width.cast("bigint"), F.lit(0).cast("bigint"))
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(seeded_hash(value, seed) % width.cast("bigint"))

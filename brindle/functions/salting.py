@@ -18,7 +18,7 @@ def row_salt(spread: Column, salts: int | Column) -> Column:
 
 
 def register_salt_functions(spark: SparkSession) -> None:
-    """Register ``salt_key(key, spread, salts)`` and ``unsalt_key(salted)`` for SQL.
+    """Register ``brindle_salt_key(key, spread, salts)`` and ``brindle_unsalt_key(salted)`` for SQL.
 
     They are SQL functions, so Catalyst inlines them: no Python worker takes part.
     The salt is a struct next to the key rather than a text prefix, so the key
@@ -26,14 +26,14 @@ def register_salt_functions(spark: SparkSession) -> None:
     """
     spark.sql(
         """
-        CREATE OR REPLACE TEMPORARY FUNCTION salt_key(key BIGINT, spread BIGINT, salts INT)
+        CREATE OR REPLACE TEMPORARY FUNCTION brindle_salt_key(key BIGINT, spread BIGINT, salts INT)
         RETURNS STRUCT<key: BIGINT, salt: INT>
         RETURN named_struct('key', key, 'salt', CAST(pmod(spread, salts) AS INT))
         """
     )
     spark.sql(
         """
-        CREATE OR REPLACE TEMPORARY FUNCTION unsalt_key(salted STRUCT<key: BIGINT, salt: INT>)
+        CREATE OR REPLACE TEMPORARY FUNCTION brindle_unsalt_key(salted STRUCT<key: BIGINT, salt: INT>)
         RETURNS BIGINT
         RETURN salted.key
         """

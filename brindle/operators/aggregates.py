@@ -9,39 +9,35 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from brindle.functions import integer_bucket, text_bucket
+from brindle.operators.ordering import with_position
+from brindle.plans import materialize
 
 
 def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def group_values(df: DataFrame, key: str, value: str, chunk_rows: int = 100_000) -> DataFrame:
-    """All values of each key as sorted arrays of (value, copies).
+def group_values(df: DataFrame, key: str, value: str, page_entries: int = 1_000) -> DataFrame:
+    """All values of each key as sorted arrays of (value, copies), in pages.
 
-    Copies are counted before the shuffle.  A key of more than ``chunk_rows`` rows
-    comes out as several rows (``chunk`` 0, 1, ...) by a hash of the value, so no
-    array and no task has to hold an unbounded group; most keys have one row.
+    Copies are counted first.  A key's distinct values, in order, fill pages of
+    ``page_entries``; every page but the last is full.  The rule is the same for all
+    keys, so the rows do not depend on how large a group is, and no array and no task
+    holds an unbounded group.  Places come from range partitions, not from a window
+    over a key.
     """
     counted = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("copies"))
-    # Keys of more than chunk_rows rows; reads the same shuffle as ``counted``.
-    oversized = (
-        counted.groupBy(F.col(key).alias("_key"))
-        .agg(F.sum("copies").alias("_rows"))
-        .filter(F.col("_rows") > chunk_rows)
-        .select("_key", F.ceil(F.col("_rows") / chunk_rows).alias("_chunks"))
-    )
-    bucket = integer_bucket if isinstance(df.schema[value].dataType, T.IntegralType) else text_bucket
-    chunk = F.when(F.col("_chunks").isNull(), 0).otherwise(bucket(F.col(value), F.col("_chunks")))
+    placed = materialize(with_position(counted, key, value, name="_place"), "places")
+    first = placed.groupBy(F.col(key).alias("_key")).agg(F.min("_place").alias("_first"))
+    page = ((F.col("_place") - F.col("_first")) / page_entries).cast("int")
     return (
-        counted.join(oversized, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .select(key, chunk.cast("int").alias("chunk"), value, "copies")
+        placed.join(first, F.col(key).eqNullSafe(F.col("_key")))
+        .select(key, page.alias("page"), value, "copies")
         # Said outright: a partitioning by key alone would satisfy the grouping too
-        # and bring all chunks of a hot key into one task.
-        .repartition(key, "chunk")
-        .groupBy(key, "chunk")
+        # and bring all pages of a hot key into one task.
+        .repartition(key, "page")
+        .groupBy(key, "page")
         .agg(
             F.sort_array(F.collect_list(F.struct(F.col(value).alias("value"), "copies"))).alias("entries"),
             F.sum("copies").alias("cnt"),

@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.operators.skew import find_hot_keys, salted_left_join
+from brindle.operators.skew import HotKeys, salted_left_join, split_hot
 from brindle.plans import broadcast_if_small
 
 
@@ -56,16 +56,15 @@ def left_join_hot_right(
     return matched.unionByName(unmatched)
 
 
-def bucketed_left_join(fact: DataFrame, dim: DataFrame, key: str, spread: Column, fraction: float | None = None) -> DataFrame:
-    """Left join of two tables bucketed alike on ``key``: no shuffle of either.
+def bucketed_left_join(common: DataFrame, apart: DataFrame, dim: DataFrame, hot: HotKeys, spread: Column) -> DataFrame:
+    """Left join of a table written by ``save_bucketed_apart`` with one bucketed alike.
 
-    A bucket is one task, so rows of a key that is hot in ``fact`` are taken out and
-    joined over salts instead.
+    The common rows join bucket by bucket, with no shuffle of either table.  A bucket is
+    one task and cannot be split, so no bucket holds a hot key: those rows stand in a
+    table of their own and are joined over salts.
     """
-    hot = find_hot_keys(fact, [key], fraction=fraction)
+    joined = common.join(dim, list(hot.keys), "left")
     if not hot:
-        return fact.join(dim, key, "left")
-    listed = [row[0] for row in hot.matchable]
-    is_hot = F.coalesce(F.col(key).isin(listed), F.lit(hot.null_is_hot))
-    common = fact.filter(~is_hot).join(dim, key, "left")
-    return common.unionByName(salted_left_join(fact.filter(is_hot), dim.filter(F.col(key).isin(listed)), hot, spread))
+        return joined
+    _, wanted = split_hot(dim, hot)
+    return joined.unionByName(salted_left_join(apart, wanted, hot, spread))

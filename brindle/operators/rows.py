@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.functions import integer_bucket, row_salt, tokens
+from brindle.functions import HASH_BITS, bucket_of, row_salt, seeded_hash, tokens
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -40,27 +40,28 @@ def map_partitions(
 
 
 def tag_bucket(df: DataFrame, key: str, buckets: int, name: str = "bucket") -> DataFrame:
-    """Add an explicit bucket number, from an integer key.
+    """Add an explicit bucket number, by a hash of the key.
 
     Physical partition numbers change with every plan; results that depend on "the
     partition" use this column instead.
     """
-    return df.withColumn(name, integer_bucket(F.col(key), buckets))
+    return df.withColumn(name, bucket_of(F.col(key), buckets))
 
 
 def only_bucket(df: DataFrame, key: str, buckets: int, wanted: int) -> DataFrame:
-    return df.filter(integer_bucket(F.col(key), buckets) == wanted)
+    return df.filter(bucket_of(F.col(key), buckets) == wanted)
 
 
 def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 1) -> DataFrame:
-    """Reproducible sample without replacement: rows whose (integer) key hash is low.
+    """Reproducible sample without replacement: rows whose key hash is low.
 
+    Any fraction is exact to the hash range, and samples of two seeds are independent.
     Independent of partitioning and of task retries.  ``DataFrame.sample`` is the
     cheaper choice when that does not matter.
     """
     if not 0 <= fraction <= 1:
         raise ValueError("the fraction must be between 0 and 1")
-    return df.filter(integer_bucket(F.col(key), 1000, seed) < round(fraction * 1000))
+    return df.filter(seeded_hash(F.col(key), seed) < F.lit(fraction * 2.0**HASH_BITS))
 
 
 def route_rows(df: DataFrame, route: Column, routes: int, spread: Column, fan_out: int | None = None) -> DataFrame:
@@ -75,6 +76,14 @@ def route_rows(df: DataFrame, route: Column, routes: int, spread: Column, fan_ou
     return df.repartitionById(routes * width, route.cast("int") * width + row_salt(spread, width))
 
 
+def partition_by_key(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Rows of a key in one partition; ``partitions`` defaults to the session's shuffle partitions.
+
+    For work that needs this very layout: a hot key makes a large partition.
+    """
+    return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+
+
 def fan_out_of(df: DataFrame, routes: int, fan_out: int | None = None) -> int:
     if fan_out is not None:
         return fan_out

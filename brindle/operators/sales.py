@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.joins import bucketed_left_join, left_join_hot_right
-from brindle.operators.skew import find_hot_keys, salted_left_join
+from brindle.operators.skew import HotKeys, find_hot_keys, salted_left_join
 from brindle.plans import broadcast_if_small
 
 # The columns of the wide sale detail, in order.
@@ -71,11 +71,14 @@ def course_sales(course: DataFrame, cart: DataFrame, pay: DataFrame) -> DataFram
     return joined.select(*DETAIL_COLUMNS)
 
 
-def bucketed_course_sales(course: DataFrame, cart: DataFrame, pay: DataFrame, row_id: str) -> DataFrame:
-    """Cart and payment tables bucketed on the order, joined without a shuffle,
-    then the course added to every cart row.
+def bucketed_course_sales(
+    course: DataFrame, cart: DataFrame, apart: DataFrame, pay: DataFrame, hot: HotKeys, row_id: str
+) -> DataFrame:
+    """Cart and payment tables bucketed on the order, joined without a shuffle, then
+    the course added to every cart row.  ``apart`` holds the cart rows of hot orders.
     """
-    paid = bucketed_left_join(cart.drop("coursename", "dt", "dn"), pay.drop("dt", "dn"), "orderid", F.col(row_id))
+    unused = ("coursename", "dt", "dn")
+    paid = bucketed_left_join(cart.drop(*unused), apart.drop(*unused), pay.drop("dt", "dn"), hot, F.col(row_id))
     return paid.join(broadcast_if_small(course), "courseid", "left").select(*DETAIL_COLUMNS)
 
 

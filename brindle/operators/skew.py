@@ -6,13 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brindle.functions import row_salt
+from brindle.plans import broadcast_if_small, materialize, measured_bytes
+
+TASK_BYTES = 64 * 1024 * 1024
 
 _SALT, _SALTS = "_salt", "_salts"
 
@@ -31,22 +33,29 @@ def top_keys(df: DataFrame, key: str, n: int = 10, fraction: float | None = None
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys too frequent for one task, each with the number of salts it needs."""
+    """Keys too frequent for one task, each with the number of salts it needs.
 
-    keys: tuple[str, ...]
-    schema: T.StructType
-    salts: tuple[Row, ...]
+    ``frame`` (the keys and ``_salts``) is a written table; only the largest number of
+    salts and whether a key holds a NULL come to the driver.
+    """
 
-    @property
-    def null_is_hot(self) -> bool:
-        return any(None in row[: len(self.keys)] for row in self.salts)
+    keys: tuple[str, ...]
+    frame: DataFrame
+    most: int
+    null_is_hot: bool
 
     @property
-    def matchable(self) -> list[Row]:
-        return [row for row in self.salts if None not in row[: len(self.keys)]]
+    def matchable(self) -> DataFrame:
+        return self.frame.where(reduce(and_, [F.col(key).isNotNull() for key in self.keys]))
 
     def __bool__(self) -> bool:
-        return bool(self.salts)
+        return self.most > 0
+
+
+def rows_in_bytes(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """How many of the frame's rows make ``task_bytes``, by their measured width."""
+    rows = df.count()
+    return max(1, ceil(rows * task_bytes / max(1, measured_bytes(df))))
 
 
 def find_hot_keys(
@@ -60,32 +69,25 @@ def find_hot_keys(
 ) -> HotKeys:
     """Keys that hold ``rows_per_task`` rows or more, and always the top ``at_least``.
 
-    By default a task's share is twice the mean shuffle partition.  Fewer keys than
-    shuffle partitions can reach it, so what comes to the driver is bounded by the
-    setting, not by the data.  ``fraction`` counts a sample: a missed key costs
-    speed, never rows.
+    By default a task's share is ``TASK_BYTES`` of rows, whatever the session's
+    settings.  All keys over the share are found and stay in the engine.
+    ``fraction`` counts a sample: a missed key costs speed, never rows.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     selected = df.select(*keys)
     if rows_per_task is None:
-        rows_per_task = max(1, ceil(2 * df.count() / partitions))
+        rows_per_task = rows_in_bytes(df)
     if fraction is not None:
         selected = selected.sample(withReplacement=False, fraction=fraction, seed=seed)
     scale = 1.0 if fraction is None else 1 / fraction
-    top = (
-        key_counts(selected, *keys)
-        .orderBy(F.desc("cnt"), *[F.asc(key) for key in keys])
-        .limit(partitions + at_least)
-        .collect()
-    )
-    schema = T.StructType([*selected.schema.fields, T.StructField(_SALTS, T.IntegerType())])
-    salts = []
-    for rank, row in enumerate(top):
-        rows = row["cnt"] * scale
-        if rank < at_least or rows >= rows_per_task:
-            salts.append(Row(*[row[key] for key in keys], max(min_salts, ceil(rows / rows_per_task))))
-    return HotKeys(tuple(keys), schema, tuple(salts))
+    counted = key_counts(selected, *keys)
+    hot = counted.where(F.col("cnt") * scale >= rows_per_task)
+    if at_least:
+        hot = hot.union(counted.orderBy(F.desc("cnt"), *[F.asc(key) for key in keys]).limit(at_least)).distinct()
+    salts = F.greatest(F.lit(min_salts), F.ceil(F.col("cnt") * scale / rows_per_task)).cast("int")
+    frame = materialize(hot.select(*keys, salts.alias(_SALTS)), "hot-keys")
+    no_match = reduce(or_, [F.col(key).isNull() for key in keys])
+    most, null_is_hot = frame.agg(F.coalesce(F.max(_SALTS), F.lit(0)), F.coalesce(F.bool_or(no_match), F.lit(False))).first()
+    return HotKeys(tuple(keys), frame, most, null_is_hot)
 
 
 def salted_left_join(fact: DataFrame, dim: DataFrame, hot: HotKeys, spread: Column) -> DataFrame:
@@ -99,12 +101,9 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, hot: HotKeys, spread: Colu
     keys = list(hot.keys)
     if not hot:
         return fact.join(dim, keys, "left")
-    # A literal, so both sides see the same hot keys; at most one row per shuffle
-    # partition by construction.
-    hot_keys = F.broadcast(fact.sparkSession.createDataFrame(hot.matchable, hot.schema).coalesce(1))
+    hot_keys = broadcast_if_small(hot.matchable)
     no_match = reduce(or_, [F.col(key).isNull() for key in keys])
-    most = max(row[-1] for row in hot.salts)
-    salts = F.coalesce(F.col(_SALTS), F.when(no_match, F.lit(most)))
+    salts = F.coalesce(F.col(_SALTS), F.when(no_match, F.lit(hot.most)))
     salted_fact = (
         fact.join(hot_keys, keys, "left")
         .withColumn(_SALT, F.when(salts.isNotNull(), row_salt(spread, salts)).otherwise(0))
@@ -118,6 +117,13 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, hot: HotKeys, spread: Colu
     return salted_fact.join(repeated_dim, [*keys, _SALT], "left").drop(_SALT)
 
 
+def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and the rows of hot keys."""
+    listed = broadcast_if_small(hot.frame.select(*[F.col(key).alias(f"_h_{key}") for key in hot.keys]))
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_h_{key}")) for key in hot.keys])
+    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+
+
 def salted_sum(df: DataFrame, key: str, value: str, name: str, spread: Column, salts: int = 6) -> DataFrame:
     """Two-phase sum per key: by (key, salt), then by key.
 

@@ -12,6 +12,7 @@ from brindle.sinks.tables import (
     insert_by_name,
     replace_table,
     save_bucketed,
+    save_bucketed_apart,
     save_partitioned,
     for_each_partition,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "read_sequence_file",
     "replace_table",
     "save_bucketed",
+    "save_bucketed_apart",
     "save_partitioned",
     "write_json",
     "write_sequence_file",

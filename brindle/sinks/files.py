@@ -3,28 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from math import ceil
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.functions import row_salt
-from brindle.plans import broadcast_if_small, materialize
+from brindle.operators.skew import rows_in_bytes
+from brindle.plans import scoped_conf
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
-def write_text(df: DataFrame, path: str, compression: str = "none", rows_per_file: int | None = None) -> None:
+def write_text(df: DataFrame, path: str, compression: str = "none", file_bytes: int | None = None) -> None:
     """Write the single string column of ``df``, one line per row.
 
-    The target must not exist.  ``rows_per_file`` bounds the files, for readers
-    that take a file whole.
+    The target must not exist.  ``file_bytes`` bounds the files, for readers that take
+    a file whole: the measured mean length of a line gives the lines of a file.
     """
     writer = df.write.mode("errorifexists").option("lineSep", "\n").option("compression", compression)
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if file_bytes:
+        writer = writer.option("maxRecordsPerFile", rows_in_bytes(df, file_bytes))
     writer.text(path)
 
 
@@ -47,55 +45,18 @@ def read_sequence_file(spark: SparkSession, path: str, schema: str) -> DataFrame
     return spark.createDataFrame(spark.sparkContext.sequenceFile(path), schema)
 
 
-def overwrite_partitions(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str],
-    spread: Column | str | None = None,
-    rows_per_file: int | None = None,
-) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], rows_per_file: int | None = None) -> None:
     """Replace just the partitions that occur in ``df``; the others stay.
 
-    Rows are clustered by partition, so a task writes few files.  By default the
-    clustering is a rebalance, which adaptive execution splits where a partition is
-    large.  With ``rows_per_file`` every partition is cut into slices of about that
-    many rows by ``spread`` (a column that differs between rows), so a hot partition
-    is scattered over as many files as it needs and a small one stays one file.  A
-    spread given by name is a helper column and is not written.
-    Either way it is one write: no row can fall between two predicates.
+    Rows are clustered by partition with a rebalance: adaptive execution splits a hot
+    partition over several tasks and merges small ones, so a small partition is one
+    file.  ``rows_per_file`` bounds the files besides.  It is one write: no row can fall
+    between two predicates.
     """
-    if rows_per_file is None:
-        clustered = df.hint("rebalance", *partition_by)
-    else:
-        if spread is None:
-            raise ValueError("scattering a partition needs a column to spread by")
-        if isinstance(spread, str):
-            clustered = _sliced(df, partition_by, F.col(spread), rows_per_file).drop(spread)
-        else:
-            clustered = _sliced(df, partition_by, spread, rows_per_file)
-    (
-        clustered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def _sliced(df: DataFrame, partition_by: Sequence[str], spread: Column, rows_per_file: int) -> DataFrame:
-    """``df`` with one shuffle partition per slice of a table partition."""
-    keys = [F.col(name).alias(f"_p_{name}") for name in partition_by]
-    counts = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_slices"))
-    # One row per table partition: small enough for one window, and written so that
-    # numbering and rows see the same counts.
-    before = Window.orderBy(*[f"_p_{name}" for name in partition_by]).rowsBetween(Window.unboundedPreceding, -1)
-    slices = materialize(
-        counts.withColumn("_first", F.coalesce(F.sum("_slices").over(before), F.lit(0).cast("bigint"))), "slices"
-    )
-    total = slices.agg(F.sum("_slices").alias("total")).first()["total"] or 1
-    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_p_{name}")) for name in partition_by])
-    sized = df.join(broadcast_if_small(slices), same, "left")
-    slot = F.col("_first") + row_salt(spread, F.col("_slices"))
-    return sized.repartitionById(total, slot.cast("int")).select(*df.columns)
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def data_bytes(spark: SparkSession, path: str) -> int:
@@ -104,6 +65,11 @@ def data_bytes(spark: SparkSession, path: str) -> int:
     return files.load(path).agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
 
 
+def _fingerprint(df: DataFrame) -> tuple:
+    """Row count and order-free sum of row hashes."""
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first())
+
+
 def compact_files(
     spark: SparkSession,
     source: str,
@@ -114,11 +80,17 @@ def compact_files(
     """Re-write a Parquet folder as fewer files in a new folder; return the new data.
 
     Unpartitioned data needs no shuffle: whole input splits are merged.
-    Partitioned data is rebalanced by its partition columns.
+    Partitioned data is rebalanced by its partition columns.  These are read and
+    written as text, so that values like ``007`` stay what they are.  Source and target
+    are compared as bags of rows before the new data is returned.
     """
-    df = spark.read.parquet(source)
-    if partition_by:
-        overwrite_partitions(df, target, partition_by)
-    else:
-        df.coalesce(max(1, ceil(data_bytes(spark, source) / target_bytes))).write.parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    with scoped_conf(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"):
+        df = spark.read.parquet(source)
+        if partition_by:
+            overwrite_partitions(df, target, partition_by)
+        else:
+            df.coalesce(max(1, ceil(data_bytes(spark, source) / target_bytes))).write.parquet(target)
+        compacted = spark.read.schema(df.schema).parquet(target)
+        if _fingerprint(df) != _fingerprint(compacted):
+            raise RuntimeError(f"{target} does not hold the rows of {source}")
+    return compacted

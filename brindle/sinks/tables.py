@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from brindle.operators.skew import HotKeys, split_hot
+
 
 def save_partitioned(
     df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None, mode: str = "overwrite"
@@ -24,25 +26,34 @@ def save_partitioned(
     return df.sparkSession.table(name)
 
 
-def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, path: str | None = None) -> DataFrame:
-    """Save as a Parquet table bucketed and sorted by ``key``.
+def save_bucketed(
+    df: DataFrame, name: str, buckets: int, key: str, path: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Save as a Parquet table bucketed and sorted by ``key``, partitioned as well if wanted.
 
     The rebalance uses as many partitions as buckets and the same hash, so a task
-    holds one bucket and writes one file; a large bucket is split over several.
+    holds one bucket and writes one file per table partition; a large bucket is split
+    over several tasks.
     """
-    writer = (
-        df.hint("rebalance", buckets, key)
-        .write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-    )
+    writer = df.hint("rebalance", buckets, key).write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer = writer.bucketBy(buckets, key).sortBy(key)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def save_bucketed_apart(
+    df: DataFrame, name: str, buckets: int, hot: HotKeys, path: str | None = None, partition_by: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``save_bucketed`` without the rows of hot keys, which go to the plain table ``<name>_hot``."""
+    common, apart = split_hot(df, hot)
+    saved = save_bucketed(common, name, buckets, *hot.keys, path=path, partition_by=partition_by)
+    return saved, replace_table(apart, f"{name}_hot", f"{path}-hot" if path else None)
+
+
 def append_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """Append rows; the table is created by the first call."""
     if partition_by:

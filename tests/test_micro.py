@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.functions import integer_bucket, tokens
+from brindle.functions import bucket_of, tokens
 from brindle.operators import aggregates, ordering, rows as row_ops, sets, visits
 from brindle.operators.joins import left_join_hot_right, lookup
 from brindle.sources import from_rows, parse_access_log, parse_visits, people, visit_rejects
@@ -92,7 +92,7 @@ def test_counts_and_sums_by_key(rows):
 
 def test_group_values_one_row_per_small_group(rows):
     pairs = rows([("a", 1), ("b", 2), ("a", 3), ("a", 1), (None, 7), ("a", None)], "key string, value int")
-    found = {r["key"]: (r["chunk"], [tuple(e) for e in r["entries"]], r["cnt"]) for r in
+    found = {r["key"]: (r["page"], [tuple(e) for e in r["entries"]], r["cnt"]) for r in
              aggregates.group_values(pairs, "key", "value").collect()}
     assert found == {
         "a": (0, [(None, 1), (1, 2), (3, 1)], 4),
@@ -102,18 +102,25 @@ def test_group_values_one_row_per_small_group(rows):
 
 
 @pytest.mark.parametrize("kind", ["bigint", "string"])
-def test_group_values_splits_a_large_group_and_loses_nothing(spark, kind):
+def test_group_values_pages_are_full_and_lose_nothing(spark, kind):
     pairs = spark.range(3000).select(
         F.when(F.col("id") < 2900, "hot").otherwise("cold").alias("key"), (F.col("id") % 1500).cast(kind).alias("value")
     )
-    groups = aggregates.group_values(pairs, "key", "value", chunk_rows=200).collect()
-    hot = [g for g in groups if g["key"] == "hot"]
-    assert len(hot) > 10 and max(len(g["entries"]) for g in hot) < 400
-    assert [g["chunk"] for g in groups if g["key"] == "cold"] == [0]
+    groups = sorted(aggregates.group_values(pairs, "key", "value", page_entries=200).collect(), key=lambda g: (g["key"], g["page"]))
+    sizes = {key: [len(g["entries"]) for g in groups if g["key"] == key] for key in ("hot", "cold")}
+    assert sizes == {"hot": [200] * 7 + [100], "cold": [100]}
+    in_order = [e["value"] for g in groups if g["key"] == "hot" for e in g["entries"]]
+    assert in_order == sorted(in_order)
     unfolded = sorted((g["key"], e["value"]) for g in groups for e in g["entries"] for _ in range(e["copies"]))
     assert unfolded == sorted((r["key"], r["value"]) for r in pairs.collect())
 
 
+def test_many_copies_of_few_values_are_one_page(spark):
+    pairs = spark.range(5000).select(F.lit("k").alias("key"), (F.col("id") % 5).alias("value"))
+    (row,) = aggregates.group_values(pairs, "key", "value", page_entries=100).collect()
+    assert row["page"] == 0 and row["cnt"] == 5000 and [e["copies"] for e in row["entries"]] == [1000] * 5
+
+
 def test_bucket_maxima(rows):
     tagged = rows([(0, 1), (0, 2), (1, 3), (1, 4)], "bucket int, value int")
     maxima = aggregates.bucket_maxima(tagged, "bucket", "value")
@@ -131,10 +138,35 @@ def test_buckets_are_total_and_stable(rows):
 
 
 def test_buckets_spread_evenly(spark):
-    counts = [r["count"] for r in spark.range(16000).groupBy(integer_bucket(F.col("id"), 16)).count().collect()]
+    counts = [r["count"] for r in spark.range(16000).groupBy(bucket_of(F.col("id"), 16)).count().collect()]
     assert len(counts) == 16 and max(counts) < 1200 and min(counts) > 800
 
 
+def test_seeds_are_independent(spark):
+    people_ = people(spark.range(20_000), "p", 1)
+    shared = people_.where("age = partition").count()
+    assert 120 < shared < 290  # one in a hundred by chance
+    assert people_.select(((F.col("age") - F.col("partition")) % 100).alias("d")).distinct().count() > 90
+    df = spark.range(50_000)
+    one, two = (row_ops.sample_rows(df, "id", 0.4, seed) for seed in (1, 2))
+    assert 19_000 < one.count() < 21_000
+    assert 7_300 < one.intersect(two).count() < 8_700  # 0.4 * 0.4
+
+
+def test_any_fraction_and_regular_keys(spark):
+    df = spark.range(200_000)
+    assert 40 < row_ops.sample_rows(df, "id", 0.0004).count() < 125
+    assert row_ops.sample_rows(df, "id", 0.0).count() == 0 and row_ops.sample_rows(df, "id", 1.0).count() == 200_000
+    thousands = df.select((F.col("id") * 1000).alias("id"))
+    assert 78_000 < row_ops.sample_rows(thousands, "id", 0.4).count() < 82_000
+
+
+def test_partition_by_key(spark):
+    placed = row_ops.partition_by_key(spark.range(1000).select((F.col("id") % 17).alias("k")), "k", partitions=5)
+    found = placed.select("k", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(found) == 17 and placed.rdd.getNumPartitions() == 5
+
+
 def test_take_ordered(rows):
     df = rows([(4,), (2,), (1,), (3,)], "x int")
     assert [r[0] for r in ordering.smallest(df, 3, F.asc("x")).collect()] == [1, 2, 3]

@@ -7,7 +7,7 @@ from brindle.functions import register_salt_functions
 from brindle.operators import sales, skew
 from brindle.operators.joins import bucketed_left_join, left_join_hot_right
 from brindle.plans import executed_plan, scoped_conf, shared_dir, table_name
-from brindle.sinks import save_bucketed
+from brindle.sinks import save_bucketed, save_bucketed_apart
 
 NO_BROADCAST = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
@@ -44,7 +44,7 @@ def courses(rows):
 
 def test_salted_join_keeps_unmatched_hot_and_null_keys(carts, courses):
     hot = skew.find_hot_keys(carts, ["courseid"], rows_per_task=2, min_salts=5)
-    assert {row[0] for row in hot.salts} == {101, 103}
+    assert {row[0] for row in hot.frame.collect()} == {101, 103}
     joined = skew.salted_left_join(carts, courses, hot, F.col("orderid"))
     assert same(joined, carts.join(courses, "courseid", "left"))
     assert joined.filter("courseid = 103").count() == 3 and joined.filter("courseid is null").count() == 1
@@ -54,7 +54,7 @@ def test_salted_join_keeps_unmatched_hot_and_null_keys(carts, courses):
 def test_hot_null_key(rows, courses):
     fact = rows([(None, i) for i in range(50)] + [(101, 99)], "courseid int, n int")
     hot = skew.find_hot_keys(fact, ["courseid"], rows_per_task=10)
-    assert hot.null_is_hot and hot.matchable == []
+    assert hot.null_is_hot and hot.matchable.count() == 0
     assert same(skew.salted_left_join(fact, courses, hot, F.col("n")), fact.join(courses, "courseid", "left"))
 
 
@@ -72,14 +72,14 @@ def test_salted_join_on_several_columns(spark, rows):
     )
     dim = rows([(k, f"d{d}", f"name {k}") for k in range(0, 40, 2) for d in range(2)] + [(1, "d0", "hot")], "k int, dt string, name string")
     hot = skew.find_hot_keys(fact, ["k", "dt"], rows_per_task=100)
-    assert {row[:2] for row in hot.salts} == {(1, "d0"), (1, "d1")}
+    assert {row[:2] for row in hot.frame.collect()} == {(1, "d0"), (1, "d1")}
     assert same(skew.salted_left_join(fact, dim, hot, F.col("n")), fact.join(dim, ["k", "dt"], "left"))
 
 
 def test_salts_grow_with_the_key(spark):
     fact = spark.range(1000).select(F.when(F.col("id") < 900, 1).otherwise(2).alias("k"))
     hot = skew.find_hot_keys(fact, ["k"], rows_per_task=50)
-    assert {row[0]: row[1] for row in hot.salts} == {1: 18, 2: 2}
+    assert {row[0]: row[1] for row in hot.frame.collect()} == {1: 18, 2: 2}
 
 
 def test_hot_rows_land_on_many_partitions(spark, rows):
@@ -115,7 +115,7 @@ def test_salted_sum_equals_plain(spark):
 
 def test_sql_salt_functions(spark):
     register_salt_functions(spark)
-    row = spark.sql("SELECT salt_key(12L, -7L, 6) AS s, unsalt_key(salt_key(12L, -7L, 6)) AS k").first()
+    row = spark.sql("SELECT brindle_salt_key(12L, -7L, 6) AS s, brindle_unsalt_key(brindle_salt_key(12L, -7L, 6)) AS k").first()
     assert row["s"]["key"] == 12 and 0 <= row["s"]["salt"] < 6 and row["k"] == 12
 
 
@@ -130,21 +130,36 @@ def test_sampled_detection_gives_the_same_join(spark, rows):
     fact = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"))
     dim = spark.range(0, 6000, 2).select(F.col("id").alias("k"), F.lit("x").alias("name"))
     hot = skew.find_hot_keys(fact, ["k"], rows_per_task=500, fraction=0.2)
-    assert [row[0] for row in hot.salts] == [1]
+    assert [row[0] for row in hot.frame.collect()] == [1]
     assert same(skew.salted_left_join(fact, dim, hot, F.col("n")), fact.join(dim, "k", "left"))
 
 
-def test_bucketed_join_with_a_hot_key(spark):
-    fact = spark.range(4000).select(
-        F.when(F.col("id") < 1500, 3).when(F.col("id") < 2500, None).otherwise(F.col("id")).alias("orderid"),
+@pytest.mark.parametrize("buckets", [5, 64])
+def test_bucketed_join_with_a_hot_key(spark, buckets):
+    fact = spark.range(6400).select(
+        F.when(F.col("id") < 1280, 3).when(F.col("id") < 2500, None).otherwise(F.col("id")).alias("orderid"),
         F.col("id").alias("n"),
+        (F.col("id") % 2).cast("string").alias("dt"),
     )
-    dim = spark.range(0, 4000, 3).select(F.col("id").alias("orderid"), F.lit("paid").alias("state"))
+    dim = spark.range(0, 6400, 3).select(F.col("id").alias("orderid"), F.lit("paid").alias("state"))
+    hot = skew.find_hot_keys(fact, ["orderid"], rows_per_task=6400 // buckets)
+    assert {row[0] for row in hot.frame.collect()} == ({3, None} if buckets == 64 else {3} if 1280 >= 6400 // buckets else set())
     names = table_name("fact"), table_name("dim")
-    for df, name in zip((fact, dim), names):
-        save_bucketed(df, name, 5, "orderid", shared_dir(spark, name))
-    joined = bucketed_left_join(spark.table(names[0]), spark.table(names[1]), "orderid", F.col("n"))
-    assert same(joined, fact.join(dim, "orderid", "left"))
+    common, apart = save_bucketed_apart(fact, names[0], buckets, hot, shared_dir(spark, names[0]), ["dt"])
+    paid = save_bucketed(dim, names[1], buckets, "orderid", shared_dir(spark, names[1]))
+    assert common.where("orderid = 3").count() == 0 and common.count() + apart.count() == 6400
+    with scoped_conf(spark, **NO_BROADCAST, spark__sql__adaptive__enabled="false"):
+        assert "Exchange hashpartitioning" not in common.join(paid, "orderid", "left")._jdf.queryExecution().toString()
+    assert same(bucketed_left_join(common, apart, paid, hot, F.col("n")), fact.join(dim, "orderid", "left"))
+
+
+def test_all_hot_keys_are_found_whatever_the_settings(spark):
+    fact = spark.range(20_000).select((F.col("id") % 100).alias("k"), F.lit("x" * 200).alias("v"))
+    for partitions in ("4", "8", "200"):
+        with scoped_conf(spark, spark__sql__shuffle__partitions=partitions):
+            assert skew.find_hot_keys(fact, ["k"], rows_per_task=200).frame.count() == 100
+            assert not skew.find_hot_keys(fact, ["k"])
+            assert skew.rows_in_bytes(fact, 216_000) == pytest.approx(1000, rel=0.1)
 
 
 def _skewed_star(spark):
