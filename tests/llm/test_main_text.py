@@ -43,7 +43,7 @@ def test_without_the_content_element(spark, sf_dir):
         (f"<p>first{' w' * 40}</p><div class='side-bar sidebar'>bar bar</div><p>last{' w' * 40}</p>", f"first{' w' * 40}\nlast{' w' * 40}"),
         ("<p>long text of words here</p><div id=comments><p>nice one</p></div>", "long text of words here"),
         ("<p>a < b and c > d</p>", "a < b and c > d"), ("<!-- <p>no</p> --><p>yes yes</p>", "yes yes"), ("<P CLASS='x>y'>quoted words</P>", "quoted words"),
-        ("<article><header><h1>Title of many words here</h1></header><p>Body words</p></article>", "Title of many words here\nBody words"),
+        ("<article><header><h1>Title of many words</h1></header><p>Body words that go on for long</p></article>", "Title of many words\nBody words that go on for long"),
         ("<form><label>Name</label><input></form><p>the text of it</p>", "the text of it"),
     ],
 )
