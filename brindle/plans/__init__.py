@@ -1,6 +1,6 @@
 from brindle.plans.inspect import executed_plan, plan_text, scoped_conf
 from brindle.plans.sizing import broadcast_if_small, measured_bytes
-from brindle.plans.workspace import checkpointed, materialize, shared_dir, table_name
+from brindle.plans.workspace import checkpointed, materialize, shared_dir, table_name, work_scope
 
 __all__ = [
     "broadcast_if_small",
@@ -12,4 +12,5 @@ __all__ = [
     "scoped_conf",
     "shared_dir",
     "table_name",
+    "work_scope",
 ]

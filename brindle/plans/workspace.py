@@ -8,11 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+# What the open scopes own: folders and tables, innermost scope last.
+_SCOPES: list[tuple[list[str], list[str]]] = []
+
 
 def _root(spark: SparkSession) -> str:
     context = spark.sparkContext
@@ -29,7 +34,10 @@ def _root(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, purpose: str = "work") -> str:
     """A fresh path (not yet created) below the shared folder."""
-    return f"{_root(spark)}/brindle/{purpose}-{uuid.uuid4().hex}"
+    path = f"{_root(spark)}/brindle/{purpose}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1][0].append(path)
+    return path
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -40,7 +48,36 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def table_name(purpose: str) -> str:
     """A catalog name no other call uses."""
-    return f"brindle_{purpose}_{uuid.uuid4().hex}"
+    name = f"brindle_{purpose}_{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1][1].append(name)
+    return name
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the shared folders and tables named inside, and removes them at the end.
+
+    Frames that read them must have been used, or written elsewhere, by then.
+    """
+    owned: tuple[list[str], list[str]] = ([], [])
+    _SCOPES.append(owned)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(owned)
+        for name in owned[1]:
+            for table in (name, f"{name}_hot"):
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for path in owned[0]:
+            remove_folder(spark, path)
+            remove_folder(spark, f"{path}-hot")
 
 
 def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:

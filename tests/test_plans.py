@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle import datasets
 from brindle.catalog import all_queries, joins, layout
 from brindle.operators import aggregates, sets
+from brindle.operators import profile
 from brindle.plans import broadcast_if_small, executed_plan, measured_bytes, plan_text, scoped_conf
 
 QUERIES = all_queries()
@@ -74,10 +75,15 @@ def test_intersection_is_one_shuffle(spark):
     assert exchanges(plan) == 1 and "Join" not in plan
 
 
-def test_chunks_of_a_group_are_shuffled_apart(spark, sf_dir):
+def test_pages_of_a_group_are_shuffled_apart(spark, sf_dir):
     plan = static_plan(spark, lambda: QUERIES["group_by_expression"](spark, sf_dir))
-    assert re.search(r"Exchange hashpartitioning\(key#\d+, chunk#\d+, \d+\), REPARTITION_BY_COL", plan)
-    assert "ReusedExchange" in plan, "the oversized keys must come from the shuffle the values use"
+    assert re.search(r"Exchange hashpartitioning\(key#\d+, page#\d+, \d+\), REPARTITION_BY_COL", plan)
+    assert "Window" not in plan, "places come from range partitions"
+
+
+def test_profile_reads_a_table_once(spark, sf_dir):
+    plan = static_plan(spark, lambda: profile.column_profile(datasets.cart(spark, sf_dir), ["courseid", "orderid", "dt"]))
+    assert plan.count("FileScan") == 1 and "Expand" in plan
 
 
 def test_column_pruning(spark, sf_dir):
@@ -90,8 +96,6 @@ def test_column_pruning(spark, sf_dir):
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
-    plan = static_plan(spark, lambda: datasets.pay(spark, sf_dir), "formatted")
-    assert "EqualTo(o_orderstatus,F)" in plan
     plan = static_plan(spark, lambda: QUERIES["search_contains"](spark, sf_dir), "formatted")
     assert "StringContains(text,the)" in plan
 

@@ -260,3 +260,22 @@ def test_catalog_statistics(spark, path):
     assert before["max"] is None and (after["min"], after["max"], after["num_nulls"]) == ("0", "49", "0")
     described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESC FORMATTED {name}").collect()}
     assert "50 rows" in described["Statistics"]
+
+
+def test_a_scope_removes_what_was_made_inside(spark):
+    from brindle.plans import materialize, shared_dir, work_scope
+
+    outside = shared_dir(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with work_scope(spark):
+        name, path = table_name("inside"), shared_dir(spark, "inside")
+        replace_table(spark.range(5), name, path)
+        kept = materialize(spark.range(7), "inside")
+        with work_scope(spark):
+            inner = shared_dir(spark, "inner")
+            spark.range(2).write.parquet(inner)
+        assert kept.count() == 7 and spark.table(name).count() == 5
+        files = kept.inputFiles()
+    assert not spark.catalog.tableExists(name) and spark.read.parquet(outside).count() == 3
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in (path, inner))
