@@ -14,7 +14,7 @@ from brindle.llm.personal_data import op7_personal_data
 from brindle.llm.pieces import op4_pieces
 from brindle.llm.simhash import op8_simhash
 from brindle.llm.token_files import op2_token_files
-from brindle.llm.url_rules import op9_url_rules
+from brindle.llm.url_rules import OP9_SQL, op9_url_rules
 from brindle.llm.vantage import op10_vantage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,4 +31,4 @@ QUERIES: dict[str, Query] = {
     "op9_url_rules": op9_url_rules,
     "op10_vantage": op10_vantage,
 }
-ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_url_rules": OP9_SQL}

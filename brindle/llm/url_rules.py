@@ -23,6 +23,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,7 +116,8 @@ def mine(
         F.when(F.col("block"), F.concat("items", F.array(F.lit(BLOCK)))).otherwise(F.col("items")).alias("items")
     )
     marked = materialize(marked.where(F.size("items") > 0), "marked")
-    support = max(min_support, MIN_LABELS / max(1, marked.count()))
+    count = max(1, marked.count())
+    support = (max(MIN_LABELS, ceil(min_support * count)) - 0.5) / count  # half a row below, against rounding
     growth = FPGrowth(itemsCol="items", minSupport=min(1.0, support), minConfidence=min_confidence)
     rules = growth.fit(marked).associationRules
     enough = (F.element_at("consequent", 1) == BLOCK) & (F.col("lift") >= min_lift) & (F.col("support") >= support)
@@ -149,3 +152,63 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] = RULES, id: st
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), block_labels(table(spark, sf_dir, "labels")))
+
+
+def _rules_sql() -> tuple[str, str]:
+    ordered = sorted(RULES, key=lambda rule: (-len(rule[1] + rule[2]), rule[1] + rule[2], rule[0]))
+    fits = [(kind, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for kind, h, p in ordered]
+    return tuple("CASE " + " ".join(f"WHEN {test} THEN '{(name, kind)[part]}'" for kind, name, test in fits) + " END" for part in (0, 1))
+
+
+# Counts every set of items of every labelled URL: for small tables.
+OP9_SQL = f"""
+WITH url AS (
+    SELECT page_id, coalesce(url, '') AS url,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+),
+part AS (
+    SELECT *, string_split(host, '.') AS labels, regexp_extract(path, '^/([^/]+)/', 1) AS folder,
+           lower(regexp_extract(path, '\\.([A-Za-z0-9]{{1,8}})$', 1)) AS kind,
+           CASE WHEN contains(url, '://') THEN lower(split_part(url, '://', 1)) ELSE '' END AS scheme
+    FROM url
+),
+page AS (
+    SELECT page_id, host, path, list_sort(list_distinct(list_filter([
+               CASE WHEN scheme <> '' THEN 'scheme=' || scheme END, CASE WHEN host <> '' THEN 'tld=' || labels[-1] END,
+               CASE WHEN host <> '' THEN 'site=' || array_to_string(labels[-2:], '.') END,
+               CASE WHEN labels[1] <> '' THEN 'first=' || labels[1] END, CASE WHEN host <> '' THEN 'host=' || host END,
+               CASE WHEN folder <> '' THEN 'folder=' || folder END, CASE WHEN kind <> '' THEN 'type=' || kind END,
+               CASE WHEN contains(url, '?') THEN 'has=query' END, CASE WHEN contains(url, '#') THEN 'has=fragment' END
+           ], lambda x: x IS NOT NULL))) AS items
+    FROM part
+),
+label AS (
+    SELECT doc_id, bool_or(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1) AS block FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+marked AS (SELECT items, block FROM page JOIN label ON page_id = doc_id WHERE block OR len(items) > 0),
+whole AS (
+    SELECT count(*) AS n, count(*) FILTER (block) AS blocked, greatest({MIN_LABELS}, ceil({MIN_SUPPORT}::DOUBLE * count(*))) AS least FROM marked
+),
+counted AS (
+    SELECT list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part, count(*) AS n, count(*) FILTER (block) AS blocked
+    FROM (SELECT items, block, unnest(range(1, 1 << len(items))) AS mask FROM marked) GROUP BY 1
+),
+found AS (
+    SELECT part, c.blocked::DOUBLE / c.n AS confidence, c.blocked::DOUBLE / w.n AS support
+    FROM counted c, whole w
+    WHERE c.blocked >= least AND c.blocked::DOUBLE / c.n >= {MIN_CONFIDENCE} AND (c.blocked::DOUBLE / c.n) / (w.blocked::DOUBLE / w.n) >= {MIN_LIFT}
+),
+fired AS (
+    SELECT items, array_to_string(part, ' & ') AS learned, confidence,
+           row_number() OVER (PARTITION BY items ORDER BY confidence DESC, support DESC, len(part), array_to_string(part, ' & ') DESC) AS place
+    FROM (
+        SELECT items, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS own
+        FROM (SELECT items, unnest(range(1, 1 << len(items))) AS mask FROM (SELECT DISTINCT items FROM page))
+    ) JOIN found ON own = part
+)
+SELECT page_id, host, path, {_rules_sql()[0]} AS rule,
+       coalesce({_rules_sql()[1]}, CASE WHEN learned IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, learned, confidence
+FROM page p LEFT JOIN fired f ON p.items = f.items AND f.place = 1
+"""

@@ -1,5 +1,7 @@
 import itertools
 
+import compare
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,22 @@ def test_verdicts_and_rows(spark):
     assert all((r["verdict"] == "block") == (r["host"] == "spam.example.org") for r in rows)
 
 
+def test_oracle(spark, sf_dir):
+    connection = compare.connect(sf_dir)
+    assert compare.differences(U.op9_url_rules(spark, sf_dir), connection, U.OP9_SQL) is None
+    connection.close()
+
+
+def test_oracle_where_rules_fire(spark):
+    pages, labels = corpus(spark)
+    connection = duckdb.connect()
+    connection.register("pages", pages.toPandas().astype({"page_id": "Int64"}))
+    connection.register("labels", labels.toPandas())
+    got = U.judge(pages, U.block_labels(labels))
+    assert got.where("learned is not null").count() > 50
+    assert compare.differences(got, connection, U.OP9_SQL) is None
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = U.op9_url_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "ExistingRDD"))
