@@ -12,7 +12,7 @@ from brindle.catalog.joins import SALE_DETAIL_SQL
 from brindle.catalog.registry import query, with_ctes
 from brindle.functions import register_salt_functions
 from brindle.operators import sales
-from brindle.operators.skew import key_counts, salted_sum, top_keys
+from brindle.operators.skew import key_counts, salted_sum, top_keys_of_columns
 
 JOIN_SALTS = 36
 SUM_SALTS = 6
@@ -23,13 +23,13 @@ _PROBES = (("cart", "courseid"), ("sale_course", "courseid"), ("pay", "orderid")
 
 
 def _probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten most frequent keys of each table and key column."""
-    tables = {name: getattr(datasets, name)(spark, sf_dir) for name in ("cart", "sale_course", "pay")}
+    """The ten most frequent keys of each table and key column; each table is read once."""
+    columns: dict[str, list[str]] = {}
+    for source, key in _PROBES:
+        columns.setdefault(source, []).append(key)
     parts = [
-        top_keys(tables[table], key, 10).select(
-            F.lit(table).alias("source"), F.lit(key).alias("key_column"), F.col(key).alias("key"), "cnt"
-        )
-        for table, key in _PROBES
+        top_keys_of_columns(getattr(datasets, source)(spark, sf_dir), keys, 10).select(F.lit(source).alias("source"), "*")
+        for source, keys in columns.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 

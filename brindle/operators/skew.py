@@ -8,7 +8,7 @@ from functools import reduce
 from math import ceil
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import row_salt
@@ -31,6 +31,15 @@ def top_keys(df: DataFrame, key: str, n: int = 10, fraction: float | None = None
     return key_counts(keys, key).orderBy(F.desc("cnt"), F.asc(key)).limit(n)
 
 
+def top_keys_of_columns(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
+    """``key_column, key, cnt``: the most frequent keys of each of several columns of one type, in one scan."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("key_column"), F.col(c).alias("key")) for c in columns])
+    counted = key_counts(df.select(F.explode(pairs).alias("p")).select("p.*"), "key_column", "key")
+    # Each task keeps only its own first n of a column before the rows meet.
+    place = F.row_number().over(Window.partitionBy("key_column").orderBy(F.desc("cnt"), F.asc("key")))
+    return counted.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Keys too frequent for one task, each with the number of salts it needs.

@@ -122,6 +122,8 @@ def test_sql_salt_functions(spark):
 def test_top_keys_exact_and_sampled(spark):
     df = spark.range(10000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     assert [tuple(r) for r in skew.top_keys(df, "k", 2).collect()] == [(-1, 3334), (1, 1)]
+    both = skew.top_keys_of_columns(df.withColumn("j", F.col("k") % 2), ["k", "j"], 2).collect()
+    assert sorted(map(tuple, both)) == [("j", -1, 3334), ("j", 0, 3333), ("k", -1, 3334), ("k", 1, 1)]
     sampled = skew.top_keys(df, "k", 1, fraction=0.4).first()
     assert sampled["k"] == -1 and 1100 < sampled["cnt"] < 1600
 
