@@ -192,7 +192,7 @@ def test_adaptive_execution_splits_the_hot_course(spark):
     course, cart, pay = _skewed_star(spark)
     with scoped_conf(spark, **SPLIT_SMALL):
         assert "skew=true" in executed_plan(sales.sale_detail(course, cart, pay))
-        assert "skew=true" in executed_plan(sales.course_sales(course, cart, pay))
+        assert "skew=true" in executed_plan(sales.course_sales(course, cart, pay, hot_rows=1000))
         right = cart.select("courseid", "orderid", "cart_createtime")
         assert "skew=true" in executed_plan(left_join_hot_right(course, right, ["courseid"]))
         # The plain outer join cannot be split on its right side.
@@ -208,9 +208,10 @@ def test_course_sales_equals_the_plain_joins(spark):
         .join(course, "courseid", "right")
         .select(*sales.DETAIL_COLUMNS)
     )
-    ours = sales.course_sales(course, cart, pay)
-    assert same(ours, plain)
-    assert ours.filter("courseid >= 100000 and orderid is null").count() == 5
+    for hot_rows in (1000, 1_000_000):  # with courses set apart, and in one join
+        ours = sales.course_sales(course, cart, pay, hot_rows)
+        assert same(ours, plain)
+        assert ours.filter("courseid >= 100000 and orderid is null").count() == 5
 
 
 def test_salted_sale_detail_equals_plain(spark):
