@@ -37,6 +37,33 @@ def text_key(text: Column, salt: int = 0) -> Column:
     return F.xxhash64(F.lit(salt), text)
 
 
+class Words:
+    """Ids of words, one after the other in an array, and where each word's ids lie."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.starts, self.used = np.zeros(1 << 16, np.int32), np.zeros((1 << 16) + 1, np.int64), 0
+
+    def add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """``ids`` holds the words' ids; ``ends`` tells where each word ends in it."""
+        count, size = len(self.place), self.used + ids.size
+        while self.flat.size < size:
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.starts.size <= count + len(words):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.flat[self.used : size] = ids
+        self.starts[count + 1 : count + len(words) + 1] = self.used + ends
+        self.place.update(zip(words, range(count, count + len(words))))
+        self.used = size
+
+    def ids_of(self, words: list[str]) -> np.ndarray:
+        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        starts = self.starts[places]
+        sizes = self.starts[places + 1] - starts
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if ends.size else 0)]
+
+
 def slices(batches: Iterator[pa.RecordBatch], place: int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batches cut where column ``place`` passes about ``limit`` bytes, so that Python holds few texts at a time."""
     for batch in batches:

@@ -9,8 +9,10 @@ document's place in the whole corpus is that plus the sizes of earlier shards: a
 one number per shard, with no corpus-wide window.
 
 The tokenizer drops white space, and none of its tokens or normalisations spans it, so
-the ids of a text are those of its words.  Words are encoded by the library once per
-Python worker and then remembered; ``by_word=False`` encodes whole texts.
+the ids of a text are those of its words.  In texts of Latin letters, digits and ASCII
+marks the words are plain to see; the library encodes each distinct one once per Python
+worker, and its ids are remembered.  Other texts are encoded whole, as are all with
+``by_word=False``, which other tokenizers need.
 
 Defined results: a null text counts as empty and has the end id only; a null id comes
 first; rows with the same id are ordered by a hash of the text; repeated rows are all
@@ -19,10 +21,10 @@ written; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from brindle.llm.common import column, slices, table
+from brindle.llm.common import Words, column, slices, table
 from brindle.plans.sizing import broadcast_if_small
 from brindle.plans.workspace import shared_dir
 
 MODEL = "word_bpe_49k.json"
 END = 1
-_REMEMBERED = 200_000  # words in use that a Python worker keeps, and as many older ones
+_REMEMBERED = 500_000  # words a Python worker keeps; beyond it the memory starts anew
 FILE_SCHEMA = "doc_id bigint, shard int, shard_start bigint, n_tokens bigint, ids array<int>"
 ORC_OPTIONS = {
     "orc.create.index": "true",
@@ -48,69 +50,56 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 
-# A Latin word and one closing mark are two words to the tokenizer, in upper or lower case.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-_ODD_BLANK = re.compile("[\x1c-\x1f]")  # blanks to str.split, not to the tokenizer
+# Texts of blanks, letters of Latin-1, digits and ASCII marks, but no apostrophe: there the
+# tokenizer's words are runs of letters, single digits and runs of marks.
+_OTHER = re.compile("[^\t-\r A-Za-zÀ-ÖØ-öø-ÿ!-&(-~]|<\\|")
+_APART = re.compile(r"[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
 class Encoder:
     """Ids of texts, by way of remembered words; ``memory`` outlives the task if the caller keeps it."""
 
     def __init__(self, tokenizer: str, by_word: bool = True, memory: dict | None = None):
-        memory = {} if memory is None else memory
-        if "tokenizer" not in memory:
-            memory["tokenizer"] = made = Tokenizer.from_str(tokenizer)
-            suffix = getattr(made.model, "end_of_word_suffix", None)
-            ends = [suffix is not None and word.endswith(suffix) for word, _ in sorted(made.get_vocab().items(), key=lambda pair: pair[1])]
-            memory.update(ends=np.array(ends), known={}, older={})
-        self.tokenizer, self.ends, self.memory, self.by_word = memory["tokenizer"], memory["ends"], memory, by_word
-
-    def whole(self, texts: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(made.ids) for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def stems(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of words that are one token-to-be each: encoded as one text and parted at the word ends."""
-        ids = self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids if words else []
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(ends) != len(words):
-            return self.whole(words)
-        return [tuple(ids[low:high]) for low, high in zip([0, *ends], ends)]
-
-    def learn(self, words: set[str]) -> None:
-        """Remember the words; those not used for long are forgotten."""
-        if len(self.memory["known"]) > _REMEMBERED:
-            self.memory.update(known={}, older=self.memory["known"])
-        known, older = self.memory["known"], self.memory["older"]
-        parts: dict[str, tuple[str, str]] = {}
-        odd = []
-        for word in words.difference(known):
-            if word in older:
-                known[word] = older[word]
-            elif simple := _SIMPLE.fullmatch(word):
-                stem, mark = simple.groups()
-                parts[word] = stem.lower() if stem.isascii() else stem, mark
-            else:
-                odd.append(word)
-        known.update(zip(odd, self.whole(odd)))
-        marks = [mark for mark in {mark for _, mark in parts.values()} if mark and mark not in known]
-        known.update(zip(marks, self.whole(marks)))
-        stems = list({stem for stem, _ in parts.values()}.difference(known))
-        known.update(zip(stems, self.stems(stems)))
-        for word, (stem, mark) in parts.items():
-            known[word] = known[stem] + known[mark] if mark else known[stem]
+        self.memory = {} if memory is None else memory
+        self.by_word = by_word
+        if not self.memory:
+            self.memory["whole"] = made = Tokenizer.from_str(tokenizer)
+            self.memory["words"] = Words()
+            if by_word:
+                plan = json.loads(tokenizer)
+                # For words parted and lowered beforehand: what is left of the plan is the last step.
+                last = plan["pre_tokenizer"]["pretokenizers"][-1]
+                plan.update(normalizer=None, pre_tokenizer={"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, last]})
+                self.memory["parted"] = Tokenizer.from_str(json.dumps(plan))
+                suffix = made.model.end_of_word_suffix
+                vocabulary = sorted(made.get_vocab().items(), key=lambda pair: pair[1])
+                self.memory["ends"] = np.array([word.endswith(suffix) for word, _ in vocabulary])
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(made.ids, np.int32) for made in self.memory["whole"].encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: set[str]) -> Words:
+        """Encode the words not yet known, as one text, and part its ids at the word ends."""
+        if len(self.memory["words"].place) > _REMEMBERED:
+            self.memory["words"] = Words()
+        known = self.memory["words"]
+        if new := list(words.difference(known.place)):
+            ids = np.array(self.memory["parted"].encode(" ".join(new), add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(self.memory["ends"][ids]) + 1
+            if ends.size != len(new):
+                raise ValueError("the tokenizer's words do not end in its end-of-word mark; encode by_word=False")
+            known.add(new, ids, ends)
+        return known
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if not self.by_word:
-            return [np.array(ids, np.int32) for ids in self.whole(texts)]
-        words = [text.split() for text in texts]
-        self.learn(set().union(*words))
-        get = self.memory["known"].__getitem__
-        made = [np.fromiter(chain.from_iterable(map(get, own)), np.int32) for own in words]
-        for place, text in enumerate(texts):
-            if _ODD_BLANK.search(text):
-                made[place] = np.array(self.whole([text])[0], np.int32)
-        return made
+            return self.whole(texts)
+        plain = [not _OTHER.search(text) for text in texts]
+        words = [_APART.sub(r" \g<0> ", text.lower()).split() if easy else [] for text, easy in zip(texts, plain)]
+        known = self.learn(set().union(*words))
+        others = iter(self.whole([text for text, easy in zip(texts, plain) if not easy]))
+        return [known.ids_of(own) if easy else next(others) for own, easy in zip(words, plain)]
 
 
 def write_token_files(

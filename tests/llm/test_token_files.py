@@ -39,7 +39,7 @@ def test_whole_table(spark, sf_dir, tokenizer):
 def test_words_and_whole_texts_agree(tokenizer, by_word):
     texts = [
         "", "  ", "It's THAN. É.é İx ÀÁ. don't... ×.a ÷ ,", "a\x1cb c", "e\u0301. ẞ ß.", "日本語 テスト。", "<|endoftext|> x<|startoftext|>y", "\u00a0nb\u2003sp ǅ.",
-        "123. 1.2,3 a1.", "Σίσυφος. ΟΔΟΣ. ς", "s t're. 'S", "ſ. ŉ. İ. ı", "a" * 5000, "than than. Than, THAN!",
+        "123. 1.2,3 a1.", "a!?b .,; (x)-[y] _z_ <b> <|x", "Ünïcödé ß ÿ. ¿qué? «a»", "x\u0085y", "Σίσυφος. ΟΔΟΣ. ς", "s t're. 'S", "ſ. ŉ. İ. ı", "a" * 5000, "than than. Than, THAN!",
     ]
     with open(MODEL, encoding="utf-8") as file:
         encoder = T.Encoder(file.read(), by_word)
