@@ -188,7 +188,7 @@ def main_text(html: str | None, weights: Weights) -> str:
         elif text == "br":
             own.append(" ")
     blocks.append(own)
-    lines = (" ".join(unescape("".join(own)).split()) for own in blocks)
+    lines = (" ".join("".join(map(unescape, own)).split()) for own in blocks)
     return "\n".join(line for line in lines if line)
 
 

@@ -133,14 +133,11 @@ def duplicate_classes(signed: DataFrame, member: str, name: str = "fingerprint",
     ``signed`` should be a written table: it is read more than once.
     """
     folded = materialize(signed.groupBy(name).agg(F.min(member).alias("least")), "prints")
-    joined = components(close_pairs(folded.select(name), name, radius, segments))
-    roots = folded.join(joined, folded[name] == joined["node"], "left").select(
-        folded[name], "least", F.coalesce("root", folded[name]).alias("root")
-    )
-    roots = materialize(roots, "roots")
-    linked = joined.select("root").distinct()
-    best = roots.join(linked, "root", "left_semi").groupBy("root").agg(F.min("least").alias("best"))
-    return roots.join(best, "root", "left").select(name, F.coalesce("best", "least").alias("least"))
+    linked = components(close_pairs(folded.select(name), name, radius, segments))
+    # Only fingerprints with links meet by component; most have none.
+    best = linked.join(folded, linked["node"] == folded[name]).groupBy("root").agg(F.min("least").alias("best"))
+    known = linked.join(best, "root").select("node", "best")
+    return folded.join(known, folded[name] == known["node"], "left").select(name, F.coalesce("best", "least").alias("least"))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
