@@ -37,27 +37,47 @@ def text_key(text: Column, salt: int = 0) -> Column:
     return F.xxhash64(F.lit(salt), text)
 
 
+class _Places(dict):
+    """Gives an unknown word the next place, and notes it."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class Words:
     """Ids of words, one after the other in an array, and where each word's ids lie."""
 
     def __init__(self) -> None:
-        self.place: dict[str, int] = {}
+        self.places = _Places()
         self.flat, self.starts, self.used = np.zeros(1 << 16, np.int32), np.zeros((1 << 16) + 1, np.int64), 0
+        self.filled = 0
+
+    def places_of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+
+    def take_new(self) -> list[str]:
+        """The words met since the last call; their ids are to be added in this order."""
+        new, self.places.new = self.places.new, []
+        return new
 
-    def add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        """``ids`` holds the words' ids; ``ends`` tells where each word ends in it."""
-        count, size = len(self.place), self.used + ids.size
+    def add(self, ids: np.ndarray, ends: np.ndarray) -> None:
+        """``ids`` of the next words; ``ends`` tells where each word ends in it."""
+        count, size = self.filled + len(ends), self.used + ids.size
         while self.flat.size < size:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.starts.size <= count + len(words):
+        while self.starts.size <= count:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         self.flat[self.used : size] = ids
-        self.starts[count + 1 : count + len(words) + 1] = self.used + ends
-        self.place.update(zip(words, range(count, count + len(words))))
-        self.used = size
+        self.starts[self.filled + 1 : count + 1] = self.used + ends
+        self.filled, self.used = count, size
 
-    def ids_of(self, words: list[str]) -> np.ndarray:
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+    def ids_at(self, places: np.ndarray) -> np.ndarray:
         starts = self.starts[places]
         sizes = self.starts[places + 1] - starts
         ends = np.cumsum(sizes)

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,13 +31,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column, slices, table
+from brindle.llm.common import Words, column, slices, table
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 RANK_SHIFT = 2.7
 FALLBACK_PENALTY = 10.0
-_REMEMBERED = 200_000  # words a Python worker keeps; beyond it the memory starts anew
+_REMEMBERED = 400_000  # words a Python worker keeps; beyond it the memory starts anew
 _WORD = re.compile(r" *[^ ]+| +$")
 
 
@@ -118,70 +117,72 @@ def load(path: str) -> dict:
     for byte, place in enumerate(byte_ids.tolist()):
         spelt[place] = bytes([byte])
     return {
-        "base": base, "check": check, "value": value, "ids": usable, "scores": zipf_scores(ranks),
-        "bytes": byte_ids, "spelt": spelt, "longest": max(map(len, words)), "splits": not any(b" " in word.lstrip(b" ") for word in words),
+        "base": base, "check": check, "value": value, "ids": np.array(usable, np.int32), "scores": zipf_scores(ranks),
+        "bytes": byte_ids, "spelt": np.frombuffer(b"".join(spelt), np.uint8), "spelt_at": np.cumsum([0, *map(len, spelt)]), "longest": max(map(len, words)), "splits": not any(b" " in word.lstrip(b" ") for word in words),
     }
 
 
-def segment(vocabulary: dict, words: list[bytes]) -> list[list[int]]:
-    """The best piece ids of each word (UTF-8, spaces for markers), by Viterbi over all words at once."""
+def segment(vocabulary: dict, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The best piece ids of the words (UTF-8, spaces for markers), one after the other, and where each word's end.
+
+    Viterbi over all words at once.
+    """
     base, check, value = vocabulary["base"], vocabulary["check"], vocabulary["value"]
     scores, ids, byte_ids = vocabulary["scores"], vocabulary["ids"], vocabulary["bytes"]
     lengths = np.array([len(word) for word in words])
-    longest = int(lengths.max())
-    codes = np.zeros((len(words), longest), np.uint8)
-    codes[np.arange(longest) < lengths[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+    longest, count = int(lengths.max()), len(words)
+    spread = np.zeros((count, longest), np.uint8)
+    spread[np.arange(longest) < lengths[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+    codes = np.ascontiguousarray(spread.T)  # by position, then word, as all that follows
     leads = (codes & 0xC0) != 0x80
     penalty = scores.min() - FALLBACK_PENALTY
-    best = np.full((longest + 1, len(words)), -np.inf)
+    best = np.full((longest + 1, count), -np.inf)
     best[0] = 0.0
-    back = np.zeros((longest + 1, len(words)), np.int32)  # where the last piece begins
-    last = np.full((longest + 1, len(words)), -1, np.int32)  # which piece it is; -1: bytes
+    back = np.zeros((longest + 1, count), np.int32)  # where the last piece begins
+    last = np.full((longest + 1, count), -1, np.int32)  # which piece it is; -1: bytes
     for start in range(longest):
-        rows = np.flatnonzero((start < lengths) & leads[:, start])
+        rows = np.flatnonzero((start < lengths) & leads[start])
         if rows.size == 0:
             continue
         # The fallback edge: the whole character, byte by byte.
-        first = codes[rows, start]
+        first = codes[start].take(rows)
         span = 1 + (first >= 0xC0) + (first >= 0xE0) + (first >= 0xF0)
-        worth = best[start, rows] + penalty
+        so_far = best[start].take(rows)
+        worth = so_far + penalty
         better = worth > best[start + span, rows]
-        best[start + span[better], rows[better]] = worth[better]
-        back[start + span[better], rows[better]] = start
-        last[start + span[better], rows[better]] = -1
-        states = np.zeros(rows.size, np.int64)
+        at, own = start + span[better], rows[better]
+        best[at, own] = worth[better]
+        back[at, own] = start
+        last[at, own] = -1
+        states, left = np.zeros(rows.size, np.int32), lengths.take(rows)
         for end in range(start, min(longest, start + vocabulary["longest"])):
-            inside = end < lengths[rows]
-            rows, states = rows[inside], states[inside]
-            ahead = base[states] + codes[rows, end]
-            open_ = (ahead > 0) & (ahead < check.size)
-            open_[open_] = check[ahead[open_]] == states[open_]
-            rows, states = rows[open_], ahead[open_]
-            if rows.size == 0:
+            ahead = base.take(states) + codes[end].take(rows)
+            alive = np.flatnonzero((check.take(ahead, mode="clip") == states) & (end < left))
+            if alive.size == 0:
                 break
-            found = value[states]
-            whole = found >= 0
-            if whole.any():
-                own, piece = rows[whole], found[whole]
-                worth = best[start, own] + scores[piece]
-                better = worth > best[end + 1, own]
-                own, piece = own[better], piece[better]
-                best[end + 1, own] = worth[better]
-                back[end + 1, own] = start
-                last[end + 1, own] = piece
-    out = []
-    for word, starts, kinds in zip(words, back.T.tolist(), last.T.tolist()):
-        at, pieces = len(word), []
-        while at:
-            start, piece = starts[at], kinds[at]
-            if piece >= 0:
-                pieces.append(ids[piece])
-            else:
-                pieces += byte_ids[np.frombuffer(word[start:at], np.uint8)[::-1]].tolist()
-            at = start
-        pieces.reverse()
-        out.append(pieces)
-    return out
+            rows, states, so_far, left = rows.take(alive), ahead.take(alive), so_far.take(alive), left.take(alive)
+            found = value.take(states)
+            whole = np.flatnonzero(found >= 0)
+            own, piece = rows.take(whole), found.take(whole)
+            worth = so_far.take(whole) + scores.take(piece)
+            better = np.flatnonzero(worth > best[end + 1].take(own))
+            own = own.take(better)
+            best[end + 1][own] = worth.take(better)
+            back[end + 1][own] = start
+            last[end + 1][own] = piece.take(better)
+    # Walk all words back together; a step writes the ids of one piece of each.
+    rows, at = np.arange(count), lengths.copy()
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    while rows.size:
+        piece, start = last[at, rows], back[at, rows]
+        steps.append((rows[piece >= 0], ids.take(piece[piece >= 0])))
+        for row, low, high in zip(*(x[piece < 0].tolist() for x in (rows, start, at))):
+            for byte in words[row][low:high][::-1]:
+                steps.append((np.array([row]), byte_ids[byte : byte + 1]))
+        rows, at = rows[start > 0], start[start > 0]
+    owners, made = (np.concatenate(parts) for parts in zip(*steps))
+    order = np.argsort(owners[::-1], kind="stable")
+    return made[::-1][order], np.cumsum(np.bincount(owners, minlength=count))
 
 
 class Coder:
@@ -190,54 +191,66 @@ class Coder:
     def __init__(self, vocabulary: dict):
         self.vocabulary = vocabulary
         # A broadcast value lives as long as its Python worker, so tasks share the memory of words.
-        self.known: dict[str, list[int]] = vocabulary.setdefault("known", {})
-        self.marker = vocabulary["bytes"][np.frombuffer(MARK.encode(), np.uint8)].tolist()
+        self.memory: dict[str, Words] = vocabulary.setdefault("memory", {"words": Words()})
+        self.marker = vocabulary["bytes"][np.frombuffer(MARK.encode(), np.uint8)]
 
     def words(self, text: str) -> list[str]:
         return _WORD.findall(" " + text) if self.vocabulary["splits"] else [" " + text]
 
-    def learn(self, words: set[str]) -> None:
-        """Segment new words, those of similar length together."""
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        by_size: dict[int, list[str]] = {}
-        for word in words:
-            if word not in self.known:
-                by_size.setdefault(len(word).bit_length(), []).append(word)
+    def learn(self, known: Words) -> None:
+        """Segment the new words, those of similar length together."""
+        new = [word.encode() for word in known.take_new()]
+        by_size: dict[int, list[int]] = {}
+        for place, word in enumerate(new):
+            by_size.setdefault(len(word).bit_length(), []).append(place)
+        order, parts, sizes = [], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for bits, own in by_size.items():
             step = max(1, (1 << 17) >> bits)
             for start in range(0, len(own), step):
-                part = own[start : start + step]
-                for word, ids in zip(part, segment(self.vocabulary, [word.encode() for word in part])):
-                    self.known[word] = ids
-
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+                ids, ends = segment(self.vocabulary, [new[place] for place in own[start : start + step]])
+                parts.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+            order += own
+        # Back into the order in which the words were met.
+        size = np.concatenate(sizes)
+        first = np.cumsum(size) - size
+        back = np.argsort(np.array(order, np.int64))
+        size, first = size[back], first[back]
+        ends = np.cumsum(size)
+        known.add(np.concatenate(parts)[np.repeat(first - ends + size, size) + np.arange(size.sum())], ends)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        if len(self.memory["words"].places) > _REMEMBERED:
+            self.memory["words"] = Words()
+        known = self.memory["words"]
         # The marker itself is no piece of a text: it stands between words, in bytes.
         cut = [[self.words(text)] if MARK not in text else self._around_markers(text) for text in texts]
-        self.learn({word for runs in cut for run in runs for word in run})
-        known, out = self.known, []
-        for text, runs in zip(texts, cut):
-            ids: list[int] = []
-            for place, run in enumerate(runs):
-                if place:
-                    ids += self.marker
-                ids += chain.from_iterable(map(known.__getitem__, run))
-            out.append(ids if text else [])
+        places = [[known.places_of(run) for run in runs] for runs in cut]
+        self.learn(known)
+        out = []
+        for text, runs in zip(texts, places):
+            parts = [known.ids_at(runs[0])]
+            for run in runs[1:]:
+                parts += [self.marker, known.ids_at(run)]
+            out.append(np.concatenate(parts) if text else np.zeros(0, np.int32))
         return out
 
     def _around_markers(self, text: str) -> list[list[str]]:
         first, *others = text.split(MARK)
-        return [self.words(first), *([word for word in _WORD.findall(part)] for part in others)]
+        return [self.words(first), *(_WORD.findall(part) for part in others)]
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0].tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of the ids: markers become spaces, byte pieces become characters, the leading space goes."""
-        spelt = self.vocabulary["spelt"]
-        text = b"".join([spelt[place] for place in ids]).decode("utf-8", "replace")
-        return text.removeprefix(" ")
+        ids = np.asarray(ids, np.int64)
+        starts = self.vocabulary["spelt_at"][ids]
+        sizes = self.vocabulary["spelt_at"][ids + 1] - starts
+        ends = np.cumsum(sizes)
+        places = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if ends.size else 0)
+        return self.vocabulary["spelt"][places].tobytes().decode("utf-8", "replace").removeprefix(" ")
 
 
 def vocabulary_for(spark: SparkSession, path: str | None = None) -> Broadcast:
@@ -257,7 +270,11 @@ def with_pieces(docs: DataFrame, vocabulary: Broadcast, text: str = "text", name
             coded = iter(coder.encode_all([text for text in texts if text is not None]))
             ids = [None if text is None else next(coded) for text in texts]
             back = [None if own is None else coder.decode(own) for own in ids]
-            made = [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())]
+            flat = np.concatenate([np.zeros(0, np.int32), *(own for own in ids if own is not None)])
+            ends = np.cumsum([0, *(0 if own is None else own.size for own in ids)])
+            # A null in the offsets makes a null list.
+            offsets = pa.array(ends.astype(np.int32), mask=np.array([own is None for own in ids] + [False]))
+            made = [pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(back, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
