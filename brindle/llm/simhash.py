@@ -137,7 +137,9 @@ def duplicate_classes(signed: DataFrame, member: str, name: str = "fingerprint",
     # Only fingerprints with links meet by component; most have none.
     best = linked.join(folded, linked["node"] == folded[name]).groupBy("root").agg(F.min("least").alias("best"))
     known = linked.join(best, "root").select("node", "best")
-    return folded.join(known, folded[name] == known["node"], "left").select(name, F.coalesce("best", "least").alias("least"))
+    classes = folded.join(known, folded[name] == known["node"], "left").select(name, F.coalesce("best", "least").alias("least"))
+    # Written, so that a join with a hot class reads plain shuffles, which adaptive execution can split.
+    return materialize(classes, "classes")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
