@@ -40,7 +40,7 @@ from brindle.plans.workspace import shared_dir
 
 MODEL = "word_bpe_49k.json"
 END = 1
-_REMEMBERED = 500_000  # words a Python worker keeps; beyond it the memory starts anew
+_REMEMBERED = 900_000  # words a Python worker keeps; beyond it the memory starts anew
 FILE_SCHEMA = "doc_id bigint, shard int, shard_start bigint, n_tokens bigint, ids array<int>"
 ORC_OPTIONS = {
     "orc.create.index": "true",
@@ -53,7 +53,7 @@ ORC_OPTIONS = {
 # Texts of blanks, letters of Latin-1, digits and ASCII marks, but no apostrophe: there the
 # tokenizer's words are runs of letters, single digits and runs of marks.
 _OTHER = re.compile("[^\t-\r A-Za-zÀ-ÖØ-öø-ÿ!-&(-~]|<\\|")
-_APART = re.compile(r"[0-9]|[!-&(-/:-@\[-`{-~]+")
+_APART = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
 class Encoder:
@@ -78,28 +78,29 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(made.ids, np.int32) for made in self.memory["whole"].encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[str]) -> Words:
-        """Encode the words not yet known, as one text, and part its ids at the word ends."""
-        if len(self.memory["words"].place) > _REMEMBERED:
-            self.memory["words"] = Words()
-        known = self.memory["words"]
-        if new := list(words.difference(known.place)):
-            ids = np.array(self.memory["parted"].encode(" ".join(new), add_special_tokens=False).ids, np.int32)
+    def learn(self, known: Words) -> None:
+        """Encode the new words in a few texts, and part their ids at the word ends."""
+        if new := known.take_new():
+            texts = [" ".join(new[low : low + 4096]) for low in range(0, len(new), 4096)]
+            made = self.memory["parted"].encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(one.ids, np.int32) for one in made])
             ends = np.flatnonzero(self.memory["ends"][ids]) + 1
             if ends.size != len(new):
                 raise ValueError("the tokenizer's words do not end in its end-of-word mark; encode by_word=False")
-            known.add(new, ids, ends)
-        return known
+            known.add(ids, ends)
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if not self.by_word:
             return self.whole(texts)
+        if len(self.memory["words"].places) > _REMEMBERED:
+            self.memory["words"] = Words()
+        known = self.memory["words"]
         plain = [not _OTHER.search(text) for text in texts]
-        words = [_APART.sub(r" \g<0> ", text.lower()).split() if easy else [] for text, easy in zip(texts, plain)]
-        known = self.learn(set().union(*words))
+        places = [known.places_of(_APART.findall(text.lower())) if easy else None for text, easy in zip(texts, plain)]
+        self.learn(known)
         others = iter(self.whole([text for text, easy in zip(texts, plain) if not easy]))
-        return [known.ids_of(own) if easy else next(others) for own, easy in zip(words, plain)]
+        return [known.ids_at(own) if easy else next(others) for own, easy in zip(places, plain)]
 
 
 def write_token_files(
