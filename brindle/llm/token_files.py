@@ -22,6 +22,7 @@ written; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ from brindle.plans.workspace import shared_dir
 
 MODEL = "word_bpe_49k.json"
 END = 1
-_REMEMBERED = 900_000  # words a Python worker keeps; beyond it the memory starts anew
+_REMEMBERED = 400_000  # words a Python worker keeps; beyond it the memory starts anew
 FILE_SCHEMA = "doc_id bigint, shard int, shard_start bigint, n_tokens bigint, ids array<int>"
 ORC_OPTIONS = {
     "orc.create.index": "true",
@@ -63,6 +64,7 @@ class Encoder:
         self.memory = {} if memory is None else memory
         self.by_word = by_word
         if not self.memory:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
             self.memory["whole"] = made = Tokenizer.from_str(tokenizer)
             self.memory["words"] = Words()
             if by_word:
