@@ -17,7 +17,7 @@ output row each; columns other than id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -153,8 +153,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     )
 
 
-def one_per_class(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each class of near-duplicates: that of the smallest id.
+def keep_least(docs: DataFrame, classes: Callable[[DataFrame, str], DataFrame], id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are ``least`` in what ``classes`` makes of the rows and the name of their key column.
 
     A null id counts as the largest.  Rows equal in id and text count as one.
     """
@@ -164,12 +164,20 @@ def one_per_class(docs: DataFrame, id: str = "doc_id", text: str = "text", width
     named = named.withColumn(
         who, F.struct(column(id).isNull().alias("none"), column(id).alias("id"), column(first).alias("x"), column(second).alias("y")),
     )
-    signed = materialize(fingerprints(named, [who], text, width), "signed")
-    classes = duplicate_classes(signed, who, radius=radius)
-    kept = classes.select(F.col("least.id").alias(k_id), F.col("least.x").alias(k_x), F.col("least.y").alias(k_y))
+    kept = classes(named, who).select(F.col("least.id").alias(k_id), F.col("least.x").alias(k_x), F.col("least.y").alias(k_y))
     match = column(id).eqNullSafe(F.col(k_id)) & (column(first) == F.col(k_x)) & (column(second) == F.col(k_y))
     return named.drop(who).join(kept, match, "left_semi").dropDuplicates([id, first, second]).select(*[column(c) for c in docs.columns])
 
 
+def one_per_class(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each class of near-duplicates: that of the smallest id."""
+
+    def classes(named: DataFrame, who: str) -> DataFrame:
+        signed = materialize(fingerprints(named, [who], text, width), "signed")
+        return duplicate_classes(signed, who, radius=radius)
+
+    return keep_least(docs, classes, id, text)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
