@@ -66,7 +66,8 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
-Token = tuple[str, str, str, bool]  # kind (text, open, close), signature of the tag or of the parent, text, inside boilerplate
+# kind (text, open, close), signature of the tag or of the parent, text, inside boilerplate, tag of an element that holds the content
+Token = tuple[str, str, str, bool, bool]
 
 
 def signature(name: str, rest: str) -> str:
@@ -84,27 +85,56 @@ def is_boilerplate(sign: str, inside_label: bool) -> bool:
     return any(part in BOILERPLATE_TOKENS for token in tokens for part in (token, *re.split("[-_]", token)))
 
 
+def holders(html: str) -> frozenset[int]:
+    """Where the elements open that hold the content: the only ``<main>``, or else the only outermost ``<article>``."""
+    stack: list[tuple[str, int]] = []
+    found: dict[str, list[list[int]]] = {"main": [], "article": []}
+    depth: Counter[str] = Counter()
+    for token in _TOKEN.finditer(html):
+        name = (token["name"] or "").lower()
+        if not name or name in VOID:
+            continue
+        if not token["close"]:
+            if name in ("p", "li") and stack and stack[-1][0] == name:
+                depth[stack.pop()[0]] -= 1
+            if name in LABELS and not any(depth[label] for label in LABELS):
+                found[name].append([place for _, place in stack])
+            if not token["rest"].endswith("/"):
+                stack.append((name, token.start()))
+                depth[name] += 1
+        elif depth[name] > 0:
+            while True:
+                popped = stack.pop()[0]
+                depth[popped] -= 1
+                if popped == name:
+                    break
+    only = next((places[0] for places in found.values() if len(places) == 1), [])
+    return frozenset(only if len(found["main"]) == 1 or not found["main"] else [])
+
+
 def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
     """The tags and texts of a page, in order, each with the tag it stands under."""
-    stack: list[tuple[str, str, bool]] = []  # name, signature, boilerplate from here down
+    stack: list[tuple[str, str, bool, bool]] = []  # name, signature, boilerplate from here down, holds the content
     depth: Counter[str] = Counter()
+    holding = holders(html)
     for token in _TOKEN.finditer(html):
         text, name = token["text"], token["name"]
-        top = stack[-1] if stack else ("", "", False)
+        top = stack[-1] if stack else ("", "", False, False)
         if text is not None:
-            yield "text", top[1], text, top[2]
+            yield "text", top[1], text, top[2], False
         elif name is not None:
             name = name.lower()
             if not token["close"]:
                 sign = signature(name, token["rest"])
                 if name == "p" and top[0] == "p" or name == "li" and top[0] == "li":
                     depth[stack.pop()[0]] -= 1
-                    top = stack[-1] if stack else ("", "", False)
+                    top = stack[-1] if stack else ("", "", False, False)
                 inside = any(depth[label] for label in LABELS)
-                out = top[2] or sign in learned or is_boilerplate(sign, inside)
-                yield "open", sign, name, out
+                holds = token.start() in holding
+                out = top[2] or sign in learned and not holds or is_boilerplate(sign, inside)
+                yield "open", sign, name, out, holds
                 if name not in VOID and not token["rest"].endswith("/"):
-                    stack.append((name, sign, out))
+                    stack.append((name, sign, out, holds))
                     depth[name] += 1
             elif depth[name] > 0:
                 while True:
@@ -112,23 +142,23 @@ def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
                     depth[popped[0]] -= 1
                     if popped[0] == name:
                         break
-                yield "close", popped[1], name, popped[2]
+                yield "close", popped[1], name, popped[2], popped[3]
             else:
-                yield "close", name, name, top[2]
+                yield "close", name, name, top[2], False
 
 
 def label_counts(html: str) -> Counter[tuple[str, str, bool]]:
     """``(word or tag, signature, inside the content)`` counts of a page with one content element; else nothing."""
     counts: Counter[tuple[str, str, bool]] = Counter()
     inside, labels = False, 0
-    for kind, sign, text, _ in scan(html):
+    for kind, sign, text, _, holds in scan(html):
         if kind == "text":
             counts["word", sign, inside] += len(text.split())
         elif text in LABELS:
             inside = kind == "open"
             labels += inside
         else:
-            counts["tag", sign, inside] += 1
+            counts["holder" if holds else "tag", sign, inside] += 1
     return counts if labels == 1 else Counter()
 
 
@@ -136,13 +166,17 @@ class Weights:
     """What words under a tag and tags themselves add to the score."""
 
     def __init__(self, inside: dict[tuple[str, str], int], outside: dict[tuple[str, str], int]):
+        # Tags of elements that hold the content cost as others do, but are no evidence of boilerplate.
+        alone = outside
+        outside = Counter({key: n for key, n in outside.items() if key[0] != "holder"})
+        outside.update({("tag", sign): n for (kind, sign), n in alone.items() if kind == "holder"})
         share = {key: (inside.get(key, 0) + 1) / (inside.get(key, 0) + outside.get(key, 0) + 2) for key in inside.keys() | outside.keys()}
         self.word = {sign: value for (kind, sign), value in share.items() if kind == "word"}
         self.tag = {sign: -TAG_COST - TAG_RANGE * (1 - value) for (kind, sign), value in share.items() if kind == "tag"}
         # A tag that labelled pages show next to never in their content.
         self.learned = frozenset(
             sign for (kind, sign), value in share.items()
-            if kind == "tag" and " " in sign and value < 1 - LEARNED_SHARE and outside.get((kind, sign), 0) >= LEARNED_SUPPORT
+            if kind == "tag" and " " in sign and value < 1 - LEARNED_SHARE and alone.get((kind, sign), 0) >= LEARNED_SUPPORT and ("holder", sign) not in alone
         )
 
     def of_words(self, sign: str, words: int) -> float:
@@ -171,14 +205,14 @@ def main_text(html: str | None, weights: Weights) -> str:
     """The main text of a page: blocks joined by a line break."""
     tokens = list(scan(html or "", weights.learned))
     scores = []
-    for kind, sign, text, out in tokens:
+    for kind, sign, text, out, _ in tokens:
         if kind == "text":
             scores.append(0.0 if out else weights.of_words(sign, len(unescape(text).split())))
         else:
             scores.append(weights.of_tag(sign, text))
     low, high = best_region(scores)
     blocks, own = [], []
-    for kind, _, text, out in tokens[low:high]:
+    for kind, _, text, out, _ in tokens[low:high]:
         if kind == "text":
             if not out:
                 own.append(text)

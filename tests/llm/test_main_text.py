@@ -73,3 +73,16 @@ def test_edge_cases(spark):
     got = sorted(map(tuple, M.extract(frame, M.learn(frame)).collect()), key=str)
     assert got == sorted([(1, "u", "some words here", 15)] * 2 + [(None, None, "", 0), (2, None, "", 0)], key=str)
     assert M.extract(frame.limit(0), M.learn(frame.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("wrap", ["<body class='home' id='top'>{}</body>", "<body><div id='wrapper' class='outer'>{}</div></body>", "<body class='home'><div role='document'>{}</div>"])
+def test_wrapped_pages(spark, wrap):
+    """What holds the content is not learned as boilerplate, on labelled pages and others."""
+    text = "words of the article that go on for a while " * 5
+    aside = "<div class='teaser'><p>more to read elsewhere</p></div>"
+    rows = [(i, "u", wrap.format(f"{aside}<article><p>{text}{i}</p></article>{aside}")) for i in range(40)]
+    rows += [(100 + i, "u", wrap.format(f"{aside}<div><p>{text}{i}</p></div>{aside}")) for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    weights = M.learn(frame)
+    assert weights.learned == {"div teaser"}
+    assert {r["page_id"]: r["text"] for r in M.extract(frame, weights).collect()} == {i: f"{text}{i % 100}" for i, _, _ in rows}
