@@ -9,6 +9,9 @@ on pages without them.
 
 Inside the region, elements that are boilerplate by their name, by a token of their
 class, id or role, or by what was learned are left out; what remains is split into blocks.
+Tokens never tell against html, body, main, article, headings or what holds the content.
+On sections and on elements named as containers tokens count whole; on others their parts
+at ``-`` and ``_`` count too, unless one says a state, as in ``has-sidebar``.
 
 Learning reads a sample of ``SAMPLE`` labelled pages by hash of the id (the documented
 bound); extraction reads every page, whole.
@@ -40,20 +43,23 @@ LEARNED_SUPPORT = 20
 
 # Names that mean the same on any page.
 LABELS = frozenset("article main".split())
-RAW = "script style noscript template textarea title iframe svg math object select".split()
+RAW = "script style template textarea title iframe svg select".split()
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE = frozenset("nav aside footer header form button dialog menu label figure".split())
+BOILERPLATE = frozenset("nav aside footer header form button dialog menu label".split())
 BOILERPLATE_TOKENS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies notice consent sidebar nav navbar "
     "navigation menu breadcrumb breadcrumbs footer header comment comments share sharing social related newsletter subscribe "
     "popup modal login signup search widget complementary contentinfo hidden".split()
 )
+TOKENS_IGNORED = frozenset("html body main article h1 h2 h3 h4 h5 h6 hgroup".split())
+CONTAINER_TOKENS = frozenset("content main article post entry story body text wrapper container page".split())
+STATES = frozenset("has no not with without is open opened closed enabled disabled on off".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 
-TEXT_TAGS = frozenset("p br b i u em strong span a h1 h2 h3 h4 h5 h6 blockquote code pre ul ol li sup sub small mark q cite".split())
+TEXT_TAGS = frozenset("p br b i u em strong span a h1 h2 h3 h4 h5 h6 blockquote code pre ul ol li sup sub small mark q cite figure figcaption math mi mn mo mrow msub msup mfrac msqrt mtext semantics".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -78,11 +84,20 @@ def signature(name: str, rest: str) -> str:
     return " ".join([name, *sorted(set(words))])
 
 
-def is_boilerplate(sign: str, inside_label: bool) -> bool:
+def is_boilerplate(sign: str, inside_label: bool, holds: bool = False) -> bool:
     name, *tokens = sign.split(" ")
-    if name in BOILERPLATE and not (inside_label and name in ("header", "figure")):
+    if holds:
+        return False
+    if name in BOILERPLATE and not (inside_label and name == "header"):
         return True
-    return any(part in BOILERPLATE_TOKENS for token in tokens for part in (token, *re.split("[-_]", token)))
+    if name in TOKENS_IGNORED:
+        return False
+    if not BOILERPLATE_TOKENS.isdisjoint(tokens):
+        return True
+    if name == "section" or not CONTAINER_TOKENS.isdisjoint(tokens):
+        return False
+    parts = [re.split("[-_]", token) for token in tokens]
+    return any(not BOILERPLATE_TOKENS.isdisjoint(own) and STATES.isdisjoint(own) for own in parts)
 
 
 def holders(html: str) -> frozenset[int]:
@@ -131,7 +146,8 @@ def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
                     top = stack[-1] if stack else ("", "", False, False)
                 inside = any(depth[label] for label in LABELS)
                 holds = token.start() in holding
-                out = top[2] or sign in learned and not holds or is_boilerplate(sign, inside)
+                free = holds or name in TOKENS_IGNORED
+                out = top[2] or sign in learned and not free or is_boilerplate(sign, inside, holds)
                 yield "open", sign, name, out, holds
                 if name not in VOID and not token["rest"].endswith("/"):
                     stack.append((name, sign, out, holds))

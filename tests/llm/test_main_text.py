@@ -86,3 +86,20 @@ def test_wrapped_pages(spark, wrap):
     weights = M.learn(frame)
     assert weights.learned == {"div teaser"}
     assert {r["page_id"]: r["text"] for r in M.extract(frame, weights).collect()} == {i: f"{text}{i % 100}" for i, _, _ in rows}
+
+
+LONG = "words of the article that go on for a while " * 5
+
+
+@pytest.mark.parametrize(
+    ("page", "parts"),
+    [
+        ("<body class='no-sidebar'><p>{0}</p></body>", 1), ("<body><div class='content has-sidebar'><p>{0}</p></div></body>", 1), ("<body><article class='post comment-open'><p>{0}</p></article></body>", 1),
+        ("<form id='search'><div class='social'><main><p>{0}</p></main></div></form>", 1), ("<article><p>{0}</p><section id='related-work'><p>{0}</p></section></article>", 2),
+        ("<article><p>{0}</p><h2 id='search'>{0}</h2><p>{0}</p></article>", 3), ("<p>{0}</p><figure><img src='x'><figcaption>{0}</figcaption></figure><p>{0}</p>", 3),
+        ("<p>{0}</p><noscript>{0}</noscript><object><p>{0}</p></object>", 3), ("<p>{0}<math><mi>{0}</mi></math></p>", 2),
+        ("<p>{0}</p><div class='main-sidebar'><p>{0}</p></div>", 1), ("<p>{0}</p><section class='related'><p>{0}</p></section>", 1), ("<p>{0}</p><div class='content ads'><p>{0}</p></div>", 1),
+    ],
+)
+def test_only_furniture_goes(page, parts):
+    assert M.main_text(page.format(LONG), EMPTY).split() == LONG.split() * parts
