@@ -9,8 +9,10 @@ verifies it.  Nothing within the budget can be missed.
 The items go to the tasks in blocks of a bounded number of characters, one pass over
 the documents per block, so the broadcast stays bounded whatever the benchmark's size.
 
-Defined results: null, empty and wordless documents match nothing; an item with fewer
-than ``MIN_WORDS`` words (or null) is no evidence and is skipped; repeated rows are
+Every item with a word is searched.  One too short for an edit has to stand at word ends;
+scripts written without spaces have none, so there it may stand anywhere.
+
+Defined results: null, empty and wordless documents match nothing, and so do such items; repeated rows are
 judged alike; items with the same text are all reported; other columns pass through.
 """
 
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 from brindle.llm.common import column, keep_rows, slices, table
 
 CHARS_PER_EDIT = 16
-MIN_WORDS = 5
+# Scripts without spaces between words: Thai to Myanmar, Khmer, kana and ideographs.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 BLOCK_CHARS = 4_000_000
 
 Item = tuple[int, str]
@@ -119,6 +122,12 @@ def best_match(item: str, masks: dict[str, int], text: str, starts: list[int]) -
     return best
 
 
+def at_word_ends(text: str, start: int, end: int) -> bool:
+    """Whether no word of a spaced script goes on over the start or end of the span."""
+    edges = [text[place - 1 : place + 1] for place in (start, end) if 0 < place < len(text)]
+    return all(" " in edge or _UNSPACED.search(edge) for edge in edges)
+
+
 class Matcher:
     """All occurrences of a block of items in one text."""
 
@@ -137,8 +146,11 @@ class Matcher:
                 places.setdefault(item, []).append(last + 1 - length - offset)
         for item in sorted(places):
             wanted = self.items[item][1]
+            starts = places[item]
+            if not budget(wanted):  # its only piece is the item itself
+                starts = [start for start in starts if at_word_ends(text, start, start + len(wanted))]
             masks = self.masks.setdefault(item, pattern_masks(wanted))
-            found = best_match(wanted, masks, text, places[item])
+            found = best_match(wanted, masks, text, starts)
             if found:
                 yield item, found
 
@@ -163,7 +175,7 @@ def item_blocks(benchmark: DataFrame, id: str = "item_id", text: str = "text", b
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == block).collect()
         ready = [(row["i"], normal(row["t"])) for row in own]
-        ready = sorted((item for item in ready if item[1].count(" ") + 1 >= MIN_WORDS), key=lambda item: (item[0] is None, item[0], item[1]))
+        ready = sorted((item for item in ready if item[1]), key=lambda item: (item[0] is None, item[0], item[1]))
         if ready:
             yield ready
 

@@ -97,3 +97,17 @@ def test_blocks_give_the_same(spark, docs):
     items = [f"{ITEM} version {i} of this long sentence" for i in range(9)]
     blocks = list(D.item_blocks(bench(spark, *items), block_chars=200))
     assert len(blocks) > 2 and sorted(i for block in blocks for i, _ in block) == list(range(9))
+
+
+def test_short_items_and_unspaced_scripts(spark, docs):
+    chinese = "植物在光照下把二氧化碳和水转化为有机物并释放氧气的过程叫做什么请从下列选项中选出最合适的一个答案并说明你的理由和依据"
+    benchmark = bench(spark, chinese, "extraordinarily uncharacteristic misunderstandings notwithstanding", "cat", "光合作用", "...")
+    rows = [
+        (1, f"问题：前文{chinese}后文。"), (2, f"前文{chinese.replace('释放', '放出')}后文"), (3, "Some extraordinarily uncharacteristic misunderstandings, notwithstanding."), (4, "a catalog of bobcats"),
+        (5, "A cat."), (6, "bobcats and the cat"), (7, "研究光合作用的人"), (8, "nothing"), (9, None), (10, "..."),
+    ]
+    found = D.find_items(docs(rows), benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [(1, 0, 0), (2, 0, 2), (3, 1, 0), (5, 2, 0), (6, 2, 0), (7, 3, 0)]
+    spans = {r["doc_id"]: (r["start"], r["end"]) for r in found}
+    assert spans[6] == (16, 19) and spans[7] == (2, 6)
+    assert sorted(r["doc_id"] for r in D.without_items(docs(rows), benchmark).collect()) == [4, 8, 9, 10]
