@@ -9,8 +9,12 @@ with enough support, confidence and lift are kept.
 
 Rules match through an inverted index: the rules are listed under each item they need,
 the URLs' distinct item sets look up their items, and a rule fires if all its items were
-hit.  Item sets fold equal URLs before that, so a hot host is a few sets.  A URL has at
-most ten items by construction, which bounds the sets FP-growth can find.
+hit.  Item sets fold equal URLs before that, so a hot host is a few sets.
+
+``judge`` mines the URL's tokens besides: every host label, every path segment, every name
+and value of the query, whole and split at other characters than letters and digits.
+Tokens with too few blocked URLs can be in no rule and go before FP-growth; items that
+lie in the same labelled URLs count as one there, and a rule fires on any of them.
 
 DataFrame operations throughout.
 
@@ -92,11 +96,31 @@ def items_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*named, *marks))))
 
 
+def tokens_of(url: Column, host: Column, path: Column) -> Column:
+    """The items of a URL and all its tokens by part, distinct and sorted."""
+    query = F.coalesce(F.regexp_extract(url, r"(?s)\A[^?#]*\?([^#]*)", 1), F.lit(""))
+    fields = F.split(query, "&", -1)
+    parts = {
+        "at": F.split(host, r"\.", -1),
+        "dir": F.split(F.lower(path), "/", -1),
+        "arg": F.transform(fields, lambda field: F.lower(F.substring_index(field, "=", 1))),
+        "arg-value": F.transform(fields, lambda field: F.lower(F.regexp_extract(field, r"(?s)\A[^=]*=(.*)\z", 1))),
+    }
+
+    def named(name: str, whole: Column) -> Column:
+        words = F.concat(whole, F.flatten(F.transform(whole, lambda word: F.split(word, r"[^\p{L}\p{M}\p{N}]+", -1))))
+        return F.transform(F.filter(words, lambda word: word != ""), lambda word: F.concat(F.lit(name + "="), word))
+
+    tokens = F.concat(items_of(url, host, path), *[named(name, part) for name, part in parts.items()])
+    return F.array_sort(F.array_distinct(tokens))
+
+
 def parsed(pages: DataFrame, id: str = "page_id", url: str = "url") -> DataFrame:
-    """``page_id, host, path, items`` of every page."""
+    """``page_id, host, path, items, tokens`` of every page."""
     rows = pages.select(column(id).alias("page_id"), column(url).alias("url"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    return rows.select("page_id", "host", "path", items_of(F.col("url"), F.col("host"), F.col("path")).alias("items"))
+    parts = F.col("url"), F.col("host"), F.col("path")
+    return rows.select("page_id", "host", "path", items_of(*parts).alias("items"), tokens_of(*parts).alias("tokens"))
 
 
 def block_labels(labels: DataFrame, id: str = "doc_id") -> DataFrame:
@@ -126,24 +150,48 @@ def mine(
     return materialize(kept.withColumn("rule", F.array_join("items", " & ")), "rules")
 
 
-def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """``items, learned, confidence``: for each distinct item set on which a rule fires, the surest such rule."""
-    index = rules.select(F.explode("items").alias("item"), "rule", "size", "confidence", "support")
+def folded(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """``urls`` with the labelled rows' items that rules can hold, one for all that lie in the same rows; and ``item, same``, all with theirs."""
+    marked = urls.join(labels, "page_id").where(F.col("block") | (F.size("items") > 0))
+    marked = materialize(marked.select("block", "items", F.monotonically_increasing_id().alias("row")), "tokens")
+    least = max(MIN_LABELS, ceil(min_support * marked.count()) - 1)
+    place = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(salt), "row"), 32)).alias(name) for salt, name in enumerate("xy")]
+    single = marked.select("row", "block", F.explode("items").alias("item")).groupBy("item").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("block"), 1)).alias("blocked"), *place
+    )
+    single = materialize(single.where(F.col("blocked") >= least), "single")
+    same = single.join(single.groupBy("n", "x", "y").agg(F.max("item").alias("same")), ["n", "x", "y"]).select("item", "same")
+    same = materialize(same, "same")
+    own = same.where("item = same").select("item")
+    kept = marked.select("row", F.explode("items").alias("item")).join(broadcast_if_small(own), "item").groupBy("row").agg(F.collect_set("item").alias("own"))
+    # An allowed row without such items still counts for support and lift.
+    bare = F.when(F.col("block"), F.array().cast("array<string>")).otherwise(F.array(F.lit("none")))
+    rows = marked.join(kept, "row", "left").select(F.col("row").alias("page_id"), "block", F.coalesce("own", bare).alias("items"))
+    return materialize(rows, "folded"), same
+
+
+def fired(urls: DataFrame, rules: DataFrame, same: DataFrame) -> DataFrame:
+    """``items, learned, confidence``: for each distinct item set on which a rule fires, the surest such rule.
+
+    An item of a rule is hit by each ``item`` that is the ``same``; the last of them names it.
+    """
+    needs = rules.select(F.explode("items").alias("same"), "rule", "size", "confidence", "support")
+    index = materialize(needs.join(same, "same"), "index")
     sets = urls.select("items").distinct()
     hits = sets.select("items", F.explode("items").alias("item")).join(broadcast_if_small(index), "item")
-    whole = hits.groupBy("items", "rule").agg(
-        F.count("*").alias("hit"), F.first("size").alias("size"), F.first("confidence").alias("confidence"), F.first("support").alias("support")
-    )
-    rank = F.struct("confidence", "support", F.negative("size").alias("short"), "rule")
-    return whole.where("hit = size").groupBy("items").agg(F.max(rank).alias("best")).select(
+    hits = hits.groupBy("items", "rule", "same", "size", "confidence", "support").agg(F.max("item").alias("item"))
+    whole = hits.groupBy("items", "rule", "size", "confidence", "support").agg(F.array_sort(F.collect_list("item")).alias("own"))
+    rank = F.struct("confidence", "support", F.negative("size").alias("short"), F.array_join("own", " & ").alias("rule"))
+    return whole.where(F.size("own") == F.col("size")).groupBy("items").agg(F.max(rank).alias("best")).select(
         "items", F.col("best.rule").alias("learned"), F.col("best.confidence").alias("confidence")
     )
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] = RULES, id: str = "page_id", url: str = "url") -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page, with the learned rule behind a learned block."""
-    urls = parsed(pages, id, url)
-    blocks = fired(urls, mine(urls, labels))
+    urls = parsed(pages, id, url).drop("items").withColumnRenamed("tokens", "items")
+    rows, same = folded(urls, labels)
+    blocks = fired(urls, mine(rows.select("page_id", "items"), rows.select("page_id", "block")), same)
     judged = urls.join(broadcast_if_small(materialize(blocks, "fired")), "items", "left")
     rule, verdict = written_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("learned").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))

@@ -128,3 +128,16 @@ def test_empty_tables_and_nulls(spark):
     labels = spark.createDataFrame([(None, 0, 1), (1, None, None), (1, 0, None), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
     assert {r["page_id"]: r["block"] for r in U.block_labels(labels).collect()} == {1: True, 2: False}
     assert U.judge(pages, U.block_labels(labels)).count() == 0
+
+
+def test_tokens_of_every_part_are_learned(spark):
+    """A middle host label, a later path segment and a query name, each over many hosts."""
+    urls, labels = [], []
+    for i in range(600):
+        tail = [f"www.casino-win.s{i}.org/en/{i}", f"a{i}.org/x{i}/en/free-bets/{i}.html", f"b{i}.org/en/{i}?pills={i}"][i % 3] if i < 300 else f"c{i}.org/en/{i}?q={i}"
+        urls.append((i, f"https://{tail}"))
+        labels.append((i, 0 if i < 300 else 1, 0))
+    urls += [(900, "http://m.casino.zz.info/new"), (901, "http://other.info/a/b/bets"), (902, "http://other.info/a?x=1&pills=2#f"), (903, "http://other.info/a?q=1")]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    rows = {r["page_id"]: r["verdict"] for r in U.judge(pages, U.block_labels(spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")), []).collect()}
+    assert {i for i, verdict in rows.items() if verdict == "block"} == {*range(300), 900, 901, 902}
