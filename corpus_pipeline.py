@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, language, line_dedup, near_copies, pieces
+from brindle.llm import decontaminate, language, line_dedup, pieces, simhash
 from brindle.llm.common import fresh, table
 from brindle.plans.workspace import materialize
 
@@ -27,8 +27,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies (five-word Jaccard of 0.8 or more) stays: that with the smallest id."""
-    return near_copies.one_per_class(docs)
+    """One document of each class of fingerprints at most three bits apart stays: that with the smallest id."""
+    return simhash.one_per_class(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ STAGES = [
     ("pieces", encode),
 ]
 
-# Naive Bayes, min-hashing, edit distance and Viterbi are beyond SQL; tests hold the rows
+# Naive Bayes, fingerprints, edit distance and Viterbi are beyond SQL; tests hold the rows
 # against a brute-force version.
 ORACLE_SQL = None
 
