@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brindle.llm.conversations import OP11_SQL, op11_conversations
 from brindle.llm.decontaminate import op5_decontaminate
 from brindle.llm.language import op6_language
 from brindle.llm.line_dedup import OP3_SQL, op3_line_dedup
@@ -30,5 +31,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_url_rules": op9_url_rules,
     "op10_vantage": op10_vantage,
+    "op11_conversations": op11_conversations,
 }
-ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_url_rules": OP9_SQL}
+ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_url_rules": OP9_SQL, "op11_conversations": OP11_SQL}
