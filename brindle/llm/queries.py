@@ -14,6 +14,8 @@ from brindle.llm.main_text import op1_main_text
 from brindle.llm.personal_data import op7_personal_data
 from brindle.llm.pieces import op4_pieces
 from brindle.llm.simhash import op8_simhash
+from brindle.llm.super_min_hash import op12_near_duplicates
+from brindle.llm.token_alignment import op13_alignment
 from brindle.llm.token_files import op2_token_files
 from brindle.llm.url_rules import OP9_SQL, op9_url_rules
 from brindle.llm.vantage import op10_vantage
@@ -32,5 +34,7 @@ QUERIES: dict[str, Query] = {
     "op9_url_rules": op9_url_rules,
     "op10_vantage": op10_vantage,
     "op11_conversations": op11_conversations,
+    "op12_near_duplicates": op12_near_duplicates,
+    "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_url_rules": OP9_SQL, "op11_conversations": OP11_SQL}
