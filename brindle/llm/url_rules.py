@@ -150,24 +150,45 @@ def mine(
     return materialize(kept.withColumn("rule", F.array_join("items", " & ")), "rules")
 
 
-def folded(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT) -> tuple[DataFrame, DataFrame]:
-    """``urls`` with the labelled rows' items that rules can hold, one for all that lie in the same rows; and ``item, same``, all with theirs."""
+def folded(
+    urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is left to mine, which items are the same, and the rules of one item.
+
+    Rows: ``urls`` with the labelled rows' items that longer rules can hold, one for all that
+    lie in the same rows.  Then ``item, same``, all items with theirs.  Rules as in ``mine``.
+    """
     marked = urls.join(labels, "page_id").where(F.col("block") | (F.size("items") > 0))
     marked = materialize(marked.select("block", "items", F.monotonically_increasing_id().alias("row")), "tokens")
-    least = max(MIN_LABELS, ceil(min_support * marked.count()) - 1)
+    count, blocked = marked.agg(F.count("*"), F.count_if("block")).first()
+    least = max(MIN_LABELS, ceil(min_support * count))
     place = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(salt), "row"), 32)).alias(name) for salt, name in enumerate("xy")]
     single = marked.select("row", "block", F.explode("items").alias("item")).groupBy("item").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("block"), 1)).alias("blocked"), *place
     )
-    single = materialize(single.where(F.col("blocked") >= least), "single")
-    same = single.join(single.groupBy("n", "x", "y").agg(F.max("item").alias("same")), ["n", "x", "y"]).select("item", "same")
-    same = materialize(same, "same")
-    own = same.where("item = same").select("item")
+    confidence = F.col("blocked") / F.col("n")
+    sure = (confidence >= min_confidence) & (confidence / F.lit(blocked / max(1, count)) >= min_lift)
+    single = materialize(single.where(F.col("blocked") >= least).withColumn("sure", sure), "single")
+    same = single.join(single.groupBy("n", "x", "y").agg(F.max("item").alias("same")), ["n", "x", "y"])
+    same = materialize(same.select("item", "same", "sure", "n", "blocked"), "same")
+    alone = same.where("sure and item = same").select(
+        F.array("item").alias("items"), F.lit(1).alias("size"), confidence.alias("confidence"),
+        (F.col("blocked") / F.lit(count)).alias("support"), F.col("item").alias("rule"),
+    )
+    own = same.where("item = same and not sure").select("item")
     kept = marked.select("row", F.explode("items").alias("item")).join(broadcast_if_small(own), "item").groupBy("row").agg(F.collect_set("item").alias("own"))
     # An allowed row without such items still counts for support and lift.
     bare = F.when(F.col("block"), F.array().cast("array<string>")).otherwise(F.array(F.lit("none")))
     rows = marked.join(kept, "row", "left").select(F.col("row").alias("page_id"), "block", F.coalesce("own", bare).alias("items"))
-    return materialize(rows, "folded"), same
+    return materialize(rows, "folded"), same.select("item", "same"), alone
+
+
+def minimal(rules: DataFrame) -> DataFrame:
+    """The rules none of whose proper subsets is a rule too; subsets are found by their items."""
+    needs = rules.select("rule", "size", F.explode("items").alias("item"))
+    short = needs.select(F.col("rule").alias("short"), F.col("size").alias("short_size"), "item")
+    held = needs.join(short, "item").where("short_size < size").groupBy("rule", "short", "short_size").agg(F.count("*").alias("hits"))
+    return rules.join(held.where("hits = short_size").select("rule").distinct(), "rule", "left_anti")
 
 
 def fired(urls: DataFrame, rules: DataFrame, same: DataFrame) -> DataFrame:
@@ -190,8 +211,9 @@ def fired(urls: DataFrame, rules: DataFrame, same: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] = RULES, id: str = "page_id", url: str = "url") -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page, with the learned rule behind a learned block."""
     urls = parsed(pages, id, url).drop("items").withColumnRenamed("tokens", "items")
-    rows, same = folded(urls, labels)
-    blocks = fired(urls, mine(rows.select("page_id", "items"), rows.select("page_id", "block")), same)
+    rows, same, alone = folded(urls, labels)
+    longer = minimal(mine(rows.select("page_id", "items"), rows.select("page_id", "block"))).select(*alone.columns)
+    blocks = fired(urls, longer.unionByName(alone), same)
     judged = urls.join(broadcast_if_small(materialize(blocks, "fired")), "items", "left")
     rule, verdict = written_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("learned").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
@@ -208,7 +230,16 @@ def _rules_sql() -> tuple[str, str]:
     return tuple("CASE " + " ".join(f"WHEN {test} THEN '{(name, kind)[part]}'" for kind, name, test in fits) + " END" for part in (0, 1))
 
 
-# Counts every set of items of every labelled URL: for small tables.
+_BREAK = r"[^\p{L}\p{M}\p{N}]+"
+
+
+def _words_sql(name: str, parts: str) -> str:
+    """The whole parts and their words, marked with the part's name."""
+    words = f"list_concat({parts}, flatten(list_transform({parts}, lambda p: regexp_split_to_array(p, '{_BREAK}'))))"
+    return f"list_transform(list_filter({words}, lambda w: w <> ''), lambda w: '{name}=' || w)"
+
+
+# Counts the sets of those items of a labelled URL that make no rule alone: for small tables.
 OP9_SQL = f"""
 WITH url AS (
     SELECT page_id, coalesce(url, '') AS url,
@@ -219,17 +250,22 @@ WITH url AS (
 part AS (
     SELECT *, string_split(host, '.') AS labels, regexp_extract(path, '^/([^/]+)/', 1) AS folder,
            lower(regexp_extract(path, '\\.([A-Za-z0-9]{{1,8}})$', 1)) AS kind,
-           CASE WHEN contains(url, '://') THEN lower(split_part(url, '://', 1)) ELSE '' END AS scheme
+           CASE WHEN contains(url, '://') THEN lower(split_part(url, '://', 1)) ELSE '' END AS scheme,
+           string_split(lower(path), '/') AS dirs, string_split(regexp_extract(url, '(?s)^[^?#]*\\?([^#]*)', 1), '&') AS fields
     FROM url
 ),
 page AS (
-    SELECT page_id, host, path, list_sort(list_distinct(list_filter([
+    SELECT page_id, host, path, list_sort(list_distinct(list_concat(list_filter([
                CASE WHEN scheme <> '' THEN 'scheme=' || scheme END, CASE WHEN host <> '' THEN 'tld=' || labels[-1] END,
                CASE WHEN host <> '' THEN 'site=' || array_to_string(labels[-2:], '.') END,
                CASE WHEN labels[1] <> '' THEN 'first=' || labels[1] END, CASE WHEN host <> '' THEN 'host=' || host END,
                CASE WHEN folder <> '' THEN 'folder=' || folder END, CASE WHEN kind <> '' THEN 'type=' || kind END,
                CASE WHEN contains(url, '?') THEN 'has=query' END, CASE WHEN contains(url, '#') THEN 'has=fragment' END
-           ], lambda x: x IS NOT NULL))) AS items
+           ], lambda x: x IS NOT NULL),
+           {_words_sql("at", "labels")},
+           {_words_sql("dir", "dirs")},
+           {_words_sql("arg", "list_transform(fields, lambda f: lower(split_part(f, '=', 1)))")},
+           {_words_sql("arg-value", "list_transform(fields, lambda f: lower(regexp_extract(f, '(?s)^[^=]*=(.*)$', 1)))")}))) AS items
     FROM part
 ),
 label AS (
@@ -239,22 +275,33 @@ marked AS (SELECT items, block FROM page JOIN label ON page_id = doc_id WHERE bl
 whole AS (
     SELECT count(*) AS n, count(*) FILTER (block) AS blocked, greatest({MIN_LABELS}, ceil({MIN_SUPPORT}::DOUBLE * count(*))) AS least FROM marked
 ),
+single AS (
+    SELECT item, c.blocked::DOUBLE / c.n AS confidence, c.blocked::DOUBLE / w.n AS support,
+           c.blocked::DOUBLE / c.n >= {MIN_CONFIDENCE} AND (c.blocked::DOUBLE / c.n) / (w.blocked::DOUBLE / w.n) >= {MIN_LIFT} AS sure
+    FROM (SELECT item, count(*) AS n, count(*) FILTER (block) AS blocked FROM (SELECT block, unnest(items) AS item FROM marked) GROUP BY item) c, whole w
+    WHERE c.blocked >= least
+),
+open_items AS (SELECT coalesce(list(item), []) AS names FROM single WHERE NOT sure),
 counted AS (
     SELECT list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part, count(*) AS n, count(*) FILTER (block) AS blocked
-    FROM (SELECT items, block, unnest(range(1, 1 << len(items))) AS mask FROM marked) GROUP BY 1
+    FROM (SELECT items, block, unnest(range(1, 1 << len(items))) AS mask
+          FROM (SELECT block, list_filter(items, lambda x: list_contains(names, x)) AS items FROM marked, open_items))
+    GROUP BY 1
 ),
-found AS (
+several AS (
     SELECT part, c.blocked::DOUBLE / c.n AS confidence, c.blocked::DOUBLE / w.n AS support
     FROM counted c, whole w
     WHERE c.blocked >= least AND c.blocked::DOUBLE / c.n >= {MIN_CONFIDENCE} AND (c.blocked::DOUBLE / c.n) / (w.blocked::DOUBLE / w.n) >= {MIN_LIFT}
 ),
+found AS (
+    SELECT [item] AS part, confidence, support FROM single WHERE sure
+    UNION ALL
+    SELECT * FROM several s WHERE NOT EXISTS (SELECT 1 FROM several o WHERE len(o.part) < len(s.part) AND list_has_all(s.part, o.part))
+),
 fired AS (
     SELECT items, array_to_string(part, ' & ') AS learned, confidence,
            row_number() OVER (PARTITION BY items ORDER BY confidence DESC, support DESC, len(part), array_to_string(part, ' & ') DESC) AS place
-    FROM (
-        SELECT items, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS own
-        FROM (SELECT items, unnest(range(1, 1 << len(items))) AS mask FROM (SELECT DISTINCT items FROM page))
-    ) JOIN found ON own = part
+    FROM (SELECT DISTINCT items FROM page) JOIN found ON list_has_all(items, part)
 )
 SELECT page_id, host, path, {_rules_sql()[0]} AS rule,
        coalesce({_rules_sql()[1]}, CASE WHEN learned IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, learned, confidence
