@@ -16,8 +16,10 @@ at ``-`` and ``_`` count too, unless one says a state, as in ``has-sidebar``.
 Learning reads a sample of ``SAMPLE`` labelled pages by hash of the id (the documented
 bound); extraction reads every page, whole.
 
-Defined results: a null or empty page, or one without words, has empty text; an element
-that is never closed ends with the page; a region of equal score that comes first wins;
+Defined results: a null or empty page, or one without words, has empty text; an element,
+tag or quoted value that is never closed ends with the page; tags are read in time linear
+in the page, however malformed; inside ``<article>`` and ``<main>`` no tag costs more than a
+tag of running text, so tables and listings there are kept whole; a region of equal score that comes first wins;
 without labelled pages the prior weights stand; repeated rows are extracted alike; other
 columns are ignored.
 """
@@ -59,21 +61,27 @@ BLOCKS = frozenset(
     "head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 
-TEXT_TAGS = frozenset("p br b i u em strong span a h1 h2 h3 h4 h5 h6 blockquote code pre ul ol li sup sub small mark q cite figure figcaption math mi mn mo mrow msub msup mfrac msqrt mtext semantics".split())
+TEXT_TAGS = frozenset(
+    "p br b i u em strong span a h1 h2 h3 h4 h5 h6 blockquote code pre ul ol li sup sub small mark q cite figure figcaption "
+    "table caption colgroup col thead tbody tfoot tr td th dl dt dd kbd samp var abbr time del ins details summary "
+    "math mi mn mo mrow msub msup mfrac msqrt mtext semantics".split()
+)
 
+# Every alternative takes all it looks at, to the end of the page if need be, and gives
+# nothing back: a page is cut into tokens in time in proportion to its length.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>"
-    r"|<[/!?][^>]*(?:>|\Z)"
-    r"|<[a-z/][^<>]*(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)",
+    r"<!--(?>.*?(?:-->|\Z))"
+    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*+(?:>(?>.*?(?:</(?P=raw)\s*+>|\Z))|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>[^>=]*+(?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?+[^>=]*+)*+)(?:>|\Z)"
+    r"|<[/!?][^>]*+(?:>|\Z)"
+    r"|(?P<text>[^<]++|<)",
     re.I | re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
-# kind (text, open, close), signature of the tag or of the parent, text, inside boilerplate, tag of an element that holds the content
-Token = tuple[str, str, str, bool, bool]
+# kind (text, open, close), signature of the tag or of the parent, text, inside boilerplate, tag of an element that holds the
+# content, inside an element that marks content
+Token = tuple[str, str, str, bool, bool, bool]
 
 
 def signature(name: str, rest: str) -> str:
@@ -103,7 +111,8 @@ def is_boilerplate(sign: str, inside_label: bool, holds: bool = False) -> bool:
 def holders(html: str) -> frozenset[int]:
     """Where the elements open that hold the content: the only ``<main>``, or else the only outermost ``<article>``."""
     stack: list[tuple[str, int]] = []
-    found: dict[str, list[list[int]]] = {"main": [], "article": []}
+    found: dict[str, list[int]] = {"main": [], "article": []}
+    opened: Counter[str] = Counter()
     depth: Counter[str] = Counter()
     for token in _TOKEN.finditer(html):
         name = (token["name"] or "").lower()
@@ -113,7 +122,9 @@ def holders(html: str) -> frozenset[int]:
             if name in ("p", "li") and stack and stack[-1][0] == name:
                 depth[stack.pop()[0]] -= 1
             if name in LABELS and not any(depth[label] for label in LABELS):
-                found[name].append([place for _, place in stack])
+                opened[name] += 1
+                if opened[name] == 1:
+                    found[name] = [place for _, place in stack]
             if not token["rest"].endswith("/"):
                 stack.append((name, token.start()))
                 depth[name] += 1
@@ -123,8 +134,8 @@ def holders(html: str) -> frozenset[int]:
                 depth[popped] -= 1
                 if popped == name:
                     break
-    only = next((places[0] for places in found.values() if len(places) == 1), [])
-    return frozenset(only if len(found["main"]) == 1 or not found["main"] else [])
+    label = "main" if opened["main"] else "article"
+    return frozenset(found[label] if opened[label] == 1 else [])
 
 
 def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
@@ -135,8 +146,9 @@ def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
     for token in _TOKEN.finditer(html):
         text, name = token["text"], token["name"]
         top = stack[-1] if stack else ("", "", False, False)
+        marked = any(depth[label] for label in LABELS)
         if text is not None:
-            yield "text", top[1], text, top[2], False
+            yield "text", top[1], text, top[2], False, marked
         elif name is not None:
             name = name.lower()
             if not token["close"]:
@@ -148,7 +160,7 @@ def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
                 holds = token.start() in holding
                 free = holds or name in TOKENS_IGNORED
                 out = top[2] or sign in learned and not free or is_boilerplate(sign, inside, holds)
-                yield "open", sign, name, out, holds
+                yield "open", sign, name, out, holds, marked
                 if name not in VOID and not token["rest"].endswith("/"):
                     stack.append((name, sign, out, holds))
                     depth[name] += 1
@@ -158,16 +170,16 @@ def scan(html: str, learned: frozenset[str] = frozenset()) -> Iterator[Token]:
                     depth[popped[0]] -= 1
                     if popped[0] == name:
                         break
-                yield "close", popped[1], name, popped[2], popped[3]
+                yield "close", popped[1], name, popped[2], popped[3], marked
             else:
-                yield "close", name, name, top[2], False
+                yield "close", name, name, top[2], False, marked
 
 
 def label_counts(html: str) -> Counter[tuple[str, str, bool]]:
     """``(word or tag, signature, inside the content)`` counts of a page with one content element; else nothing."""
     counts: Counter[tuple[str, str, bool]] = Counter()
     inside, labels = False, 0
-    for kind, sign, text, _, holds in scan(html):
+    for kind, sign, text, _, holds, _ in scan(html):
         if kind == "text":
             counts["word", sign, inside] += len(text.split())
         elif text in LABELS:
@@ -198,8 +210,8 @@ class Weights:
     def of_words(self, sign: str, words: int) -> float:
         return words * self.word.get(sign, 0.5)
 
-    def of_tag(self, sign: str, name: str) -> float:
-        if name in LABELS:
+    def of_tag(self, sign: str, name: str, marked: bool = False) -> float:
+        if name in LABELS or marked:  # what stands inside marked content is not cut for its tags
             return -TAG_COST
         unseen = -TAG_COST if name in TEXT_TAGS else -TAG_COST - TAG_RANGE / 2 if " " in sign else -1.0
         return self.tag.get(sign, self.tag.get(name, unseen) if name in TEXT_TAGS else unseen)
@@ -221,14 +233,14 @@ def main_text(html: str | None, weights: Weights) -> str:
     """The main text of a page: blocks joined by a line break."""
     tokens = list(scan(html or "", weights.learned))
     scores = []
-    for kind, sign, text, out, _ in tokens:
+    for kind, sign, text, out, _, marked in tokens:
         if kind == "text":
             scores.append(0.0 if out else weights.of_words(sign, len(unescape(text).split())))
         else:
-            scores.append(weights.of_tag(sign, text))
+            scores.append(weights.of_tag(sign, text, marked))
     low, high = best_region(scores)
     blocks, own = [], []
-    for kind, _, text, out, _ in tokens[low:high]:
+    for kind, _, text, out, _, _ in tokens[low:high]:
         if kind == "text":
             if not out:
                 own.append(text)
