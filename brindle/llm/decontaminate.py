@@ -157,14 +157,20 @@ class Matcher:
 
 def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     """Code-point span in ``text`` of a span of its normalised form."""
+    lowered = text.lower()
     at, first, last = 0, None, 0
-    for word in re.finditer(r"\w+", text.lower()):
+    for word in re.finditer(r"\w+", lowered):
         if first is None and at + len(word.group()) > start:
             first = word.start() + max(0, start - at)
         if at < end:
             last = word.start() + min(len(word.group()), end - at)
         at += len(word.group()) + 1
-    return first or 0, last
+    first = first or 0
+    if len(lowered) == len(text) or not last:
+        return first, last
+    # Some letters are longer in lower case: each place there belongs to the letter it came from.
+    place = [i for i, letter in enumerate(text) for _ in letter.lower()]
+    return place[first], place[last - 1] + 1
 
 
 def item_blocks(benchmark: DataFrame, id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[Item]]:
