@@ -29,6 +29,7 @@ from brindle.llm.common import column, keep_rows, slices, table
 ORDERS = 3
 PER_LANGUAGE = 3_000
 MAX_CELLS = 1 << 24
+MOST_LANGUAGES = 1 << 14  # with the least number of bits this makes a quarter of MAX_CELLS: the broadcast stays bounded
 MAX_BITS = 16
 SMOOTHING = 0.5
 MIN_SCORE = 0.5
@@ -94,7 +95,9 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
         "lang is not null and text is not null and id is not null"
     )
     known = known.where(~held_out(F.col("id")))
-    sizes = {row["lang"]: row["count"] for row in known.groupBy("lang").count().collect()}
+    sizes = {row["lang"]: row["count"] for row in known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different values: {lang} does not tell languages")
     languages = sorted(sizes)
     if not languages:
         return Model([], 1, np.zeros((2, 0), dtype=np.float32))
@@ -126,19 +129,56 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     return Model(languages, bits, np.log(totals / totals.sum(axis=0)).astype(np.float32))
 
 
-def scorer(languages: list[str], bits: int, weights: np.ndarray) -> Callable[[str | None], tuple[str, float]]:
-    """A function from a text to its language and the posterior probability of it."""
-
-    def judge(text: str | None) -> tuple[str, float]:
-        codes = letters(text or "")
-        if codes.size == 0 or not languages:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(languages))
-        for part in blocks(codes):
-            total += weights[buckets(part, bits)].sum(axis=0, dtype=np.float64)
+def counted(texts: list[str | None], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The sparse counts of a batch in parts of bounded size: ``row, slot, n`` of every n-gram bucket that occurs, by row."""
+    held: list[np.ndarray] = []
+    size = 0
+    for row, text in enumerate(texts):
+        for part in blocks(letters(text or "")):
+            slots = buckets(part, bits)
+            held.append(slots.astype(np.uint64) | np.uint64(row << bits))
+            size += slots.size
+            if size >= ORDERS * _BLOCK:
+                yield _summed(held, bits)
+                held, size = [], 0
+    if size:
+        yield _summed(held, bits)
+
+
+def _summed(held: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    cells = np.concatenate(held)
+    if not int(cells.max()) >> 32:
+        cells = cells.astype(np.uint32)  # sorts faster
+    cells, n = np.unique(cells, return_counts=True)
+    cells = cells.astype(np.int64)
+    return cells >> bits, cells & (1 << bits) - 1, n
+
+
+def scorer(languages: list[str], bits: int, weights: np.ndarray) -> Callable[[list[str | None]], list[tuple[str, float]]]:
+    """A function from a batch of texts to the language of each and the posterior probability of it.
+
+    The batch is a sparse matrix of counts; its product with the matrix of log-probabilities
+    gives all scores.
+    """
+    step = max(1, (1 << 22) // max(1, len(languages)))
+
+    def judge(texts: list[str | None]) -> list[tuple[str, float]]:
+        total = np.zeros((len(texts), len(languages)))
+        seen = np.zeros(len(texts), dtype=bool)
+        if languages:
+            for row, slot, n in counted(texts, bits):
+                seen[row] = True
+                for low in range(0, row.size, step):
+                    own = row[low : low + step]
+                    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                    cells = weights[slot[low : low + step]].astype(np.float64) * n[low : low + step, None]
+                    total[own[first]] += np.add.reduceat(cells, first, axis=0)
+        if not seen.any():
+            return [(UNKNOWN, 0.0)] * len(texts)
         total /= ORDERS  # the orders overlap: one of them counts
-        best = int(total.argmax())
-        return languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        best = total.argmax(axis=1)
+        score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        return [(languages[b], float(p)) if known else (UNKNOWN, 0.0) for b, p, known in zip(best, score, seen)]
 
     return judge
 
@@ -150,7 +190,7 @@ def predict(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = scorer(*sent.value)
         for batch in slices(batches, 2):
-            made = [judge(value) for value in batch.column(2).to_pylist()]
+            made = judge(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
@@ -166,7 +206,7 @@ def known_language_only(docs: DataFrame, model: Model, text: str = "text", min_s
 
     def wanted(texts: list) -> list[bool]:
         judge = scorer(*sent.value)
-        return [found != UNKNOWN and score >= min_score for found, score in map(judge, texts)]
+        return [found != UNKNOWN and score >= min_score for found, score in judge(texts)]
 
     return keep_rows(docs, text, wanted)
 

@@ -55,10 +55,68 @@ def test_edge_cases(spark, docs):
     assert kept.columns == frame.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "6", "6", "None"]
 
 
+def plain_bayes(learn, texts, bits):
+    """Multinomial naive Bayes, n-gram by n-gram: ``log P(n-gram | language)`` by bucket, and language and score of each text."""
+    import math
+
+    def grams(text):
+        own = L.letters(text or "").tolist()
+        for order in range(1, 4):
+            for at in range(len(own) - order + 1):
+                rolling = 0
+                for place, code in enumerate(own[at : at + order], 1):
+                    rolling = (rolling * 0x01000193 + code + place) % 2**32
+                mixed = ((rolling ^ rolling >> 15) * 0x85EBCA6B) % 2**32
+                yield mixed >> 32 - bits
+
+    languages = sorted({lang for _, lang in learn})
+    counts = {lang: [0.5] * 2**bits for lang in languages}
+    for text, lang in learn:
+        for slot in grams(text):
+            counts[lang][slot] += 1
+    logs = {lang: [math.log(n / sum(own)) for n in own] for lang, own in counts.items()}
+    made = []
+    for text in texts:
+        slots = list(grams(text))
+        if not slots:
+            made.append(("und", 0.0))
+            continue
+        totals = {lang: sum(logs[lang][slot] for slot in slots) / 3 for lang in languages}
+        best = max(languages, key=lambda lang: totals[lang])
+        made.append((best, 1 / sum(math.exp(total - totals[best]) for total in totals.values())))
+    return languages, logs, made
+
+
+def test_against_plain_naive_bayes(spark, docs, monkeypatch):
+    monkeypatch.setattr(L, "MAX_BITS", 9)
+    learn = [(i, f"the cat number {i % 7} sat on that mat, then ran" if i % 2 else f"der hund {i % 5} schläft auf dem bett unter dem tisch", "en" if i % 2 else "de") for i in range(60)]
+    model = L.fit(docs(learn))
+    used = [(text, lang) for i, text, lang in learn if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = ["the cat", "der hund und the cat", None, "", "12 3", "a", "z" * 50, "über dem tisch sat the mat " * 40, "qx"]
+    languages, logs, want = plain_bayes(used, texts, 9)
+    assert model.languages == languages and model.bits == 9
+    assert np.allclose(model.weights, np.array([logs[lang] for lang in languages]).T, atol=1e-5)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.predict(docs(list(enumerate(texts))), model).collect()}
+    for place, (lang, score) in enumerate(want):
+        assert got[place][0] == lang and got[place][1] == pytest.approx(score, abs=1e-3)
+    # Texts scored together, in parts and alone give the same.
+    judge = L.scorer(model.languages, model.bits, model.weights)
+    alone = [judge([text])[0] for text in texts]
+    monkeypatch.setattr(L, "_BLOCK", 5)
+    for one, other in zip(judge(texts), alone):
+        assert one[0] == other[0]
+
+
+def test_too_many_languages(docs, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError):
+        L.fit(docs([(i, "words", f"l{i}") for i in range(40)]))
+
+
 def test_ties_take_the_first_language(docs):
     model = L.fit(docs([(i, "same words", lang) for i, lang in zip(range(0, 80), ["b", "a"] * 40)]))
     model.weights[:, 1] = model.weights[:, 0]
-    assert L.scorer(model.languages, model.bits, model.weights)("same words") == ("a", pytest.approx(0.5))
+    assert L.scorer(model.languages, model.bits, model.weights)(["same words"]) == [("a", pytest.approx(0.5))]
 
 
 @pytest.mark.parametrize("rows", [[], [(1, "text", None)], [(None, "text", "en")]])

@@ -13,7 +13,7 @@ def brute(spark, rows, items):
     schema = "doc_id bigint, text string, lang string, source string"
     model = language.fit(spark.createDataFrame(rows, schema))
     judge = language.scorer(model.languages, model.bits, model.weights)
-    rows = [row for row in rows if judge(row[1])[1] >= language.MIN_SCORE]
+    rows = [row for row in rows if judge([row[1]])[0][1] >= language.MIN_SCORE]
     rows = brute_lines(rows, line_dedup.MAX_RATIO, line_dedup.MIN_PAGES)
     prints = {row[0]: simhash.fingerprint(row[1].encode()) & (1 << 64) - 1 for row in rows}
     best = {doc: doc for doc in prints}
