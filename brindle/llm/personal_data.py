@@ -6,8 +6,8 @@ adds spans in other forms: spelt-out addresses, numbers with other separators.
 the field that overlaps one of the patterns is not added, and the digits or marks of its
 kind are checked.
 
-Each kind has a digit, an ``@`` or a spelt-out ``dot``; a line without any of them can
-hold no such span, and only the other lines are decoded.  Decoding takes whole lines.
+Each kind has a digit, an ``@`` or a spelt-out dot (in four languages); a line without any
+of them can hold no such span, and only the other lines are decoded.  Decoding takes whole lines.
 
 Defined results: a null or empty text has no spans; spans are in code points, end
 exclusive; repeated rows are judged alike; other columns are ignored.
@@ -38,9 +38,13 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_GATE = re.compile(r"[0-9@]|\bdot\b", re.I)
+# How the marks of an address are spelt out, in English, Spanish, German and French.
+_AT = "at arroba ät klammeraffe arobase arrobase".split()
+_DOT = "dot punto punkt point".split()
+_GATE = re.compile(r"[0-9@]|\b(?:" + "|".join(_DOT) + r")\b", re.I)
+_HAS_AT, _HAS_DOT = re.compile(r"@|\b(?:" + "|".join(_AT) + r")\b", re.I), re.compile(r"\.|\b(?:" + "|".join(_DOT) + r")\b", re.I)
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
-_CUES = frozenset("at dot arroba punto punkt phone tel call fax mobile cell ip address host server card visa amex credit mail email version v date id order page room".split())
+_CUES = frozenset([*_AT, *_DOT, *"phone tel call fax mobile cell ip address host server card visa amex credit mail email version v date id order page room".split()])
 
 
 def digits_of(text: str) -> str:
@@ -136,10 +140,14 @@ def labelled_table(sentences: int = SENTENCES, seed: int = 1) -> list[tuple[str,
     def number(size: int) -> str:
         return "".join(pick.choice("0123456789") for _ in range(size))
 
+    # The same address spelt out in other languages.
+    pairs = [("arroba", "punto"), ("at", "punkt"), ("ät", "punkt"), ("klammeraffe", "punkt"), ("arobase", "point"), ("arrobase", "point")]
+    spelt = [(f" {a} ", f" {b} ") for a, b in pairs] + [(f" ({a}) ", f" ({b}) ") for a, b in pairs] + [(f"({a})", f"({b})") for a, b in pairs[::2]]
+
     def email() -> str:
         user = pick.choice([word(), word() + "." + word(), word() + "." + number(2), word() + number(2)])
         host, top = pick.choice([word(), "mail" + number(1) + "." + word(), "mail"]), pick.choice("com org net edu de fr es".split())
-        at, dot = pick.choice([("@", "."), (" at ", " dot "), (" AT ", " DOT "), (" (at) ", " (dot) "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" @ ", "."), (" [at] ", " [dot] ")])
+        at, dot = pick.choice([("@", "."), (" at ", " dot "), (" AT ", " DOT "), (" (at) ", " (dot) "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" @ ", "."), (" [at] ", " [dot] "), *spelt])
         return user + at + host + dot + top
 
     def ip() -> str:
@@ -161,7 +169,7 @@ def labelled_table(sentences: int = SENTENCES, seed: int = 1) -> list[tuple[str,
         return pick.choice([
             f"20{number(2)}-0{number(1)}-1{number(1)}", f"1{number(1)}/0{number(1)}/20{number(2)}", f"{pick.randint(1, 9)}.{pick.randint(0, 20)}.{pick.randint(0, 9)}",
             f"{number(1)},{number(3)}.{number(2)}", f"1{number(1)}:{number(2)}", f"password={hexes}", f'token = "{hexes}"', f"id {number(5)}", f"pages {number(2)}-{number(2)}",
-            f"at {word()}", f"order {number(6)}", f"v{number(1)}.{number(1)}", f"{word()} at {word()}.", f"{number(4)}", f"{word()}@", f"the dot {word()}", f"({number(4)})", f"{number(12)}", f"{number(3)} {word()} {number(4)}", f"{number(1)}.{number(1)}.{number(1)}.{number(1)}.{number(1)}.{number(1)}",
+            f"at {word()}", f"order {number(6)}", f"v{number(1)}.{number(1)}", f"{word()} at {word()}.", f"{word()} point {word()}", f"punto {word()}", f"der punkt {word()}", f"{number(2)} punto {number(2)}", f"{number(4)}", f"{word()}@", f"the dot {word()}", f"({number(4)})", f"{number(12)}", f"{number(3)} {word()} {number(4)}", f"{number(1)}.{number(1)}.{number(1)}.{number(1)}.{number(1)}.{number(1)}",
         ])
 
     made = {"email": email, "ip": ip, "card": card, "phone": phone}
@@ -195,7 +203,7 @@ def holds(kind: str, text: str) -> bool:
     """Whether a span of the field has what its kind needs."""
     digits = digits_of(text)
     if kind == "email":
-        return bool(re.search(r"@|\bat\b", text, re.I) and re.search(r"\.|\bdot\b", text, re.I))
+        return bool(_HAS_AT.search(text) and _HAS_DOT.search(text))
     if kind == "ip":
         return is_ip(re.findall("[0-9]+", text))
     if kind == "card":
