@@ -29,7 +29,7 @@ from brindle.llm.crf import Decoder, Model, train
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{mark}-{kind}" for kind in KINDS for mark in "BI")]
-SENTENCES = 600
+SENTENCES = 900
 
 Span = tuple[str, int, int]  # kind, start, end
 
@@ -42,7 +42,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _AT = "at arroba ät klammeraffe arobase arrobase".split()
 _DOT = "dot punto punkt point".split()
 _GATE = re.compile(r"[0-9@]|\b(?:" + "|".join(_DOT) + r")\b", re.I)
-_HAS_AT, _HAS_DOT = re.compile(r"@|\b(?:" + "|".join(_AT) + r")\b", re.I), re.compile(r"\.|\b(?:" + "|".join(_DOT) + r")\b", re.I)
+_SPELT = re.compile(
+    r"[\w.+%-]+[\s(\[]*(?:@|\b(?:" + "|".join(_AT) + r")\b)[\s)\]]*[\w-]+(?:[\s(\[]*(?:\.|\b(?:" + "|".join(_DOT) + r")\b)[\s)\]]*[\w-]+)+", re.I
+)
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 _CUES = frozenset([*_AT, *_DOT, *"phone tel call fax mobile cell ip address host server card visa amex credit mail email version v date id order page room".split()])
 
@@ -94,8 +96,8 @@ def token_class(token: str, glued: bool) -> str:
         return f"digits{size}:{joint}:{'byte' if size <= 3 and int(token) <= 255 else ''}"
     if token.isalpha():
         lower = token.lower()
-        if lower in _CUES:
-            return f"cue:{lower}:{joint}"
+        if lower in _CUES:  # the marks of an address are one cue each, in whatever language
+            return f"cue:{'at' if lower in _AT else 'dot' if lower in _DOT else lower}:{joint}"
         case = "lower" if token == lower else "title" if token[1:] == lower[1:] else "upper" if token == token.upper() else "mixed"
         return f"word{joint}:{case}:{min(len(token), 6)}"
     return f"mark{token if token.isascii() else ''}:{joint}"
@@ -145,9 +147,11 @@ def labelled_table(sentences: int = SENTENCES, seed: int = 1) -> list[tuple[str,
     spelt = [(f" {a} ", f" {b} ") for a, b in pairs] + [(f" ({a}) ", f" ({b}) ") for a, b in pairs] + [(f"({a})", f"({b})") for a, b in pairs[::2]]
 
     def email() -> str:
-        user = pick.choice([word(), word() + "." + word(), word() + "." + number(2), word() + number(2)])
-        host, top = pick.choice([word(), "mail" + number(1) + "." + word(), "mail"]), pick.choice("com org net edu de fr es".split())
-        at, dot = pick.choice([("@", "."), (" at ", " dot "), (" AT ", " DOT "), (" (at) ", " (dot) "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" @ ", "."), (" [at] ", " [dot] "), *spelt])
+        at, dot = pick.choice([("@", "."), (" at ", " dot "), (" AT ", " DOT "), (" (at) ", " (dot) "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" @ ", "."), (" [at] ", " [dot] "), *spelt, *spelt[: len(pairs)]])
+        plain = at.strip(" ()[]").isalpha()  # spelt out: mostly a word at a word
+        user = word() if plain and pick.random() < 0.6 else pick.choice([word(), word() + "." + word(), word() + "." + number(2), word() + number(2)])
+        host = word() if plain and pick.random() < 0.7 else pick.choice([word(), "mail" + number(1) + "." + word(), "mail"])
+        top = pick.choice("com org net edu de fr es".split())
         return user + at + host + dot + top
 
     def ip() -> str:
@@ -203,7 +207,7 @@ def holds(kind: str, text: str) -> bool:
     """Whether a span of the field has what its kind needs."""
     digits = digits_of(text)
     if kind == "email":
-        return bool(_HAS_AT.search(text) and _HAS_DOT.search(text))
+        return bool(_SPELT.fullmatch(text))
     if kind == "ip":
         return is_ip(re.findall("[0-9]+", text))
     if kind == "card":
