@@ -111,3 +111,13 @@ def test_short_items_and_unspaced_scripts(spark, docs):
     spans = {r["doc_id"]: (r["start"], r["end"]) for r in found}
     assert spans[6] == (16, 19) and spans[7] == (2, 6)
     assert sorted(r["doc_id"] for r in D.without_items(docs(rows), benchmark).collect()) == [4, 8, 9, 10]
+
+
+@pytest.mark.parametrize("front", ["", "İ", "İİİİİİ ", "ßİ x İ", "ǅ ŉ "])
+def test_spans_where_lower_case_is_longer(front):
+    item = "The quick brown fox jumps over the lazy dog and runs away"
+    text = f"{front} {item} at last"
+    normal = D.normal(text)
+    start = normal.index(D.normal(item))
+    low, high = D.original_span(text, start, start + len(D.normal(item)))
+    assert text[low:high] == item

@@ -103,3 +103,47 @@ LONG = "words of the article that go on for a while " * 5
 )
 def test_only_furniture_goes(page, parts):
     assert M.main_text(page.format(LONG), EMPTY).split() == LONG.split() * parts
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a b='", '<a b="', "<script ", "<!--", "</script ", '<a class="x" ', "<p>w", "<div><article>x</article>", "<", "&"])
+def test_malformed_pages_are_read_in_linear_time(unit):
+    """Twice the page takes about twice the time, and a megabyte takes seconds."""
+    import time
+
+    def seconds(size):
+        start = time.perf_counter()
+        M.main_text(unit * (size // len(unit)), EMPTY)
+        return time.perf_counter() - start
+
+    seconds(10_000)
+    half, whole = seconds(250_000), seconds(500_000)
+    assert whole < 4 * half + 0.5, (half, whole)
+    assert seconds(1_000_000) < 30
+
+
+def numbered(n, mark):
+    return " ".join(f"{mark}{i}" for i in range(n))
+
+
+TABLE = "<table><thead><tr><th>h1</th><th>h2</th></tr></thead>" + "".join(f"<tr>{''.join(f'<td>c{i}x{j}</td>' for j in range(6))}</tr>" for i in range(60)) + "</table>"
+LISTING = "<pre><code>" + "\n".join(f"line {i} = {i};" for i in range(80)) + "</code></pre>"
+ITEMS = "<ul>" + "".join(f"<li><a href='#{i}'>item{i}</a></li>" for i in range(150)) + "</ul>"
+TERMS = "<dl>" + "".join(f"<dt>t{i}</dt><dd>d{i}</dd>" for i in range(100)) + "</dl>"
+
+
+@pytest.mark.parametrize("inner", [TABLE, LISTING, ITEMS, TERMS])
+@pytest.mark.parametrize("marked", [True, False])
+@pytest.mark.parametrize("learned", [True, False])
+def test_articles_stay_whole(spark, sf_dir, inner, marked, learned):
+    weights = M.learn(spark.read.parquet(f"{sf_dir}/pages.parquet")) if learned else EMPTY
+    body = f"<h1>Title words</h1><p>{numbered(100, 'a')}</p>{inner}<p>{numbered(90, 'b')}</p>"
+    page = f"<html><body><nav>menu menu</nav>{'<article>' if marked else ''}{body}{'</article>' if marked else ''}<footer>end</footer></body></html>"
+    text = M.main_text(page, weights)
+    wanted = re.sub(r"<[^>]*>", " ", inner).split()
+    assert text.startswith("Title words\na0 ") and text.endswith(" b89")
+    assert set(wanted) <= set(text.split()) and "menu" not in text and "end" not in text
+
+
+def test_empty_cells_do_not_cut_marked_content():
+    cells = "<table>" + "<tr><td></td><td></td></tr>" * 30 + "</table>"
+    assert M.main_text(f"<main><p>{numbered(80, 'a')}</p>{cells}<p>{numbered(80, 'b')}</p></main>", EMPTY).endswith("b79")

@@ -141,3 +141,70 @@ def test_tokens_of_every_part_are_learned(spark):
     pages = spark.createDataFrame(urls, "page_id bigint, url string")
     rows = {r["page_id"]: r["verdict"] for r in U.judge(pages, U.block_labels(spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")), []).collect()}
     assert {i for i, verdict in rows.items() if verdict == "block"} == {*range(300), 900, 901, 902}
+
+
+def token_corpus():
+    """Blocked URLs that share a later folder, a middle host label or a query name; none of the fixed places tells."""
+    urls, labels = [], []
+    for i in range(600):
+        tail = [f"www.casino-win.s{i}.org/en/{i}", f"a{i}.org/x{i}/en/free-bets/{i}.html", f"b{i}.org/en/{i}?pills={i}"][i % 3] if i < 300 else f"c{i}.org/en/{i}?q={i}"
+        urls.append((i, f"https://{tail}"))
+        labels.append((i, 0 if i < 300 else 1, 0))
+    urls += [(900, "http://m.casino.zz.info/new"), (901, "http://other.info/a/b/bets"), (902, "http://other.info/a?x=1&pills=2#f"), (903, "http://other.info/a?q=1"), (904, None)]
+    return urls, labels
+
+
+def mixed_corpus():
+    """Two tokens that tell only together, beside one that tells alone."""
+    urls, labels = [], []
+    for i in range(480):
+        folder = ["red/blue", "red/white", "grey/blue", "grey/white"][i % 4]
+        urls.append((i, f"https://h{i}.org/{folder}/{i}" + ("?spam=1" if i % 16 == 3 else "")))
+        labels.append((i, 0 if i % 4 == 0 or i % 16 == 3 else 1, 0))
+    return urls, labels
+
+
+@pytest.mark.parametrize("made", [token_corpus, mixed_corpus])
+def test_oracle_over_all_tokens(spark, made):
+    import pandas as pd
+
+    urls, labels = made()
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    connection = duckdb.connect()
+    connection.register("pages", pd.DataFrame(urls, columns=["page_id", "url"]).astype({"page_id": "Int64"}))
+    connection.register("labels", pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]))
+    got = U.judge(pages, U.block_labels(marks))
+    blocked = got.where("learned is not null")
+    assert blocked.count() >= 100
+    assert compare.differences(got, connection, U.OP9_SQL) is None
+    if made is mixed_corpus:
+        assert {r["learned"] for r in blocked.select("learned").distinct().collect()} >= {"dir=blue & dir=red"} or blocked.where("learned like '% & %'").count() > 0
+
+
+def parallel_corpus(names):
+    """Blocked URLs with all query names but one each; allowed ones have none of them."""
+    urls = [(i, f"https://h{i}.org/p?" + "&".join(f"k{n}=1" for n in range(names) if n != i % names)) for i in range(120)]
+    urls += [(200 + i, f"https://g{i}.org/p?other={i}") for i in range(120)] + [(500, "http://x.org/?k3=2"), (501, "http://x.org/?k=2")]
+    labels = [(i, 0, 0) for i in range(120)] + [(200 + i, 1, 0) for i in range(120)]
+    return urls, labels
+
+
+@pytest.mark.parametrize("names", [10, 24])
+def test_tokens_of_nearly_the_same_rows(spark, names):
+    import time
+
+    urls, labels = parallel_corpus(names)
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    marks = U.block_labels(spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    start = time.perf_counter()
+    got = {r["page_id"]: r["verdict"] for r in U.judge(pages, marks, []).collect()}
+    assert time.perf_counter() - start < 60
+    assert {i for i, verdict in got.items() if verdict == "block"} == {*range(120), 500}
+    if names == 10:  # the same by counting every set of tokens
+        known = {r["page_id"]: r["block"] for r in marks.collect()}
+        rows = {r["page_id"]: r["tokens"] for r in U.parsed(pages).collect()}
+        often = {t for t in set().union(*rows.values()) if sum(known[i] for i in known if t in rows[i]) >= U.MIN_LABELS}
+        sets = [(tuple(t for t in rows[i] if t in often), known[i]) for i in known]
+        rules = [set(rule.split(" & ")) for rule in brute_rules(sets, U.MIN_LABELS / len(sets), U.MIN_CONFIDENCE, U.MIN_LIFT)]
+        assert {i for i in rows if any(rule <= set(rows[i]) for rule in rules)} == {*range(120), 500}
