@@ -16,8 +16,9 @@ the whole sets, in joins.
 Equal sets fold first.  In a key all sets meet one of them, its hub: the set that shares
 most keys with others, which is where edited copies of one text meet their original.  Links
 are contracted to classes, the hub leaves the key, and the next round takes keys that still
-hold several classes.  Each round is linear in the sets left.  When few pairs of different
-classes are left, these are compared directly.
+hold several classes.  Each round is linear in the sets left.  After ``ROUNDS`` of them sets of
+different classes that still share a key are compared inside one join, which gives links
+only, no candidates.
 
 Defined results: words are ASCII-blank separated and A-Z are lower-cased; a text of fewer
 words than a shingle is one shingle, and one without words has an empty set that links with
@@ -45,8 +46,7 @@ PERCENT = 80  # of the union that two linked sets share, at least
 BANDS = 32
 ROWS = 6
 REGISTERS = BANDS * ROWS
-ROUNDS = 12  # of hubs, at most; pairs left after that are compared directly
-FEW = 2  # pairs of different classes for each row of the keys that are compared without further rounds
+ROUNDS = 2  # of hubs, at most; what is left after that is compared directly
 _AT_ONCE = 1 << 14  # elements whose permutations are held at a time
 
 _U = np.uint64
@@ -180,45 +180,58 @@ def _sizes_allow(first: Column, second: Column) -> Column:
     return F.least(first, second) * 100 >= F.greatest(first, second) * PERCENT
 
 
+def _alike(found_a: Column, found_b: Column) -> Column:
+    shared = F.size(F.array_intersect(found_a, found_b)).cast("bigint")
+    return shared * 100 >= (F.size(found_a) + F.size(found_b) - shared) * PERCENT
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar."""
-    shared = F.size(F.array_intersect("found_a", "found_b")).cast("bigint")
-    union = F.size("found_a") + F.size("found_b") - shared
     sides = [sets.select(F.col("node").alias(side), F.col("found").alias(f"found_{side}")) for side in "ab"]
-    return pairs.join(sides[1], "b").join(sides[0], "a").where(shared * 100 >= union * PERCENT).select("a", "b")
+    return pairs.join(sides[1], "b").join(sides[0], "a").where(_alike(F.col("found_a"), F.col("found_b"))).select("a", "b")
 
 
 def _pair(one: str, other: str) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
+def direct(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between sets of different classes in the keys of ``left``: no pair leaves the join but a link.
+
+    A pair is compared in the first of the keys it shares, so the whole sets travel with
+    the keys.
+    """
+    own = left.groupBy("node").agg(F.collect_set("key").alias("keys")).join(sets, "node")
+    rows = materialize(left.select("key", "node", "size", "root").join(own, "node"), "hard")
+    a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "root", "keys", "found")]) for side in "ab")
+    same = (a["key"] == b["key"]) & (F.col("root_a") < F.col("root_b")) & _sizes_allow(F.col("size_a"), F.col("size_b"))
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == a["key"]
+    links = a.join(b, same & first & _alike(F.col("found_a"), F.col("found_b")))
+    return links.select(*_pair("node_a", "node_b"))
+
+
 def links(buckets: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Links ``a, b`` that connect the similar sets of ``buckets`` (``key, node, size, central``)."""
     left, near, done = buckets.withColumn("root", F.col("node")), None, 0
     while True:
         hub = F.max_by(F.struct("node", "size", "root"), F.struct("central", -F.col("node")))
-        hubs = broadcast_if_small(materialize(left.groupBy("key").agg(hub.alias("hub")).select("key", "hub.*").toDF("key", "hub", "hub_size", "hub_root"), "hubs"))
-        met = materialize(left.join(hubs, "key").where("node <> hub"), "met")
+        hubs = left.groupBy("key").agg(hub.alias("hub")).select("key", "hub.*").toDF("key", "hub", "hub_size", "hub_root")
+        met = materialize(left.join(broadcast_if_small(materialize(hubs, "hubs")), "key").where("node <> hub"), "met")
         pairs = met.where((F.col("root") != F.col("hub_root")) & _sizes_allow(F.col("size"), F.col("hub_size")))
         found = verified(pairs.select(*_pair("node", "hub")).distinct(), sets)
         near = materialize(found if near is None else near.union(found), "near")
         done += 1
         rooted = met.select("key", "node", "size", "central").join(components(near), "node", "left")
         rooted = materialize(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
-        # Keys that still hold several classes, and how many pairs of different classes those hold.
-        shares = rooted.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key")
-        mixed_keys = shares.agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"), F.sum("n").alias("n"))
-        mixed_keys = materialize(mixed_keys.where("cross > 0"), "mixed-keys")
-        cross, rows = mixed_keys.agg(F.sum("cross"), F.sum("n")).first()
-        if not cross:
+        # Keys that still hold several classes.
+        mixed_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        mixed_keys = materialize(mixed_keys, "mixed-keys")
+        if mixed_keys.isEmpty():
             return near
-        left = rooted.join(broadcast_if_small(mixed_keys.select("key")), "key", "left_semi")
-        if cross <= FEW * rows or done >= rounds:
-            break
+        left = rooted.join(broadcast_if_small(mixed_keys), "key", "left_semi")
+        if done >= rounds:
+            return near.union(direct(left, sets))
         left = materialize(left, "left")
-    a, b = (left.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "root")]) for side in "ab")
-    likely = (F.col("root_a") < F.col("root_b")) & _sizes_allow(F.col("size_a"), F.col("size_b"))
-    return near.union(verified(a.join(b, "key").where(likely).select(*_pair("node_a", "node_b")).distinct(), sets))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
