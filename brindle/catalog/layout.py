@@ -11,21 +11,27 @@ from brindle import datasets
 from brindle.catalog.joins import BUCKET_JOIN_SQL
 from brindle.catalog.registry import query, sql_bucket, with_ctes
 from brindle.operators import sales
+from brindle.operators.joins import coalesced_buckets
 from brindle.operators.rows import fan_out_of, route_rows
 from brindle.operators.skew import HotKeys, find_hot_keys
-from brindle.plans import broadcast_if_small, shared_dir, table_name
+from brindle.plans import broadcast_if_small, materialize, shared_dir, table_name
 from brindle.sinks import (
     append_table,
     compact_files,
+    deliver,
     insert_by_name,
     overwrite_partitions,
+    overwrite_table_partitions,
+    overwrite_table_partitions_sql,
+    read_delivered,
     replace_table,
     save_bucketed,
     save_bucketed_apart,
     save_partitioned,
+    table_partitions,
     write_text,
 )
-from brindle.sources import people, read_json, split_corrupt
+from brindle.sources import infer_json, people, read_json, split_corrupt
 
 PARTITIONS = ("dt", "dn")
 ROWS_PER_FILE = 4_000_000
@@ -68,6 +74,66 @@ def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select(F.coalesce(F.col("_corrupt_record"), F.col("dt")).alias("line"))
 
 
+def mixed_json(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Payments as JSON lines in two folders that do not agree.
+
+    In the first ``pay_discount`` is a text, in the second a number; only the second has
+    a ``note``, and only for urgent orders; both have lines that are no objects.
+    """
+    pay = datasets.pay(spark, sf_dir)
+    first, second = pay.where(F.col("dn") == "webA"), pay.where(F.col("dn") == "webB")
+    coded = second.withColumns(
+        {
+            "pay_discount": F.substring("pay_discount", 1, 1).cast("int"),
+            "note": F.when(F.col("pay_discount") == "1-URGENT", F.concat(F.lit("order "), F.col("orderid").cast("string"))),
+        }
+    )
+    paths = [shared_dir(spark, "mixed-json") for _ in range(2)]
+    for frame, path, odd in ((first, paths[0], "[1, 2"), (coded, paths[1], '"text"')):
+        lines = frame.select(F.to_json(F.struct("*")).alias("value"))
+        odd_lines = frame.where(F.col("orderid") < 0).select(F.concat(F.lit(odd), F.lit(" ")).alias("value"))
+        write_text(lines.unionByName(odd_lines), path)
+    return paths
+
+
+@query(
+    "json_infer",
+    with_ctes(
+        "pay",
+        """
+        SELECT orderid, CASE WHEN dn = 'webA' THEN pay_discount ELSE substr(pay_discount, 1, 1) END AS pay_discount, paymoney,
+               pay_createtime, CASE WHEN dn = 'webB' AND pay_discount = '1-URGENT' THEN 'order ' || CAST(orderid AS VARCHAR) END AS note, dt, dn
+        FROM pay
+        """,
+    ),
+)
+def json_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments, read without a schema; the width of the money follows the data, so it is made that of the table."""
+    rows = infer_json(spark, mixed_json(spark, sf_dir)).rows
+    return rows.withColumn("paymoney", F.col("paymoney").cast(datasets.MONEY))
+
+
+@query(
+    "json_infer_fields",
+    with_ctes(
+        "pay",
+        """
+        SELECT 'dn' AS field, 'STRING' AS kinds, false AS conflict, CAST(count(*) AS BIGINT) AS lines FROM pay
+        UNION ALL SELECT 'dt', 'STRING', false, count(*) FROM pay
+        UNION ALL SELECT 'orderid', 'BIGINT', false, count(*) FROM pay
+        UNION ALL SELECT 'pay_createtime', 'STRING', false, count(*) FROM pay
+        UNION ALL SELECT 'pay_discount', 'BIGINT,STRING', true, count(*) FROM pay
+        UNION ALL SELECT 'paymoney', 'DECIMAL', false, count(*) FROM pay
+        UNION ALL SELECT 'note', 'STRING', false, count(*) FROM pay WHERE dn = 'webB' AND pay_discount = '1-URGENT'
+        """,
+    ),
+)
+def json_infer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fields of the same lines are, and which do not agree."""
+    fields = infer_json(spark, mixed_json(spark, sf_dir)).fields
+    return fields.select("field", F.array_join("kinds", ",").alias("kinds"), "conflict", "lines")
+
+
 # ---- buckets ---------------------------------------------------------------
 
 ROWS_PER_BUCKET = 20_000_000
@@ -103,6 +169,32 @@ def bucket_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unequal_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Cart and payments bucketed on the order: the cart in four times as many buckets."""
+    names = table_name("cart"), table_name("pay")
+    cart, pay = datasets.cart(spark, sf_dir), datasets.pay(spark, sf_dir)
+    buckets = max(MIN_BUCKETS, ceil(pay.count() / ROWS_PER_BUCKET))
+    save_bucketed(cart, names[0], 4 * buckets, "orderid", shared_dir(spark, "cart"))
+    save_bucketed(pay, names[1], buckets, "orderid", shared_dir(spark, "pay"))
+    return names
+
+
+def unequal_join(spark: SparkSession, cart: str, pay: str) -> DataFrame:
+    paid = spark.table(pay).select("orderid", "paymoney", "pay_createtime")
+    return spark.table(cart).select("courseid", "orderid", "sellmoney").join(paid, "orderid")
+
+
+@query(
+    "unequal_bucket_join",
+    with_ctes("cart pay", "SELECT c.orderid, courseid, sellmoney, paymoney, pay_createtime FROM cart c JOIN pay p ON c.orderid = p.orderid"),
+)
+def unequal_bucket_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of 20 and 5 buckets (more, where they are large) joined without a shuffle: four buckets are read as one."""
+    names = unequal_tables(spark, sf_dir)
+    with coalesced_buckets(spark):
+        return materialize(unequal_join(spark, *names), "unequal")
+
+
 # ---- partition pruning -----------------------------------------------------
 
 
@@ -170,6 +262,38 @@ def dyn_partition_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _renewed_cart(spark, sf_dir, None)
 
 
+def _renewed_cart_table(spark: SparkSession, sf_dir: str) -> str:
+    """A catalog table of stale cart rows, in which two days are overwritten and one is new.
+
+    One day comes by a statement with the day given, the others as a frame whose columns
+    stand in another order.  Day ``d9`` is a partition the table did not have.
+    """
+    name = table_name("cart")
+    cart = datasets.cart(spark, sf_dir)
+    save_partitioned(cart.withColumn("coursename", F.lit("stale")), name, PARTITIONS, shared_dir(spark, "cart"))
+    first, second = RENEWED
+    overwrite_table_partitions_sql(cart.filter(F.col("dt") == first).drop("dt"), name, {"dt": first}, ROWS_PER_FILE)
+    late = cart.filter(F.col("dt") == second)
+    added = cart.filter((F.col("dt") == "d3") & (F.col("dn") == "webA")).withColumn("dt", F.lit("d9"))
+    overwrite_table_partitions(late.unionByName(added).select(*sorted(cart.columns)), name, ROWS_PER_FILE)
+    return name
+
+
+@query("table_partition_overwrite", with_ctes("renewed_cart", "SELECT * FROM renewed_cart"))
+def table_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite some partitions of a catalog table; the others keep their rows."""
+    return spark.table(_renewed_cart_table(spark, sf_dir)).select(*_CART.split(", "))
+
+
+@query(
+    "table_partition_list",
+    with_ctes("renewed_cart", "SELECT DISTINCT 'dt=' || dt || '/dn=' || dn AS partition FROM renewed_cart"),
+)
+def table_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitions the catalog knows after the overwrite, the new one among them."""
+    return table_partitions(spark, _renewed_cart_table(spark, sf_dir))
+
+
 @query(
     "compact_files",
     with_ctes("cart", f"SELECT {_CART.replace('dt, dn', '')} lpad(CAST(courseid % 9 AS VARCHAR), 3, '0') AS dt, dn FROM cart"),
@@ -225,6 +349,15 @@ def table_insert_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_by_name(_orders(spark, sf_dir).select("o_custkey", "o_orderstatus", "o_orderkey"), name)
 
 
+@query("committed_sink", with_ctes("pay", f"SELECT {_PAY} FROM pay UNION ALL SELECT {_PAY} FROM pay WHERE dn = 'webA'"))
+def committed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries to a sink that shows committed rows only, read back."""
+    path, pay = shared_dir(spark, "delivery"), datasets.pay(spark, sf_dir)
+    deliver(pay, path)
+    deliver(pay.where(F.col("dn") == "webA"), path)
+    return read_delivered(spark, path, PAY_SCHEMA)
+
+
 # ---- routing and generated rows --------------------------------------------
 
 @query(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.functions.hashing import HASH_BITS
+from brindle.functions.hashing import HASH_BITS, lane_salts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,8 +110,17 @@ _CTES = {
                    CASE WHEN o_orderkey % 3 = 0 THEN 'webA' ELSE 'webB' END AS dn
             FROM orders
         )""",
+    # Days d0 and d2 renewed, a new day d9, and what else was there gone stale.
+    "renewed_cart": """
+        renewed_cart AS (
+            SELECT courseid, orderid, CASE WHEN dt IN ('d0', 'd2') THEN coursename ELSE 'stale' END AS coursename,
+                   cart_discount, sellmoney, cart_createtime, dt, dn FROM cart
+            UNION ALL
+            SELECT courseid, orderid, coursename, cart_discount, sellmoney, cart_createtime, 'd9', dn FROM cart
+            WHERE dt = 'd3' AND dn = 'webA'
+        )""",
 }
-_NEEDS = {"visit": ("k_events",), "action": ("visit",), "category": ("action",), "doc_word": ("doc_line",)}
+_NEEDS = {"renewed_cart": ("cart",), "visit": ("k_events",), "action": ("visit",), "category": ("action",), "doc_word": ("doc_line",)}
 
 
 def with_ctes(names: str, body: str) -> str:
@@ -135,6 +144,28 @@ def sql_hash(value: str, seed: int = 0) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, {HASH_BITS // 4}) AS BIGINT)"
 
 
+def _with(value: str, body: str) -> str:
+    """``body`` of ``x`` for one value, which then stands in the statement once."""
+    return f"list_transform([{value}], lambda x: {body})[1]"
+
+
+def _sql_lane(value: str, salt: int) -> str:
+    word, shifted = f"(CAST({value} AS BIGINT) & 4294967295)", "xor(x, x >> 16)"
+    high = f"xor(0, ((CAST({value} AS BIGINT) - (CAST({value} AS BIGINT) & 4294967295)) // 4294967296) & 4294967295)"
+    word = f"(({word} + {salt}) & 4294967295)"
+    for half in (None, high):
+        word = word if half is None else f"xor({word}, {half})"
+        for _ in range(2):
+            word = f"(({_with(word, shifted)} * {0x45D9F3B}) & 4294967295)"
+    return _with(word, shifted)
+
+
+def sql_integer_hash(value: str, seed: int = 0) -> str:
+    """``functions.integer_hash`` in the SQL of the checking engine."""
+    first, second = (_sql_lane(f"COALESCE({value}, 0)", salt) for salt in lane_salts(seed))
+    return f"({first} * {1 << (HASH_BITS - 32)} + ({second} >> {64 - HASH_BITS}))"
+
+
 def sql_bucket(value: str, buckets: int | str, seed: int = 0) -> str:
-    """``functions.bucket_of`` in the SQL of the checking engine."""
-    return f"CASE WHEN {value} IS NULL THEN 0 ELSE {sql_hash(value, seed)} % CAST({buckets} AS BIGINT) END"
+    """``functions.bucket_of`` of a whole number in the SQL of the checking engine."""
+    return f"CASE WHEN {value} IS NULL THEN 0 ELSE {sql_integer_hash(value, seed)} % CAST({buckets} AS BIGINT) END"

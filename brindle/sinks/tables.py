@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from brindle.operators.skew import HotKeys, split_hot
+from brindle.plans import scoped_conf
 
 
 def save_partitioned(
@@ -81,6 +83,79 @@ def insert_by_name(df: DataFrame, name: str, overwrite: bool = True) -> DataFram
     return df.sparkSession.table(name)
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The columns a catalog table is partitioned by, in order."""
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def table_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """The partitions the catalog knows, one row (``partition``) each."""
+    return spark.sql(f"SHOW PARTITIONS {name}")
+
+
+def _by_name(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with exactly the table's columns, in the table's order."""
+    wanted = df.sparkSession.table(name).columns
+    if sorted(wanted) != sorted(df.columns):
+        raise ValueError(f"{name} has the columns {wanted}, the rows have {df.columns}")
+    return df.select(*wanted)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession, rows_per_file: int | None) -> Iterator[None]:
+    """Only partitions that get rows are replaced, whatever the session says; for the writes inside."""
+    settings = {"spark__sql__sources__partitionOverwriteMode": "dynamic"}
+    if rows_per_file:
+        settings["spark__sql__files__maxRecordsPerFile"] = str(rows_per_file)
+    with scoped_conf(spark, **settings):
+        yield
+
+
+def _checked_keys(spark: SparkSession, name: str) -> list[str]:
+    keys = partition_columns(spark, name)
+    if not keys:
+        raise ValueError(f"{name} is not partitioned: a dynamic overwrite would replace all of it")
+    return keys
+
+
+def overwrite_table_partitions(df: DataFrame, name: str, rows_per_file: int | None = None) -> DataFrame:
+    """Replace in a catalog table just the partitions that occur in ``df``; new ones are registered.
+
+    Columns are matched by name.  The rows are rebalanced by partition, so a hot partition
+    gets several tasks and a small one a single file.  A row written again replaces its
+    partition again: the write may be repeated after a failure.
+    """
+    spark = df.sparkSession
+    keys = _checked_keys(spark, name)
+    with _dynamic_overwrite(spark, rows_per_file):
+        _by_name(df, name).hint("rebalance", *keys).write.insertInto(name, overwrite=True)
+    return spark.table(name)
+
+
+def overwrite_table_partitions_sql(df: DataFrame, name: str, fixed: dict[str, str] | None = None, rows_per_file: int | None = None) -> DataFrame:
+    """The same as one ``INSERT OVERWRITE ... PARTITION (...)`` statement.
+
+    ``fixed`` gives the values of leading partition columns, which ``df`` then lacks: all
+    their partitions that get rows are replaced, and the others found from the rows.
+    """
+    spark = df.sparkSession
+    fixed = fixed or {}
+    keys = _checked_keys(spark, name)
+    if list(fixed) != keys[: len(fixed)]:
+        raise ValueError(f"{name} is partitioned by {keys}: values can be given to the first of these only")
+    columns = [c for c in spark.table(name).columns if c not in fixed]
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"{name} needs the columns {columns}, the rows have {df.columns}")
+    literal = {key: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for key, value in fixed.items()}
+    spec = ", ".join(f"`{key}` = {literal[key]}" if key in fixed else f"`{key}`" for key in keys)
+    open_keys = [f"`{key}`" for key in keys if key not in fixed]
+    hint = f"/*+ REBALANCE({', '.join(open_keys)}) */ " if open_keys else "/*+ REBALANCE */ "
+    shown = ", ".join(f"`{c}`" for c in columns)
+    with _dynamic_overwrite(spark, rows_per_file):
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {hint}{shown} FROM {{rows}}", rows=df)
+    return spark.table(name)
+
+
 def for_each_partition(
     df: DataFrame,
     opened: Callable[[], Any],

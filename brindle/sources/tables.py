@@ -44,10 +44,10 @@ def people(ids: DataFrame, prefix: str, seed: int, with_age: bool = True) -> Dat
     makes the same rows and no Python function takes part.  For a plain range pass
     ``spark.range(n)``.
     """
-    age = [bucket_of(F.col("id"), 100, seed).cast("int").alias("age")] if with_age else []
+    age = [bucket_of(F.col("id"), 100, seed, integral=True).cast("int").alias("age")] if with_age else []
     return ids.select(
         "id",
         F.concat(F.lit(prefix), F.col("id").cast("string")).alias("name"),
         *age,
-        bucket_of(F.col("id"), 100, seed + 1).cast("int").alias("partition"),
+        bucket_of(F.col("id"), 100, seed + 1, integral=True).cast("int").alias("partition"),
     )
