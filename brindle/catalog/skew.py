@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from brindle import datasets
 from brindle.catalog.joins import SALE_DETAIL_SQL
-from brindle.catalog.registry import query, with_ctes
-from brindle.functions import register_salt_functions
+from brindle.catalog.registry import query, sql_hash, with_ctes
+from brindle.functions import HASH_BITS, register_salt_functions
 from brindle.operators import sales
-from brindle.operators.skew import key_counts, salted_sum, top_keys_of_columns
+from brindle.operators.frequent import frequent_items
+from brindle.operators.skew import key_counts, salted_sum, top_keys, top_keys_of_columns
 
 JOIN_SALTS = 36
 SUM_SALTS = 6
@@ -35,50 +36,61 @@ def _probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SAMPLED = 0.4
-SIGMAS = 6
+_SPREAD = {"cart": ("orderid", "courseid", "cart_createtime"), "sale_course": ("courseid", "dt", "dn"), "pay": ("orderid", "dt")}
+
+
+def _sample_oracle(source: str, key: str) -> str:
+    spread = " || ':' || ".join(f"CAST({c} AS VARCHAR)" for c in _SPREAD[source])
+    return f"""
+    SELECT '{source}' AS source, '{key}' AS key_column, d.key, drawn,
+           CAST(floor(drawn / CAST({SAMPLED} AS DOUBLE)) AS BIGINT) AS estimate,
+           CAST(ceil(sqrt(drawn * CAST({1 - SAMPLED} AS DOUBLE)) / CAST({SAMPLED} AS DOUBLE)) AS BIGINT) AS error, cnt
+    FROM (SELECT {key} AS key, CAST(count(*) AS BIGINT) AS drawn FROM {source}
+          WHERE {sql_hash(spread, 1)} < {SAMPLED} * {2**HASH_BITS} GROUP BY {key} ORDER BY drawn DESC, key LIMIT 10) d
+    JOIN (SELECT {key} AS key, CAST(count(*) AS BIGINT) AS cnt FROM {source} GROUP BY {key}) c ON d.key IS NOT DISTINCT FROM c.key
+    """
+
+
+@query("key_skew_sample", with_ctes("cart sale_course pay", "UNION ALL".join(_sample_oracle(*probe) for probe in _PROBES)))
+def key_skew_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten keys a sample finds most frequent, with estimate and error, beside their exact counts."""
+    parts = []
+    for source, key in _PROBES:
+        table = getattr(datasets, source)(spark, sf_dir)
+        spread = F.concat_ws(":", *[F.col(c).cast("string") for c in _SPREAD[source]])
+        found = top_keys(table, key, 10, SAMPLED, spread).withColumnRenamed(key, "key")
+        exact = key_counts(table.select(key), key).withColumnRenamed(key, "counted")
+        # Ten rows.
+        held = exact.join(F.broadcast(found), F.col("key").eqNullSafe(F.col("counted"))).drop("counted")
+        parts.append(held.select(F.lit(source).alias("source"), F.lit(key).alias("key_column"), "key", "drawn", "estimate", "error", "cnt"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+ONE_IN = 2000
 
 
 @query(
-    "key_skew_sample",
+    "key_skew_summary",
     with_ctes(
         "cart sale_course pay",
         "UNION ALL".join(
             f"""
-            SELECT '{table}' AS source, '{key}' AS key_column, CAST(count(*) AS BIGINT) AS row_count,
-                   true AS share_holds, true AS estimate_holds FROM {table}
+            SELECT '{source}' AS source, '{key}' AS key_column, key, cnt, total AS row_count
+            FROM (SELECT {key} AS key, CAST(count(*) AS BIGINT) AS cnt, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM {source} GROUP BY {key})
+            WHERE cnt * {ONE_IN} > total
             """
-            for table, key in _PROBES
+            for source, key in _PROBES
         ),
     ),
 )
-def key_skew_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a sample of the keys tells what it should, for each table and key column.
-
-    The share drawn, and the count estimated for the key found hottest, are held
-    against the whole table within six standard deviations.
-    """
-    odds = (1 - SAMPLED) / SAMPLED
-    parts = []
-    for source, key in _PROBES:
-        keys = getattr(datasets, source)(spark, sf_dir).select(key)
-        drawn = key_counts(keys.sample(withReplacement=False, fraction=SAMPLED, seed=1), key).select(
-            F.col(key).alias("drawn_key"), F.col("cnt").alias("drawn")
-        )
-        held = key_counts(keys, key).join(drawn, F.col(key).eqNullSafe(F.col("drawn_key")), "left")
-        whole = held.agg(
-            F.sum("cnt").alias("row_count"), F.sum("drawn").alias("drawn"), F.max(F.struct("drawn", "cnt")).alias("hottest")
-        )
-        off_share = F.abs(F.col("drawn") - SAMPLED * F.col("row_count"))
-        off_key = F.abs(F.col("hottest.drawn") / SAMPLED - F.col("hottest.cnt"))
-        parts.append(
-            whole.select(
-                F.lit(source).alias("source"),
-                F.lit(key).alias("key_column"),
-                "row_count",
-                (off_share <= SIGMAS * F.sqrt(SAMPLED * (1 - SAMPLED) * F.col("row_count")) + 1).alias("share_holds"),
-                (off_key <= SIGMAS * F.sqrt(odds * F.col("hottest.cnt")) + SIGMAS).alias("estimate_holds"),
-            )
+def key_skew_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key that holds more than one row in 2000, found by a summary of bounded memory and counted after."""
+    parts = [
+        frequent_items(getattr(datasets, source)(spark, sf_dir), key, ONE_IN).select(
+            F.lit(source).alias("source"), F.lit(key).alias("key_column"), F.col("item").alias("key"), "cnt", F.col("rows").alias("row_count")
         )
+        for source, key in _PROBES
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import row_salt
+from brindle.operators.rows import sample_rows
 from brindle.plans import broadcast_if_small, materialize, measured_bytes
 
 TASK_BYTES = 64 * 1024 * 1024
@@ -23,12 +24,26 @@ def key_counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def top_keys(df: DataFrame, key: str, n: int = 10, fraction: float | None = None, seed: int = 1) -> DataFrame:
-    """The most frequent keys, exactly or in a sample of the key column."""
-    keys = df.select(key)
-    if fraction is not None:
-        keys = keys.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return key_counts(keys, key).orderBy(F.desc("cnt"), F.asc(key)).limit(n)
+def top_keys(df: DataFrame, key: str, n: int = 10, fraction: float | None = None, spread: Column | None = None, seed: int = 1) -> DataFrame:
+    """The ``n`` most frequent keys with their counts (``key, cnt``), or what a sample tells of them.
+
+    With ``fraction`` the rows whose hash of ``spread`` is low are counted (``drawn``); the
+    result also has the ``estimate`` for the whole table and its standard ``error``, in rows.
+    The hash, not the scan, decides what is drawn: a repeated run gives the same keys, and
+    rows equal in ``spread`` are drawn together.
+    """
+    if fraction is None:
+        return key_counts(df.select(key), key).orderBy(F.desc("cnt"), F.asc(key)).limit(n)
+    if spread is None:
+        raise ValueError("a sample needs columns to draw its rows by")
+    drawn = sample_rows(df.withColumn("_spread", spread), "_spread", fraction, seed)
+    counted = key_counts(drawn.select(key), key).withColumnRenamed("cnt", "drawn")
+    return counted.orderBy(F.desc("drawn"), F.asc(key)).limit(n).select(
+        key,
+        "drawn",
+        F.floor(F.col("drawn") / F.lit(fraction)).alias("estimate"),
+        F.ceil(F.sqrt(F.col("drawn") * F.lit(1 - fraction)) / F.lit(fraction)).alias("error"),
+    )
 
 
 def top_keys_of_columns(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:

@@ -124,8 +124,13 @@ def test_top_keys_exact_and_sampled(spark):
     assert [tuple(r) for r in skew.top_keys(df, "k", 2).collect()] == [(-1, 3334), (1, 1)]
     both = skew.top_keys_of_columns(df.withColumn("j", F.col("k") % 2), ["k", "j"], 2).collect()
     assert sorted(map(tuple, both)) == [("j", -1, 3334), ("j", 0, 3333), ("k", -1, 3334), ("k", 1, 1)]
-    sampled = skew.top_keys(df, "k", 1, fraction=0.4).first()
-    assert sampled["k"] == -1 and 1100 < sampled["cnt"] < 1600
+    numbered = df.withColumn("row", F.monotonically_increasing_id())
+    sampled = skew.top_keys(numbered, "k", 1, 0.4, F.col("row").cast("string")).first()
+    assert sampled["k"] == -1 and 1100 < sampled["drawn"] < 1600
+    assert sampled["estimate"] == int(sampled["drawn"] / 0.4) and abs(sampled["estimate"] - 3334) <= 4 * sampled["error"]
+    assert sampled == skew.top_keys(numbered.repartition(7), "k", 1, 0.4, F.col("row").cast("string")).first()
+    with pytest.raises(ValueError):
+        skew.top_keys(df, "k", 1, fraction=0.4)
 
 
 def test_sampled_detection_gives_the_same_join(spark, rows):
