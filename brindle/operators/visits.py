@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.operators.sets import distinct_rows
+from brindle.operators.states import States
 
 CLICK, ORDER, PAY = "click", "order", "pay"
 
@@ -39,13 +40,35 @@ def category_counts(actions: DataFrame) -> DataFrame:
     )
 
 
-def hot_categories(visits: DataFrame, n: int = 10, exclusive: bool = False) -> DataFrame:
+def hottest(counts: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` categories first by clicks, then orders, payments and id."""
-    return (
-        category_counts(category_actions(visits, exclusive))
-        .orderBy(F.desc("clicks"), F.desc("orders"), F.desc("pays"), F.asc("category_id"))
-        .limit(n)
+    return counts.orderBy(F.desc("clicks"), F.desc("orders"), F.desc("pays"), F.asc("category_id")).limit(n)
+
+
+def hot_categories(visits: DataFrame, n: int = 10, exclusive: bool = False) -> DataFrame:
+    """The ``n`` hottest categories of all visits."""
+    return hottest(category_counts(category_actions(visits, exclusive)), n)
+
+
+def category_measures(visits: DataFrame) -> DataFrame:
+    """One row per category a visit acts on, with its date and 1 under the kind of action: rows for ``category_states``."""
+    kinds = F.array(
+        *[
+            F.struct(ids.alias("ids"), *[F.lit(int(kind == name)).cast("bigint").alias(name) for name in ("clicks", "orders", "pays")])
+            for kind, ids in (
+                ("clicks", F.when(F.col("click_category_id").isNotNull(), F.array(F.col("click_category_id")))),
+                ("orders", F.col("order_category_ids")),
+                ("pays", F.col("pay_category_ids")),
+            )
+        ]
     )
+    by_kind = visits.select("date", F.explode(kinds).alias("k"))
+    return by_kind.select("date", F.explode("k.ids").alias("category_id"), "k.clicks", "k.orders", "k.pays")
+
+
+def category_states(spark: SparkSession, name: str) -> States:
+    """Clicks, orders and payments of each category and day, kept in a table; ``hottest(states.value())`` reads no visit."""
+    return States(spark, name, ("category_id",), "date", {"clicks": "sum", "orders": "sum", "pays": "sum"})
 
 
 def top_sessions(visits: DataFrame, categories: int = 10, sessions: int = 10, exclusive: bool = False) -> DataFrame:
