@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle import datasets
 from brindle.catalog.registry import query, with_ctes
 from brindle.operators import sales
-from brindle.operators.joins import left_join_hot_right, lookup
-from brindle.plans import broadcast_if_small, measured_bytes
-from brindle.plans.sizing import BROADCAST_LIMIT
+from brindle.operators.joins import dealt_together, filtered_join, key_join_sql, left_join_hot_right, lookup
+from brindle.plans import broadcast_if_small
 
 _DETAIL = """
     c.courseid, s.coursename, s.status, s.pointlistid, s.majorid, s.chapterid, s.chaptername, s.edusubjectid,
@@ -115,20 +114,10 @@ def course_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- SQL joins on one key --------------------------------------------------
 
-_PAIRS = """
-    SELECT {hint} sc.courseid AS course_id, csc.courseid AS cart_course_id
-    FROM {course} sc JOIN {cart} csc ON sc.courseid = csc.courseid
-"""
-_PAIRS_ORACLE = with_ctes("sale_course cart", _PAIRS.format(hint="", course="sale_course", cart="cart"))
-
-
-def hinted_pairs(spark: SparkSession, course: DataFrame, cart: DataFrame, hint: str) -> DataFrame:
-    """Course and cart by course id; the course side is broadcast by ``hint`` when
-    it measures small, and joined by a shuffle when it does not.
-    """
-    small = bool(hint) and measured_bytes(course) <= BROADCAST_LIMIT
-    text = _PAIRS.replace("{hint}", f"/*+ {hint}(sc) */" if small else "")
-    return spark.sql(text, course=course, cart=cart)
+_SOLD_SQL = with_ctes(
+    "sale_course cart",
+    "SELECT o.courseid AS offered, s.courseid AS sold FROM sale_course AS o, cart AS s WHERE o.courseid = s.courseid",
+)
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -136,29 +125,34 @@ def _ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return course.select("courseid"), cart.select("courseid")
 
 
-@query("inner_join_sql", _PAIRS_ORACLE)
+def _sold(spark: SparkSession, sf_dir: str, hint: str | None) -> DataFrame:
+    offers, sales_of = _ids(spark, sf_dir)
+    return key_join_sql(offers.toDF("offered"), sales_of.toDF("sold"), {"offered": "sold"}, hint)
+
+
+@query("inner_join_sql", _SOLD_SQL)
 def inner_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hinted_pairs(spark, *_ids(spark, sf_dir), hint="")
+    return _sold(spark, sf_dir, None)
 
 
-@query("hint_join", _PAIRS_ORACLE)
+@query("hint_join", _SOLD_SQL)
 def hint_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hinted_pairs(spark, *_ids(spark, sf_dir), hint="BROADCAST")
+    return _sold(spark, sf_dir, "BROADCAST")
 
 
-@query("hint_join_broadcastjoin", _PAIRS_ORACLE)
+@query("hint_join_broadcastjoin", _SOLD_SQL)
 def hint_join_broadcastjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hinted_pairs(spark, *_ids(spark, sf_dir), hint="BROADCASTJOIN")
+    return _sold(spark, sf_dir, "BROADCASTJOIN")
 
 
-@query("hint_join_mapjoin", _PAIRS_ORACLE)
+@query("hint_join_mapjoin", _SOLD_SQL)
 def hint_join_mapjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hinted_pairs(spark, *_ids(spark, sf_dir), hint="MAPJOIN")
+    return _sold(spark, sf_dir, "MAPJOIN")
 
 
 @query(
     "hint_join_api",
-    with_ctes("sale_course cart", "SELECT sc.courseid FROM sale_course sc JOIN cart csc ON sc.courseid = csc.courseid"),
+    with_ctes("sale_course cart", "SELECT courseid FROM sale_course JOIN cart USING (courseid)"),
 )
 def hint_join_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     course, cart = _ids(spark, sf_dir)
@@ -270,3 +264,59 @@ def range_right_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, cart, pay = _star(spark, sf_dir)
     paid = pay.filter(F.col("orderid").cast("string").between(LOW, HIGH)).drop("dt", "dn")
     return paid.join(cart.drop("coursename"), "orderid", "right")
+
+
+# ---- join against a selective side -----------------------------------------
+
+PENDING = "P"
+
+
+def pending_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All line items, and the few orders still pending."""
+    lines = datasets.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderid"), "l_linenumber", "l_extendedprice")
+    orders = datasets.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == PENDING)
+    return lines, orders.select(F.col("o_orderkey").alias("orderid"), "o_custkey", "o_totalprice")
+
+
+@query(
+    "bloom_filtered_join",
+    f"""
+    SELECT l_orderkey AS orderid, l_linenumber, l_extendedprice, o_custkey, o_totalprice
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = '{PENDING}'
+    """,
+)
+def bloom_filtered_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of pending orders; a Bloom filter of the orders stands at the scan of the items.
+
+    The pending orders are taken for too many to broadcast, whatever their size.
+    """
+    return filtered_join(*pending_sides(spark, sf_dir), ["orderid"], broadcast_limit=-1)
+
+
+# ---- one exchange for several operations -----------------------------------
+
+
+@query(
+    "dealt_once",
+    with_ctes(
+        "cart pay",
+        """
+        SELECT orderid, CAST(count(*) AS BIGINT) AS items, CAST(sum(sellmoney) AS DECIMAL(38,2)) AS sold,
+               CAST(max(place) AS INTEGER) AS dearest_place, paymoney
+        FROM (
+            SELECT c.orderid, sellmoney, rank() OVER (PARTITION BY c.orderid ORDER BY sellmoney DESC) AS place, paymoney
+            FROM cart c JOIN pay p ON c.orderid = p.orderid
+        )
+        GROUP BY orderid, paymoney
+        """,
+    ),
+)
+def dealt_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A join, a window and a sum on the order, for which each table is shuffled once."""
+    _, cart, pay = _star(spark, sf_dir)
+    cart, pay = dealt_together(["orderid"], cart.select("orderid", "sellmoney"), pay.select("orderid", "paymoney"))
+    dearest_first = Window.partitionBy("orderid").orderBy(F.desc("sellmoney"))
+    ranked = cart.withColumn("place", F.rank().over(dearest_first)).join(pay, "orderid")
+    return ranked.groupBy("orderid", "paymoney").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("sellmoney").cast("decimal(38,2)").alias("sold"), F.max("place").alias("dearest_place")
+    )

@@ -2,20 +2,24 @@
 
 Inner joins and joins whose preserved side holds the hot key are left to Spark:
 adaptive execution splits that side.  It cannot split the other side of an outer
-join, and ``left_join_hot_right`` is for that case.
+join, and ``left_join_hot_right`` is for that case.  ``filtered_join`` keeps large rows
+that cannot match out of the shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
+from math import ceil, log
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.operators.skew import HotKeys, salted_left_join, split_hot
-from brindle.plans import broadcast_if_small
+from brindle.plans import broadcast_if_small, materialize, measured_bytes, scoped_conf
+from brindle.plans.sizing import BROADCAST_LIMIT
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, value: str, default: object) -> DataFrame:
@@ -68,3 +72,98 @@ def bucketed_left_join(common: DataFrame, apart: DataFrame, dim: DataFrame, hot:
         return joined
     _, wanted = split_hot(dim, hot)
     return joined.unionByName(salted_left_join(apart, wanted, hot, spread))
+
+
+def key_join_sql(left: DataFrame, right: DataFrame, keys: Mapping[str, str], hint: str | None = None) -> DataFrame:
+    """All columns of two frames joined by one statement; ``keys`` maps a key of the left to that of the right.
+
+    ``hint`` is a strategy for the left side (``BROADCAST``, ``MERGE`` and so on).  One that
+    would broadcast is left out when that side measures large: the join is shuffled then.
+    """
+    if hint and hint.upper() in BROADCAST_HINTS and measured_bytes(left) > BROADCAST_LIMIT:
+        hint = None
+    marked = f"/*+ {hint}(first_side) */ " if hint else ""
+    condition = " AND ".join(f"first_side.`{one}` = second_side.`{other}`" for one, other in keys.items())
+    statement = f"SELECT {marked}* FROM {{left}} AS first_side INNER JOIN {{right}} AS second_side ON {condition}"
+    return left.sparkSession.sql(statement, left=left, right=right)
+
+
+BROADCAST_HINTS = frozenset(("BROADCAST", "BROADCASTJOIN", "MAPJOIN"))
+FILTER_KEYS = 32_000_000  # keys of a filter, at most: 38 MB at one false hit in a hundred
+FALSE_HITS = 0.01
+
+
+def filter_bits(keys: int, false_hits: float = FALSE_HITS) -> int:
+    """Bits of a Bloom filter that lets ``false_hits`` of the other keys through."""
+    return max(64, ceil(-keys * log(false_hits) / log(2) ** 2))
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession, keys: int, scan_bytes: int = 0) -> Iterator[SparkSession]:
+    """Plans made inside filter the scan of a shuffled join's large side by a Bloom filter of the other side's keys.
+
+    The other side must have a predicate that may be selective.  ``keys`` sizes the filter;
+    sides scanning less than ``scan_bytes`` are left alone.
+    """
+    bits = filter_bits(keys)
+    with scoped_conf(
+        spark,
+        spark__sql__optimizer__runtime__bloomFilter__enabled="true",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold=str(scan_bytes),
+        # The keys were counted, so the estimated size of their source says nothing more.
+        spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold=str(1 << 60),
+        spark__sql__optimizer__runtime__bloomFilter__expectedNumItems=str(keys),
+        spark__sql__optimizer__runtime__bloomFilter__maxNumItems=str(max(keys, 4_000_000)),
+        spark__sql__optimizer__runtime__bloomFilter__numBits=str(bits),
+        spark__sql__optimizer__runtime__bloomFilter__maxNumBits=str(max(bits, 1 << 26)),
+        spark__sql__autoBroadcastJoinThreshold="-1",
+    ):
+        yield spark
+
+
+def filtered_join(
+    large: DataFrame, selective: DataFrame, keys: Sequence[str], broadcast_limit: int = BROADCAST_LIMIT, most_keys: int = FILTER_KEYS
+) -> DataFrame:
+    """``large JOIN selective USING (keys)`` where few rows of ``large`` have a partner.
+
+    A small selective side is broadcast.  One too large for that gives a Bloom filter of its
+    first key, if it has at most ``most_keys`` of them: rows of ``large`` it rules out leave
+    the plan at the scan and never reach the shuffle.  Beyond that the join is a plain
+    one.  The filtered join is written out, as its plan must be made under these settings.
+    """
+    keys = list(keys)
+    if measured_bytes(selective) <= broadcast_limit:
+        return large.join(F.broadcast(selective), keys)
+    known = selective.agg(F.approx_count_distinct(keys[0], 0.02)).first()[0]
+    if known > most_keys:
+        return large.join(selective, keys)
+    with runtime_filters(large.sparkSession, max(1, ceil(known * 1.1))):
+        return materialize(large.join(selective, keys), "filtered-join")
+
+
+def dealt_together(keys: Sequence[str], *sides: DataFrame, partitions: int | None = None) -> list[DataFrame]:
+    """Each side dealt out once by a hash of the keys, into the same number of partitions.
+
+    Joins, sums and windows on these keys then need no further exchange, on one side or
+    between them.  Rows of a key share a task: keys too frequent for that are found by
+    ``find_hot_keys`` and set apart by ``split_hot`` beforehand.
+    """
+    count = partitions or int(sides[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [side.repartition(count, *keys) for side in sides]
+
+
+@contextmanager
+def coalesced_buckets(spark: SparkSession, most: int = 4) -> Iterator[SparkSession]:
+    """Plans made inside join tables of unequal bucket counts without an exchange.
+
+    The larger number of buckets must be the smaller one's multiple, by at most ``most``: that
+    many buckets are read by one task.
+    """
+    with scoped_conf(
+        spark,
+        spark__sql__bucketing__coalesceBucketsInJoin__enabled="true",
+        spark__sql__bucketing__coalesceBucketsInJoin__maxBucketRatio=str(most),
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__sources__bucketing__autoBucketedScan__enabled="false",
+    ):
+        yield spark

@@ -6,10 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle import datasets
-from brindle.catalog import all_queries, joins, layout
+from brindle.catalog import all_queries, joins, layout, metrics
 from brindle.operators import aggregates, sets
+from brindle.operators import joins as join_operators
 from brindle.operators import profile
-from brindle.plans import broadcast_if_small, executed_plan, measured_bytes, plan_text, scoped_conf
+from brindle.operators.joins import coalesced_buckets, filter_bits, filtered_join, runtime_filters
+from brindle.plans import broadcast_if_small, executed_plan, measured_bytes, plan_text, scoped_conf, shared_dir, table_name
+from brindle.sinks import replace_table
 
 QUERIES = all_queries()
 STATIC = {"spark__sql__adaptive__enabled": "false"}
@@ -82,8 +85,11 @@ def test_pages_of_a_group_are_shuffled_apart(spark, sf_dir):
 
 
 def test_profile_reads_a_table_once(spark, sf_dir):
-    plan = static_plan(spark, lambda: profile.column_profile(datasets.cart(spark, sf_dir), ["courseid", "orderid", "dt"]))
-    assert plan.count("FileScan") == 1 and "Expand" in plan
+    """One scan for the columns of each type, folded counts, and no row once per column through the shuffle."""
+    plan = static_plan(spark, lambda: profile.column_profile(datasets.cart(spark, sf_dir), ["courseid", "orderid"]))
+    assert plan.count("FileScan") == 1 and "Expand" not in plan and "partial_count" in plan
+    mixed = static_plan(spark, lambda: profile.column_profile(datasets.cart(spark, sf_dir), ["courseid", "orderid", "dt", "dn"]))
+    assert mixed.count("FileScan") == 2
 
 
 def test_column_pruning(spark, sf_dir):
@@ -123,10 +129,9 @@ def test_without_auto_broadcast_the_join_is_a_merge(spark, sf_dir):
 
 @pytest.mark.parametrize("hint", ["BROADCAST", "BROADCASTJOIN", "MAPJOIN"])
 def test_hints_broadcast_a_side_of_checked_size_only(spark, sf_dir, monkeypatch, hint):
-    course, cart = joins._ids(spark, sf_dir)
-    make = lambda: joins.hinted_pairs(spark, course, cart, hint)
+    make = lambda: joins._sold(spark, sf_dir, hint)
     assert "BroadcastHashJoin" in static_plan(spark, make, **NO_BROADCAST)
-    monkeypatch.setattr(joins, "BROADCAST_LIMIT", 100)
+    monkeypatch.setattr(join_operators, "BROADCAST_LIMIT", 100)
     assert "SortMergeJoin" in static_plan(spark, make, **NO_BROADCAST)
 
 
@@ -195,3 +200,123 @@ def test_cogroup_needs_no_cache(spark, sf_dir):
     with aggregates.reused(datasets.visits(spark, sf_dir)) as kept:
         assert "InMemoryTableScan" in plan_text(kept.select(F.count("user_id")), "simple")
     assert "InMemoryTableScan" not in plan_text(QUERIES["cogroup_counts"](spark, sf_dir), "simple")
+
+
+def _nodes(node):
+    """All nodes of an executed plan, query stages opened."""
+    yield node
+    for name in ("executedPlan", "plan"):
+        if node.nodeName() in ("AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage") and hasattr(node, name):
+            try:
+                yield from _nodes(getattr(node, name)())
+                return
+            except Exception:  # the other name
+                continue
+    children = node.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def rows_into_exchanges(df):
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return [node.metrics().apply("shuffleRecordsWritten").value() for node in _nodes(execution.executedPlan()) if node.nodeName() == "Exchange"]
+
+
+def test_bloom_filter_keeps_rows_out_of_the_exchange(spark, sf_dir):
+    large, selective = joins.pending_sides(spark, sf_dir)
+    with runtime_filters(spark, selective.count()):
+        filtered = large.join(selective, "orderid")
+        assert "might_contain" in plan_text(filtered) and "bloom_filter_agg" in plan_text(filtered)
+        few = rows_into_exchanges(filtered)
+    with scoped_conf(spark, **NO_BROADCAST):
+        plain = large.join(selective, "orderid")
+        assert "might_contain" not in plan_text(plain)
+        all_rows = rows_into_exchanges(plain)
+    matched = plain.count()
+    assert max(all_rows) == large.count()
+    # All rows with a partner, and hardly any other.
+    assert matched <= max(few) <= 1.05 * matched < 0.5 * max(all_rows), (few, all_rows)
+    assert sorted(map(tuple, filtered.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_filtered_join_chooses_by_size(spark, sf_dir):
+    large, selective = joins.pending_sides(spark, sf_dir)
+    assert "BroadcastHashJoin" in plan_text(filtered_join(large, selective, ["orderid"]))
+    too_many = plan_text(filtered_join(large, selective, ["orderid"], broadcast_limit=-1, most_keys=0))
+    assert "might_contain" not in too_many and "Join" in too_many
+    assert filter_bits(1_000_000) == 9_585_059
+
+
+def _join_order(df):
+    """The tables below the innermost join of the optimized plan."""
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    lines = text.split("\n")
+    deepest = max((i for i, line in enumerate(lines) if "Join Inner" in line), key=lambda i: lines[i].index("Join"))
+    depth = lines[deepest].index("Join")
+    below = [line for line in lines[deepest + 1 :] if len(line) - len(line.lstrip(" :+-")) > depth]
+    return {name for line in below for name in re.findall(r"brindle_(lineitem|orders|part)_", line)}
+
+
+def test_statistics_change_the_order_of_joins(spark, sf_dir):
+    names = metrics.star_tables(spark, sf_dir)
+    with profile.cost_based(spark, enabled=False):
+        plain = metrics.star_join(spark, *names)
+        assert _join_order(plain) == {"lineitem", "orders"}
+    with profile.cost_based(spark):
+        ordered = metrics.star_join(spark, *names)
+        assert _join_order(ordered) == {"lineitem", "part"}
+        assert sorted(map(tuple, ordered.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_histograms_tell_uneven_ranges(spark):
+    """One value in a thousand is large: a histogram shows it, least and largest value do not."""
+    name = table_name("uneven")
+    rows = spark.range(10_000).selectExpr("id", "IF(id % 1000 = 0, 1000000 + id, id % 10) AS v")
+    replace_table(rows, name, shared_dir(spark, "uneven"))
+    estimates = []
+    for bins in (0, 50):
+        profile.analyze(spark, name, ["id", "v"], bins)
+        with profile.cost_based(spark):
+            plan = spark.table(name).where("v < 500000")._jdf.queryExecution().optimizedPlan()
+            estimates.append(int(str(plan.stats().rowCount().get())))
+    assert estimates[0] < 6_000 and estimates[1] > 9_000, estimates
+
+
+def test_one_exchange_per_input(spark, sf_dir):
+    plan = static_plan(spark, lambda: QUERIES["dealt_once"](spark, sf_dir), **NO_BROADCAST)
+    assert exchanges(plan) == 2 and plan.count("REPARTITION_BY_NUM") == 2 and "Window" in plan and "Join" in plan
+
+
+def test_unequal_buckets_join_without_exchange(spark, sf_dir):
+    names = layout.unequal_tables(spark, sf_dir)
+    with coalesced_buckets(spark):
+        plan = static_plan(spark, lambda: layout.unequal_join(spark, *names), "formatted", **NO_BROADCAST)
+        assert "Exchange" not in plan and "Coalesced to 5" in plan
+    with scoped_conf(spark, spark__sql__bucketing__coalesceBucketsInJoin__enabled="false"):
+        plan = static_plan(spark, lambda: layout.unequal_join(spark, *names), **NO_BROADCAST)
+        assert exchanges(plan) == 1
+
+
+def test_reuse_reads_the_cache_and_lets_it_go(spark, sf_dir):
+    items = datasets.table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 25).select("l_partkey", "l_linestatus")
+    storage = spark.sparkContext._jsc.sc().getRDDStorageInfo
+    before = len(storage())
+    with aggregates.reused(items.repartitionByRange("l_partkey").sortWithinPartitions("l_partkey")) as kept:
+        plan = plan_text(metrics.reused_parts(kept))
+        assert plan.count("InMemoryTableScan") >= 2 and "l_partkey#" in plan
+        metrics.reused_parts(kept).collect()
+        assert len(storage()) == before + 1
+    assert len(storage()) == before
+
+
+def test_cache_skips_batches_by_their_range(spark):
+    with scoped_conf(spark, spark__sql__inMemoryColumnarStorage__batchSize="100"):
+        with aggregates.reused(spark.range(0, 10_000, 1, 4)) as kept:
+            kept.count()
+            few = kept.where("id < 150")
+            assert few.count() == 150
+            execution = few._jdf.queryExecution()
+            execution.toRdd().count()
+            scan = next(node for node in _nodes(execution.executedPlan()) if node.nodeName() == "InMemoryTableScan")
+            assert scan.metrics().apply("numOutputRows").value() <= 300
