@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle import datasets
-from brindle.catalog.registry import query, sql_bucket, sql_hash
+from brindle.catalog.registry import query, sql_bucket, sql_integer_hash
 from brindle.functions import HASH_BITS
 from brindle.operators import aggregates, ordering, rows, sets
 from brindle.plans import shared_dir
@@ -282,7 +282,7 @@ FRACTION, SEED = 0.4, 1
 
 @query(
     "sample_rows",
-    f"SELECT o_orderkey, o_custkey FROM orders WHERE {sql_hash('o_orderkey', SEED)} < {FRACTION} * 2.0::DOUBLE ** {HASH_BITS}",
+    f"SELECT o_orderkey, o_custkey FROM orders WHERE {sql_integer_hash('o_orderkey', SEED)} < {FRACTION} * 2.0::DOUBLE ** {HASH_BITS}",
 )
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = datasets.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

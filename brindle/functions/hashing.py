@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_BITS = 52  # exact in a double
+_WORD = (1 << 32) - 1
+_FACTOR = 0x45D9F3B  # odd, below 2^31
 
 
 def seeded_hash(value: Column, seed: int = 0) -> Column:
@@ -21,7 +23,39 @@ def seeded_hash(value: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
-def bucket_of(value: Column, buckets: int | Column, seed: int = 0) -> Column:
-    """Bucket in ``0 .. buckets-1``; NULL goes to bucket 0."""
+def _shifted(word: Column) -> Column:
+    return word.bitwiseXOR(F.shiftright(word, 16))
+
+
+def _lane(low: Column, high: Column, salt: int) -> Column:
+    """32 mixed bits of the two halves of a number, by multiplications that stay below 2^63."""
+    word = (low + F.lit(salt)).bitwiseAND(_WORD)
+    for half in (None, high):
+        word = _shifted(word if half is None else word.bitwiseXOR(half)) * F.lit(_FACTOR)
+        word = _shifted(word.bitwiseAND(_WORD)) * F.lit(_FACTOR)
+        word = word.bitwiseAND(_WORD)
+    return _shifted(word)
+
+
+def lane_salts(seed: int) -> tuple[int, int]:
+    """What the two lanes of a seed start from."""
+    return tuple((2 * seed + lane + 1) * 0x9E3779B1 % (1 << 32) for lane in (0, 1))
+
+
+def integer_hash(value: Column, seed: int = 0) -> Column:
+    """Hash in ``0 .. 2^52-1`` of a whole number (NULL as 0), by integer arithmetic alone.
+
+    Several times as fast as ``seeded_hash``, and as easy to reproduce: two lanes of 32
+    bits that multiply, shift and xor.
+    """
+    number = F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+    low, high = number.bitwiseAND(_WORD), F.shiftright(number, 32).bitwiseAND(_WORD)
+    first, second = (_lane(low, high, salt) for salt in lane_salts(seed))
+    return first * F.lit(1 << (HASH_BITS - 32)) + F.shiftright(second, 64 - HASH_BITS)
+
+
+def bucket_of(value: Column, buckets: int | Column, seed: int = 0, integral: bool = False) -> Column:
+    """Bucket in ``0 .. buckets-1``; NULL goes to bucket 0.  ``integral`` says that the value is a whole number."""
     width = F.lit(buckets) if isinstance(buckets, int) else buckets
-    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(seeded_hash(value, seed) % width.cast("bigint"))
+    hashed = integer_hash(value, seed) if integral else seeded_hash(value, seed)
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(hashed % width.cast("bigint"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.functions import HASH_BITS, bucket_of, row_salt, seeded_hash, tokens
+from brindle.functions import HASH_BITS, bucket_of, integer_hash, row_salt, seeded_hash, tokens
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -39,17 +39,21 @@ def map_partitions(
     return df.mapInArrow(fn, schema)
 
 
+def _is_integral(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
 def tag_bucket(df: DataFrame, key: str, buckets: int, name: str = "bucket") -> DataFrame:
     """Add an explicit bucket number, by a hash of the key.
 
     Physical partition numbers change with every plan; results that depend on "the
     partition" use this column instead.
     """
-    return df.withColumn(name, bucket_of(F.col(key), buckets))
+    return df.withColumn(name, bucket_of(F.col(key), buckets, integral=_is_integral(df, key)))
 
 
 def only_bucket(df: DataFrame, key: str, buckets: int, wanted: int) -> DataFrame:
-    return df.filter(bucket_of(F.col(key), buckets) == wanted)
+    return df.filter(bucket_of(F.col(key), buckets, integral=_is_integral(df, key)) == wanted)
 
 
 def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 1) -> DataFrame:
@@ -61,7 +65,8 @@ def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 1) -> Data
     """
     if not 0 <= fraction <= 1:
         raise ValueError("the fraction must be between 0 and 1")
-    return df.filter(seeded_hash(F.col(key), seed) < F.lit(fraction * 2.0**HASH_BITS))
+    hashed = integer_hash(F.col(key), seed) if _is_integral(df, key) else seeded_hash(F.col(key), seed)
+    return df.filter(hashed < F.lit(fraction * 2.0**HASH_BITS))
 
 
 def route_rows(df: DataFrame, route: Column, routes: int, spread: Column, fan_out: int | None = None) -> DataFrame:

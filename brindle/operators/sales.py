@@ -61,12 +61,13 @@ def salted_sale_detail(course: DataFrame, cart: DataFrame, pay: DataFrame, row_i
     )
 
 
-def course_sales(course: DataFrame, cart: DataFrame, pay: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def course_sales(course: DataFrame, cart: DataFrame, pay: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Every course with its cart rows and their payments, joined by id alone.
 
     Courses without a cart row stay.  Day and site are the course's.  Only where a
-    course has ``hot_rows`` cart rows or more, which one task of an outer join would have
-    to take, are matched and unmatched courses computed apart.
+    course has ``hot_rows`` cart rows or more (by default what fills a task, by their measured
+    width), which one task of an outer join would have to take, are matched and unmatched
+    courses computed apart.
     """
     paid = cart.drop("coursename", "dt", "dn").join(pay.drop("dt", "dn"), "orderid", "left")
     if find_hot_keys(cart, ["courseid"], rows_per_task=hot_rows):
