@@ -18,8 +18,8 @@ bound); extraction reads every page, whole.
 
 Defined results: a null or empty page, or one without words, has empty text; an element,
 tag or quoted value that is never closed ends with the page; tags are read in time linear
-in the page, however malformed; inside ``<article>`` and ``<main>`` no tag costs more than a
-tag of running text, so tables and listings there are kept whole; a region of equal score that comes first wins;
+in the page, however malformed; inside ``<article>`` and ``<main>`` a tag costs next to nothing,
+so tables, listings and lists of links there are kept whole; a region of equal score that comes first wins;
 without labelled pages the prior weights stand; repeated rows are extracted alike; other
 columns are ignored.
 """
@@ -39,6 +39,7 @@ from brindle.llm.common import column, table
 
 SAMPLE = 2_000
 TAG_COST = 0.2
+MARKED_COST = 0.05
 TAG_RANGE = 12.0
 LEARNED_SHARE = 0.95
 LEARNED_SUPPORT = 20
@@ -211,7 +212,9 @@ class Weights:
         return words * self.word.get(sign, 0.5)
 
     def of_tag(self, sign: str, name: str, marked: bool = False) -> float:
-        if name in LABELS or marked:  # what stands inside marked content is not cut for its tags
+        if marked:  # what stands inside marked content is not cut for its tags
+            return -MARKED_COST
+        if name in LABELS:
             return -TAG_COST
         unseen = -TAG_COST if name in TEXT_TAGS else -TAG_COST - TAG_RANGE / 2 if " " in sign else -1.0
         return self.tag.get(sign, self.tag.get(name, unseen) if name in TEXT_TAGS else unseen)

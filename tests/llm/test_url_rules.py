@@ -184,7 +184,7 @@ def test_oracle_over_all_tokens(spark, made):
 
 def parallel_corpus(names):
     """Blocked URLs with all query names but one each; allowed ones have none of them."""
-    urls = [(i, f"https://h{i}.org/p?" + "&".join(f"k{n}=1" for n in range(names) if n != i % names)) for i in range(120)]
+    urls = [(i, f"https://h{i}.org/p?" + "&".join(f"k{n}=y" for n in range(names) if n != i % names)) for i in range(120)]
     urls += [(200 + i, f"https://g{i}.org/p?other={i}") for i in range(120)] + [(500, "http://x.org/?k3=2"), (501, "http://x.org/?k=2")]
     labels = [(i, 0, 0) for i in range(120)] + [(200 + i, 1, 0) for i in range(120)]
     return urls, labels
