@@ -53,9 +53,9 @@ class _Places(dict):
 class Words:
     """Ids of words, one after the other in an array, and where each word's ids lie."""
 
-    def __init__(self) -> None:
+    def __init__(self, kind: type = np.int32) -> None:
         self.places = _Places()
-        self.flat, self.starts, self.used = np.zeros(1 << 16, np.int32), np.zeros((1 << 16) + 1, np.int64), 0
+        self.flat, self.starts, self.used = np.zeros(1 << 16, kind), np.zeros((1 << 16) + 1, np.int64), 0
         self.filled = 0
 
     def places_of(self, words: list[str]) -> np.ndarray:

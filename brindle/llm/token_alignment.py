@@ -9,6 +9,12 @@ two lists of token ends.  A step compares all pairs of ends, emits the groups th
 advances the side (or both) whose token ends first, and leaves out what is finished.  Long
 texts enter as several entries, parted at cuts, so that a batch ends together.
 
+Neither tokenizer has a token over a blank and what stands before it, so in texts of single
+blanks and line breaks, Latin letters and usual marks every word ends in a cut.  Such texts
+enter as their words: a word new to the Python worker is encoded and merged with all other
+new ones of the batch, and its groups and links are remembered.  Other texts are encoded
+and merged whole, as are all if the vocabulary has tokens over blanks.
+
 The number of documents that hold an id pair linked is a count over the distinct pairs of
 each document, combined before its shuffle.  It meets the documents by a broadcast where
 its size allows, and by a join otherwise.
@@ -23,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -36,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from brindle.llm.common import column, slices, table
+from brindle.llm.common import Words, column, slices, table
 from brindle.plans.sizing import broadcast_if_small
 from brindle.plans.workspace import materialize
 
@@ -45,6 +52,13 @@ MODEL_B = "piece_bpe_32k.model"
 ENTRY = 512  # A tokens of an entry of the state vector, about
 _PROBE = 64  # A tokens looked through for a cut to part a text at
 _WIDE = 1 << 12  # links of a group from which its ids are folded before they are paired
+_REMEMBERED = 150_000  # words a Python worker keeps; beyond it the memory starts anew
+
+# Texts that are not blanks and words alone: other letters and marks, two blanks together or
+# one at the end, and words of great length, which are not worth remembering.
+_OTHER = re.compile("[^\n -~À-ÖØ-öø-ÿ‐-‧]|[ \n](?:[ \n]|\\Z)|[^ \n]{100}")
+_WORD = re.compile("[ \n][^ \n]*")
+_OVER_BLANK = re.compile(rb"(?:[!-~]|\xc3[\x80-\xbf]|\xe2\x80[\x90-\xa7])[ \n]")  # a blank after a letter or mark of such texts
 
 ALIGNED = (
     "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string,"
@@ -79,26 +93,33 @@ class Tokens:
         ids = [b"%d" % i for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         self.shown = [one + mark for mark in (b",", b"|", b";") for one in ids]
         self.stride = len(ids)
+        self.by_word = not any(_OVER_BLANK.search(one) for one in (*self.bytes_a, *self.bytes_b))
+        self.words = WordLinks(self)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
+    def _spelt(self, first: list[int], second: list[int], text: str) -> bool:
+        want = text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, first)) == want == b"".join(map(self.bytes_b.__getitem__, second))
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """The ids of each text by both; none where the tokens do not spell a blank and the text."""
-        spaced = [" " + text for text in texts]
-        first = [made.ids for made in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        first = [made.ids for made in self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
         second = self.b.encode(texts, num_threads=1)
-        for i, text in enumerate(spaced):
-            want = text.encode()
-            if (
-                not texts[i]
-                or b"".join(map(self.bytes_a.__getitem__, first[i])) != want
-                or b"".join(map(self.bytes_b.__getitem__, second[i])) != want
-            ):
+        for i, text in enumerate(texts):
+            if not text or not self._spelt(first[i], second[i], " " + text):
                 first[i], second[i] = [], []
         return first, second
 
+    def encode_words(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of words, each with the blank or line break before it."""
+        first = [made.ids for made in self.a.encode_batch_fast(words, add_special_tokens=False)]
+        # The model puts a blank before what it reads: it stands for the one there, and goes before a line break.
+        second = self.b.encode([word.removeprefix(" ") for word in words], num_threads=1)
+        return first, [ids if word[0] == " " else ids[1:] for word, ids in zip(words, second)]
+
 
 @dataclass
 class Side:
@@ -120,24 +141,17 @@ class Side:
 
 def entries(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the entries of the state vector begin on both sides, and where they end on side A."""
-    begin_a, begin_b, end_a = [], [], []
-    for text in range(a.first.size - 1):
-        low, high, low_b, high_b = a.first[text], a.first[text + 1], b.first[text], b.first[text + 1]
-        if low == high:
-            continue
-        ends_b = b.ends[low_b:high_b]
-        begin_a.append(low)
-        begin_b.append(low_b)
-        for probe in range(low + ENTRY, high - _PROBE, ENTRY):
+    low_a, high_a, low_b = a.first[:-1], a.first[1:], b.first[:-1]
+    parts = [(low_a[low_a < high_a], low_b[low_a < high_a])]
+    for text in np.flatnonzero(high_a - low_a > ENTRY + _PROBE):
+        ends_b = b.ends[low_b[text] : b.first[text + 1]]
+        for probe in range(low_a[text] + ENTRY, high_a[text] - _PROBE, ENTRY):
             looked = a.ends[probe : probe + _PROBE]
             place = np.searchsorted(ends_b, looked)
-            shared = np.flatnonzero(ends_b[place] == looked)
-            if shared.size:
-                end_a.append(probe + shared[0] + 1)
-                begin_a.append(end_a[-1])
-                begin_b.append(low_b + place[shared[0]] + 1)
-        end_a.append(high)
-    return np.array(begin_a, np.int64), np.array(begin_b, np.int64), np.array(end_a, np.int64)
+            shared = np.flatnonzero(ends_b[place] == looked)[:1]
+            parts.append((probe + shared + 1, low_b[text] + place[shared] + 1))
+    begin_a, begin_b = (np.sort(np.concatenate(side)) for side in zip(*parts))
+    return begin_a, begin_b, np.concatenate([begin_a[1:], a.first[-1:]])[: begin_a.size]
 
 
 def groups(a: Side, b: Side) -> np.ndarray:
@@ -193,8 +207,8 @@ def linked(found: np.ndarray, a: Side, b: Side, size_a: int, size_b: int) -> tup
     return text, pair, times
 
 
-def digests(found: np.ndarray, a: Side, b: Side, tokens: Tokens) -> list[str]:
-    """The digest of each text's groups; an empty one without tokens."""
+def shown_groups(found: np.ndarray, a: Side, b: Side, tokens: Tokens) -> list[bytes]:
+    """The groups of each text as in its digest, each followed by ``;``."""
     (begin_a, end_a, begin_b, end_b), stride = found.T, tokens.stride
     marked_a, marked_b = a.ids.copy(), b.ids.copy()
     marked_a[end_a - 1] += stride
@@ -206,13 +220,100 @@ def digests(found: np.ndarray, a: Side, b: Side, tokens: Tokens) -> list[str]:
     order[np.arange(b.ids.size) + end_a[owner_b]] = marked_b
     limits = (a.first + b.first).tolist()
     shown, codes = tokens.shown, order.tolist()
-    return [
-        hashlib.sha256(b"".join(map(shown.__getitem__, codes[low:high]))[:-1]).hexdigest() if low < high else ""
-        for low, high in zip(limits, limits[1:])
-    ]
+    return [b"".join(map(shown.__getitem__, codes[low:high])) for low, high in zip(limits, limits[1:])]
 
 
-def aligned(docs: DataFrame, model_a: str | None = None, model_b: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
+@dataclass
+class Aligned:
+    """What a batch of texts gives: a row of counts (A tokens, B tokens, groups) and a digest for each, and the links of all."""
+
+    counts: np.ndarray
+    digests: list[str]
+    keys: np.ndarray  # text times the number of possible pairs, plus the pair, sorted
+    times: np.ndarray
+
+
+class WordLinks:
+    """Groups and links of words met before, by the place of the word."""
+
+    def __init__(self, tokens: Tokens) -> None:
+        self.tokens, self.known = tokens, Words(np.int64)
+        self.counts = np.zeros((1 << 16, 3), np.int64)
+        self.shown: list[bytes] = []
+
+    def learn(self) -> None:
+        new = self.known.take_new()
+        if not new:
+            return
+        tokens = self.tokens
+        ids_a, ids_b = tokens.encode_words(new)
+        a, b = Side.of(ids_a, tokens.sizes_a), Side.of(ids_b, tokens.sizes_b)
+        ends = np.cumsum([len(word.encode()) for word in new])
+        for side, known in ((a, tokens.bytes_a), (b, tokens.bytes_b)):
+            spelt = b"".join(map(known.__getitem__, side.ids.tolist()))
+            if spelt != "".join(new).encode() or (np.cumsum(side.ends[side.first[1:] - 1]) != ends).any():
+                raise ValueError("the tokens do not spell the words; align by_word=False")
+        found = groups(a, b)
+        text_of, pair, times = linked(found, a, b, len(tokens.bytes_a), len(tokens.bytes_b))
+        low = len(self.shown)
+        while len(self.counts) < low + len(new):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        self.counts[low : low + len(new)] = _counts(found, a, b)
+        self.shown += shown_groups(found, a, b, tokens)
+        self.known.add(np.repeat(pair, times), np.searchsorted(np.repeat(text_of, times), np.arange(len(new)), side="right"))
+
+    def align(self, texts: list[str]) -> Aligned:
+        """The same as of whole texts, for texts that part at blanks."""
+        if len(self.known.places) > _REMEMBERED:
+            self.__init__(self.tokens)
+        places = [self.known.places_of(_WORD.findall(" " + text)) for text in texts]
+        self.learn()
+        ends = np.cumsum([0, *(own.size for own in places)])
+        flat = np.concatenate([*places, np.zeros(0, np.int64)])
+        sums = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(self.counts[flat], axis=0)])
+        counts = np.diff(sums[ends], axis=0)
+        shown = [hashlib.sha256(b"".join(map(self.shown.__getitem__, own.tolist()))[:-1]).hexdigest() for own in places]
+        starts = self.known.starts
+        text_of = np.repeat(np.repeat(np.arange(len(texts)), np.diff(ends)), (starts[flat + 1] - starts[flat]))
+        span = len(self.tokens.bytes_a) * len(self.tokens.bytes_b)
+        return Aligned(counts, shown, *np.unique(text_of * span + self.known.ids_at(flat), return_counts=True))
+
+
+def _counts(found: np.ndarray, a: Side, b: Side) -> np.ndarray:
+    return np.stack([np.diff(a.first), np.diff(b.first), np.diff(np.searchsorted(found[:, 0], a.first))], axis=1)
+
+
+def align_whole(texts: list[str], tokens: Tokens) -> Aligned:
+    ids_a, ids_b = tokens.encode(texts)
+    a, b = Side.of(ids_a, tokens.sizes_a), Side.of(ids_b, tokens.sizes_b)
+    found = groups(a, b)
+    size_a, size_b = len(tokens.bytes_a), len(tokens.bytes_b)
+    text_of, pair, times = linked(found, a, b, size_a, size_b)
+    digests = [hashlib.sha256(one[:-1]).hexdigest() if one else "" for one in shown_groups(found, a, b, tokens)]
+    return Aligned(_counts(found, a, b), digests, text_of * (size_a * size_b) + pair, times)
+
+
+def align(texts: list[str], tokens: Tokens, by_word: bool = True) -> Aligned:
+    """All texts of a batch, those that part at blanks by their words."""
+    easy = [by_word and tokens.by_word and text != "" and not _OTHER.search(" " + text) for text in texts]
+    sides = (tokens.words.align([text for text, one in zip(texts, easy) if one]), align_whole([text for text, one in zip(texts, easy) if not one], tokens))
+    counts, digests = np.zeros((len(texts), 3), np.int64), [""] * len(texts)
+    span, keys = len(tokens.bytes_a) * len(tokens.bytes_b), []
+    for side, wanted in zip(sides, (True, False)):
+        places = np.flatnonzero(np.array(easy, bool) == wanted)
+        counts[places] = side.counts
+        for place, digest in zip(places.tolist(), side.digests):
+            digests[place] = digest
+        text_of, pair = np.divmod(side.keys, span)
+        keys.append(places[text_of] * span + pair)
+    keys = np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")
+    return Aligned(counts, digests, keys[order], np.concatenate([side.times for side in sides])[order])
+
+
+def aligned(
+    docs: DataFrame, model_a: str | None = None, model_b: str | None = None, id: str = "doc_id", text: str = "text", by_word: bool = True
+) -> DataFrame:
     """For each row a number of its own (``row``), its counts and digest, and its distinct linked id ``pairs`` with their ``times``."""
     with open(model_a or public_tokenizers.path(MODEL_A), encoding="utf-8") as first, open(model_b or public_tokenizers.path(MODEL_B), "rb") as second:
         # A broadcast value lives as long as its Python worker, so tasks share the tokenizers in ``memory``.
@@ -224,25 +325,23 @@ def aligned(docs: DataFrame, model_a: str | None = None, model_b: str | None = N
         if not memory:
             memory["tokens"] = Tokens(sent.value["a"], sent.value["b"])
         tokens: Tokens = memory["tokens"]
+        span = len(tokens.bytes_a) * len(tokens.bytes_b)
         row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, 1):
-            ids_a, ids_b = tokens.encode(batch.column(1).to_pylist())
-            a, b = Side.of(ids_a, tokens.sizes_a), Side.of(ids_b, tokens.sizes_b)
-            found = groups(a, b)
-            text_of, pair, times = linked(found, a, b, len(tokens.bytes_a), len(tokens.bytes_b))
-            offsets = np.searchsorted(text_of, np.arange(len(ids_a) + 1))
-            n_groups = np.diff(np.searchsorted(found[:, 0], a.first))
-            total = np.concatenate([[0], np.cumsum(times)])[offsets]
-            lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64())) for values in (pair, times)]
-            numbers = [np.diff(a.first), np.diff(b.first), n_groups, np.diff(total)]
+        for batch in slices(batches, 1, 1 << 20):
+            made, size = align(batch.column(1).to_pylist(), tokens, by_word), batch.num_rows
+            text_of, pair = np.divmod(made.keys, span)
+            offsets = np.searchsorted(text_of, np.arange(size + 1))
+            links = np.diff(np.concatenate([[0], np.cumsum(made.times)])[offsets])
+            lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64())) for values in (pair, made.times)]
+            numbers = [*made.counts.T, links]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(row, row + len(ids_a)), pa.int64()), batch.column(0),
-                    *(pa.array(one, pa.int64()) for one in numbers), pa.array(digests(found, a, b, tokens)), *lists,
+                    pa.array(np.arange(row, row + size), pa.int64()), batch.column(0), *(pa.array(one, pa.int64()) for one in numbers),
+                    pa.array(made.digests, pa.string()), *lists,
                 ],
                 names=[field.split()[0] for field in ALIGNED.split(",")],
             )
-            row += len(ids_a)
+            row += size
 
     return source.mapInArrow(run, ALIGNED)
 
