@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.functions.hashing import HASH_BITS, lane_salts
+from brindle.functions.hashing import HASH_BITS, PRIME, lane_numbers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,26 +144,20 @@ def sql_hash(value: str, seed: int = 0) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, {HASH_BITS // 4}) AS BIGINT)"
 
 
-def _with(value: str, body: str) -> str:
-    """``body`` of ``x`` for one value, which then stands in the statement once."""
-    return f"list_transform([{value}], lambda x: {body})[1]"
-
-
-def _sql_lane(value: str, salt: int) -> str:
-    word, shifted = f"(CAST({value} AS BIGINT) & 4294967295)", "xor(x, x >> 16)"
-    high = f"xor(0, ((CAST({value} AS BIGINT) - (CAST({value} AS BIGINT) & 4294967295)) // 4294967296) & 4294967295)"
-    word = f"(({word} + {salt}) & 4294967295)"
-    for half in (None, high):
-        word = word if half is None else f"xor({word}, {half})"
-        for _ in range(2):
-            word = f"(({_with(word, shifted)} * {0x45D9F3B}) & 4294967295)"
-    return _with(word, shifted)
-
-
 def sql_integer_hash(value: str, seed: int = 0) -> str:
     """``functions.integer_hash`` in the SQL of the checking engine."""
-    first, second = (_sql_lane(f"COALESCE({value}, 0)", salt) for salt in lane_salts(seed))
-    return f"({first} * {1 << (HASH_BITS - 32)} + ({second} >> {64 - HASH_BITS}))"
+    number = f"CAST(COALESCE({value}, 0) AS BIGINT)"
+    above = f"(({number} - ({number} & {PRIME})) // {PRIME + 1})"
+    low, middle, high = f"({number} & {PRIME})", f"({above} & {PRIME})", f"((({above} - ({above} & {PRIME})) // {PRIME + 1}) & 3)"
+    lanes = []
+    for lane in (0, 1):
+        one, two, *factors = lane_numbers(seed, lane)
+        x = f"(({low} + ({middle} * {one}) % {PRIME} + {high} * {two}) % {PRIME})"
+        made = f"CAST({factors[0]} AS BIGINT)"
+        for factor in factors[1:]:
+            made = f"(({made} * {x} + {factor}) % {PRIME})"
+        lanes.append(made)
+    return f"({lanes[0]} * {1 << (HASH_BITS - 31)} + ({lanes[1]} >> {62 - HASH_BITS}))"
 
 
 def sql_bucket(value: str, buckets: int | str, seed: int = 0) -> str:

@@ -1,12 +1,13 @@
-from brindle.functions.hashing import HASH_BITS, bucket_of, integer_hash, lane_salts, seeded_hash
+from brindle.functions.hashing import HASH_BITS, PRIME, bucket_of, integer_hash, lane_numbers, seeded_hash
 from brindle.functions.salting import register_salt_functions, row_salt
 from brindle.functions.text import lines, tokens
 
 __all__ = [
     "HASH_BITS",
+    "PRIME",
     "bucket_of",
     "integer_hash",
-    "lane_salts",
+    "lane_numbers",
     "lines",
     "register_salt_functions",
     "row_salt",
