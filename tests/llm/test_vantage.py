@@ -90,3 +90,44 @@ def test_rows_that_take_no_part(spark):
     assert got == {0: [(1.0, 7)]}
     empty = V.usable(frame.limit(0), "vec_id", "embedding")
     assert V.nearest(empty, V.write_index(empty)).count() == 0
+
+
+def test_pivots_are_far_apart():
+    points = np.array([[0.0, 0.0], [0.0, 0.1], [5.0, 0.0], [0.0, 5.0], [5.0, 0.0]])
+    assert len(V.farthest(points, 10)) == 4 and len(np.unique(V.farthest(points, 3), axis=0)) == 3
+
+
+@pytest.mark.parametrize("factor", [1.0, V.FACTOR])
+@pytest.mark.parametrize("width", [4, 8, 16])
+def test_cells_are_skipped_and_recall_holds(spark, monkeypatch, factor, width):
+    """Clustered vectors: most queries visit few of the cells; a factor of one is exact."""
+    points = clustered(3000, width)
+    rows = [(i, [float(x) for x in point]) for i, point in enumerate(points)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, vector array<double>").repartition(4)
+    visits = []
+
+    def counting(asked, index, k, factor, plain=V._answers):
+        visits.append(asked.count())
+        return plain(asked, index, k, factor)
+
+    monkeypatch.setattr(V, "_answers", counting)
+    queries = [row for row in rows if row[0] % 50 == 0]
+    index = V.write_index(frame, cells=250 * width)
+    cells = index.cells.count()
+    got = made(V.nearest(frame.where("vec_id % 50 = 0"), index, factor=factor).collect())
+    want = brute(rows, queries)
+    if factor == 1.0:
+        assert got == want
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits >= 0.98 * 10 * len(want) and all(len(own) == 10 for own in got.values())
+    assert cells >= 10 and sum(visits) < 0.5 * cells * len(queries), (visits, cells)
+
+
+def test_plan_joins_queries_with_cells_only(spark):
+    """Queries meet shards by cell: no join on the length of the vectors alone."""
+    points = clustered(600, 4)
+    frame = spark.createDataFrame([(i, [float(x) for x in point]) for i, point in enumerate(points)], "vec_id bigint, vector array<double>")
+    index = V.write_index(frame, cells=200)
+    assert index.cells.count() > 5 and index.trees.groupBy("cell").count().count() == index.cells.count()
+    one = frame.where("vec_id = 7")
+    assert len(made(V.nearest(one, index).collect())[7]) == 10
