@@ -77,11 +77,11 @@ def bucketed_left_join(common: DataFrame, apart: DataFrame, dim: DataFrame, hot:
 def key_join_sql(left: DataFrame, right: DataFrame, keys: Mapping[str, str], hint: str | None = None) -> DataFrame:
     """All columns of two frames joined by one statement; ``keys`` maps a key of the left to that of the right.
 
-    ``hint`` is a strategy for the left side (``BROADCAST``, ``MERGE`` and so on).  One that
-    would broadcast is left out when that side measures large: the join is shuffled then.
+    ``hint`` is a strategy for the left side (``BROADCAST``, ``MERGE`` and so on).  Without one,
+    or with one that would broadcast, the join is shuffled when that side measures large.
     """
-    if hint and hint.upper() in BROADCAST_HINTS and measured_bytes(left) > BROADCAST_LIMIT:
-        hint = None
+    if (not hint or hint.upper() in BROADCAST_HINTS) and measured_bytes(left) > BROADCAST_LIMIT:
+        hint = "MERGE"
     marked = f"/*+ {hint}(first_side) */ " if hint else ""
     condition = " AND ".join(f"first_side.`{one}` = second_side.`{other}`" for one, other in keys.items())
     statement = f"SELECT {marked}* FROM {{left}} AS first_side INNER JOIN {{right}} AS second_side ON {condition}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators.joins import bucketed_left_join, left_join_hot_right
 from brindle.operators.skew import HotKeys, find_hot_keys, salted_left_join
-from brindle.plans import broadcast_if_small
+from brindle.plans import broadcast_if_small, shuffled_if_large
 
 # The columns of the wide sale detail, in order.
 DETAIL_COLUMNS = (
@@ -46,7 +46,7 @@ def sale_detail(course: DataFrame, cart: DataFrame, pay: DataFrame) -> DataFrame
     """
     return (
         cart.drop("coursename")
-        .join(course, COURSE_KEY, "left")
+        .join(shuffled_if_large(course), COURSE_KEY, "left")
         .join(pay, ORDER_KEY, "left")
         .select(*DETAIL_COLUMNS)
     )
@@ -96,7 +96,7 @@ def course_revenue(course: DataFrame, cart: DataFrame) -> DataFrame:
     """
     sold = cart.groupBy(*COURSE_KEY).agg(F.sum("sellmoney").cast("decimal(38,2)").alias("sold"))
     return (
-        course.select(*COURSE_KEY, "coursename")
+        shuffled_if_large(course.select(*COURSE_KEY, "coursename"))
         .join(sold, COURSE_KEY)
         .groupBy("courseid", "coursename")
         .agg(F.sum("sold").cast("decimal(38,2)").alias("total_sell"))

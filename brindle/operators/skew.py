@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions import row_salt
 from brindle.operators.rows import sample_rows
-from brindle.plans import broadcast_if_small, materialize, measured_bytes
+from brindle.plans import broadcast_if_small, materialize, measured_bytes, shuffled_if_large
 
 TASK_BYTES = 64 * 1024 * 1024
 
@@ -124,7 +124,7 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, hot: HotKeys, spread: Colu
     """
     keys = list(hot.keys)
     if not hot:
-        return fact.join(dim, keys, "left")
+        return fact.join(shuffled_if_large(dim), keys, "left")
     hot_keys = broadcast_if_small(hot.matchable)
     no_match = reduce(or_, [F.col(key).isNull() for key in keys])
     salts = F.coalesce(F.col(_SALTS), F.when(no_match, F.lit(hot.most)))
@@ -138,7 +138,7 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, hot: HotKeys, spread: Colu
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
         .drop(_SALTS)
     )
-    return salted_fact.join(repeated_dim, [*keys, _SALT], "left").drop(_SALT)
+    return salted_fact.join(shuffled_if_large(repeated_dim), [*keys, _SALT], "left").drop(_SALT)
 
 
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,5 @@
 from brindle.plans.inspect import executed_plan, plan_text, scoped_conf
-from brindle.plans.sizing import broadcast_if_small, measured_bytes
+from brindle.plans.sizing import broadcast_if_small, measured_bytes, shuffled_if_large
 from brindle.plans.workspace import checkpointed, materialize, shared_dir, table_name, work_scope
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "plan_text",
     "scoped_conf",
     "shared_dir",
+    "shuffled_if_large",
     "table_name",
     "work_scope",
 ]

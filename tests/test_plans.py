@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from brindle import datasets
 from brindle.catalog import all_queries, joins, layout, metrics
-from brindle.operators import aggregates, sets
+from brindle.operators import aggregates, sales, sets
 from brindle.operators import joins as join_operators
 from brindle.operators import profile
 from brindle.operators.joins import coalesced_buckets, filter_bits, filtered_join, runtime_filters
+from brindle.operators.skew import find_hot_keys, salted_left_join
 from brindle.plans import broadcast_if_small, executed_plan, measured_bytes, plan_text, scoped_conf, shared_dir, table_name
 from brindle.sinks import replace_table
 
@@ -320,3 +321,27 @@ def test_cache_skips_batches_by_their_range(spark):
             execution.toRdd().count()
             scan = next(node for node in _nodes(execution.executedPlan()) if node.nodeName() == "InMemoryTableScan")
             assert scan.metrics().apply("numOutputRows").value() <= 300
+
+
+@pytest.fixture
+def underestimated(spark):
+    """Courses that measure 75 MB, exploded from one row, which is what Spark's estimate goes by; and a small cart."""
+    ids = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(299_999).cast("bigint"))).alias("courseid"))
+    course = ids.selectExpr("courseid", "repeat('x', 220) AS coursename", "'ECONOMY' AS status", "'d0' AS dt", "'webA' AS dn")
+    cart = spark.range(1000).selectExpr(
+        "id AS courseid", "'c' AS coursename", "0.01D AS cart_discount", "CAST(1 AS DECIMAL(18,2)) AS sellmoney", "'d0' AS dt", "'webA' AS dn"
+    )
+    return course, cart
+
+
+def test_a_large_side_is_not_broadcast_by_its_estimate(spark, underestimated):
+    course, cart = underestimated
+    offered, sold = course.select("courseid", "coursename"), cart.select(F.col("courseid").alias("sold"))
+    for make in (
+        lambda: sales.course_revenue(course, cart),
+        lambda: broadcast_if_small(course).join(cart, "courseid"),
+        lambda: join_operators.key_join_sql(offered, sold, {"courseid": "sold"}),
+        lambda: salted_left_join(cart, course, find_hot_keys(cart, ["courseid"], rows_per_task=2000), F.col("sellmoney")),
+    ):
+        plan = static_plan(spark, make)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
