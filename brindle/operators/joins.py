@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.operators.skew import HotKeys, salted_left_join, split_hot
-from brindle.plans import broadcast_if_small, materialize, measured_bytes, scoped_conf
+from brindle.plans import broadcast_if_small, materialize, measured_bytes, scoped_conf, shuffled_if_large
 from brindle.plans.sizing import BROADCAST_LIMIT
 
 
@@ -44,13 +44,14 @@ def left_join_hot_right(
     without a match come from an anti join against the distinct right keys, where
     no key is hot any more.  ``left_condition`` is a predicate on the left columns
     that belongs to the ON clause: rows failing it stay, unmatched.  ``right_keys``
-    may name a cheaper frame with the same keys as ``right``.
+    may name a cheaper frame with the same keys as ``right``.  No side is broadcast by
+    its estimate where it measures large; the distinct keys are shuffled as it is.
     """
     keys = list(keys)
     eligible = left if left_condition is None else left.filter(left_condition)
-    matched = eligible.join(right, keys, "inner")
+    matched = shuffled_if_large(eligible).join(right, keys, "inner")
     source = right if right_keys is None else right_keys
-    known = source.select(*[F.col(key).alias(f"_r_{key}") for key in keys]).distinct()
+    known = source.select(*[F.col(key).alias(f"_r_{key}") for key in keys]).distinct().hint("merge")
     same = reduce(and_, [F.col(key) == F.col(f"_r_{key}") for key in keys])
     if left_condition is not None:
         same = same & left_condition

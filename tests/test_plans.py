@@ -345,3 +345,11 @@ def test_a_large_side_is_not_broadcast_by_its_estimate(spark, underestimated):
     ):
         plan = static_plan(spark, make)
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_left_join_of_a_large_left_side_broadcasts_nothing(spark, underestimated):
+    course, cart = underestimated
+    plan = static_plan(spark, lambda: joins._left_join(course, cart))
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+    few = static_plan(spark, lambda: joins._left_join(course, cart, F.col("courseid") < 10))
+    assert "BroadcastHashJoin" in few, "the rows that a predicate lets into the join are few"
