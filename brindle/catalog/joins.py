@@ -9,7 +9,7 @@ from brindle import datasets
 from brindle.catalog.registry import query, with_ctes
 from brindle.operators import sales
 from brindle.operators.joins import dealt_together, filtered_join, key_join_sql, left_join_hot_right, lookup
-from brindle.plans import broadcast_if_small
+from brindle.plans import broadcast_if_small, shuffled_if_large
 
 _DETAIL = """
     c.courseid, s.coursename, s.status, s.pointlistid, s.majorid, s.chapterid, s.chaptername, s.edusubjectid,
@@ -223,18 +223,20 @@ def left_on_right_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def left_where_right_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In WHERE it rejects the NULLs of unmatched rows: Catalyst makes the join inner."""
     course, cart = _sides(spark, sf_dir)
-    return spark.sql(predicate_sql("LEFT", where=RIGHT_PREDICATE), course=course, cart=cart)
+    return spark.sql(predicate_sql("LEFT", where=RIGHT_PREDICATE), course=shuffled_if_large(course), cart=cart)
 
 
 @query("inner_pred", _oracle("INNER", extra_on=LEFT_PREDICATE))
 def inner_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     course, cart = _sides(spark, sf_dir)
+    course = shuffled_if_large(course, joined=course.filter(F.col("status") == STATUS))
     return spark.sql(predicate_sql("INNER", extra_on=LEFT_PREDICATE), course=course, cart=cart)
 
 
 @query("inner_where_pred", _oracle("INNER", where=LEFT_PREDICATE))
 def inner_where_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     course, cart = _sides(spark, sf_dir)
+    course = shuffled_if_large(course, joined=course.filter(F.col("status") == STATUS))
     return spark.sql(predicate_sql("INNER", where=LEFT_PREDICATE), course=course, cart=cart)
 
 

@@ -353,3 +353,10 @@ def test_left_join_of_a_large_left_side_broadcasts_nothing(spark, underestimated
     assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
     few = static_plan(spark, lambda: joins._left_join(course, cart, F.col("courseid") < 10))
     assert "BroadcastHashJoin" in few, "the rows that a predicate lets into the join are few"
+
+
+@pytest.mark.parametrize("name", ["left_where_right_pred", "inner_pred", "inner_where_pred"])
+def test_predicate_joins_broadcast_no_large_side(spark, underestimated, monkeypatch, name):
+    monkeypatch.setattr(joins, "_sides", lambda *_: underestimated)
+    plan = static_plan(spark, lambda: QUERIES[name](spark, ""))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
