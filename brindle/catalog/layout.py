@@ -136,10 +136,15 @@ def json_infer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- buckets ---------------------------------------------------------------
 
-ROWS_PER_BUCKET = 20_000_000
+ROWS_PER_BUCKET = 1_000_000  # about 40 MB of cart rows shuffled: one task writes a bucket, and one joins it
 MIN_BUCKETS = 5
 
 
+def bucket_count(rows: int) -> int:
+    """Buckets for a table of so many rows: their number, and with it that of the tasks of a join, grows with the table."""
+    return max(MIN_BUCKETS, ceil(rows / ROWS_PER_BUCKET))
+
+
 def bucket_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str, HotKeys]:
     """Cart and payments partitioned by day and site, bucketed and sorted on the order.
 
@@ -148,7 +153,7 @@ def bucket_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str, HotKeys]:
     """
     cart, pay = datasets.cart(spark, sf_dir), datasets.pay(spark, sf_dir)
     rows = cart.count()
-    buckets = max(MIN_BUCKETS, ceil(rows / ROWS_PER_BUCKET))
+    buckets = bucket_count(rows)
     hot = find_hot_keys(cart, ["orderid"], rows_per_task=max(1, ceil(rows / buckets)))
     names = table_name("cart"), table_name("pay")
     save_bucketed_apart(cart, names[0], buckets, hot, shared_dir(spark, "cart"), PARTITIONS)
@@ -173,7 +178,7 @@ def unequal_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Cart and payments bucketed on the order: the cart in four times as many buckets."""
     names = table_name("cart"), table_name("pay")
     cart, pay = datasets.cart(spark, sf_dir), datasets.pay(spark, sf_dir)
-    buckets = max(MIN_BUCKETS, ceil(pay.count() / ROWS_PER_BUCKET))
+    buckets = bucket_count(pay.count())
     save_bucketed(cart, names[0], 4 * buckets, "orderid", shared_dir(spark, "cart"))
     save_bucketed(pay, names[1], buckets, "orderid", shared_dir(spark, "pay"))
     return names

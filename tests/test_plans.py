@@ -360,3 +360,10 @@ def test_predicate_joins_broadcast_no_large_side(spark, underestimated, monkeypa
     monkeypatch.setattr(joins, "_sides", lambda *_: underestimated)
     plan = static_plan(spark, lambda: QUERIES[name](spark, ""))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_buckets_are_a_share_of_a_task():
+    """36 million rows are joined by more tasks than a small cluster has cores, none of which gets more than a million."""
+    assert layout.bucket_count(100) == layout.MIN_BUCKETS
+    for rows in (36_000_000, 216_000_000):
+        assert rows / layout.bucket_count(rows) <= 1_000_000
